@@ -152,12 +152,13 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["lang"], pa.array(out, pa.binary())], ["lang", "x"])
 
 
-def identify(docs: DataFrame, held_out: Column | None = None, per_language: int = 600) -> DataFrame:
+def identify(docs: DataFrame, held_out: Column | None = None, per_language: int = 600, columns: bool = False) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score (0 to 1).
 
     Learns from text and non-null lang of the rows that aren't held out; predicts from the whole text alone. A null text, or one
     without a letter, gives `und` and score 0; so does every text if there is nothing to learn from. Repeated rows give
-    repeated results; other columns are not read. By default rows with crc32(doc_id) mod 4 = 2 are held out.
+    repeated results. By default rows with crc32(doc_id) mod 4 = 2 are held out. With `columns`, all columns of docs are returned
+    before these three (which replace any of the same names); else only doc_id is.
     """
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False)) if held_out is None else held_out
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), held.alias("held_out"))
@@ -165,7 +166,7 @@ def identify(docs: DataFrame, held_out: Column | None = None, per_language: int
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t in slices(batch):
+            for t in slices(batch):  # a batch or a table of them
                 lang, score = np.full(len(t), None, object), np.zeros(len(t))
                 if model.value is not None:
                     lang, score = model.value.predict(t["text"])
@@ -174,5 +175,18 @@ def identify(docs: DataFrame, held_out: Column | None = None, per_language: int
                 lang[lang == None] = "und"  # noqa: E711
                 yield from pa.table({"doc_id": t["doc_id"], "held_out": t["held_out"], "lang_pred": pa.array(lang.tolist(), pa.string()), "score": score}).to_batches()
 
-    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters")
-    return rows.select("doc_id", "text", "held_out", letters).mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")
+    letters = F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False))
+    new = ("held_out", "lang_pred", "score")
+    if not columns:
+        return rows.select("doc_id", "text", "held_out", letters.alias("letters")).mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")
+    own = [c for c in docs.columns if c not in new]
+    packed = docs.select(F.struct(*own).alias("row"), F.col("text").cast("string").alias("text"), held.alias("held_out"), letters.alias("letters"))
+
+    def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            got = pa.Table.from_batches(list(predict([t.append_column("doc_id", pa.nulls(len(t), pa.int64()))])), pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())]))
+            yield from pa.table({"row": t["row"], **{n: got[n] for n in new}}).to_batches()
+
+    row = packed.schema["row"].dataType.simpleString()
+    return packed.mapInArrow(beside, f"row {row}, held_out boolean, lang_pred string, score double").select("row.*", *new)

@@ -77,16 +77,17 @@ def _shared(h: np.ndarray, doc: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray
     return shared, leads
 
 
-def duplicated_words(docs: DataFrame, window: int = 13) -> DataFrame:
+def duplicated_words(docs: DataFrame, window: int = 13, columns: list[str] | None = None) -> DataFrame:
     """One row per document: doc_id, n_words, spans [(first, end)] of removed words, n_removed, kept_text, kept_sha256.
 
     A word goes if a window of `window` consecutive words covers it whose words also start in a document with a smaller
     doc_id; windows are judged on the input. Words are maximal runs without ASCII white space, unchanged.
     Null and empty texts have no words. Rows with equal doc_id don't remove each other's words (repeated rows give
-    repeated results); a null doc_id is neither a reference nor changed. Other columns of docs are not read.
+    repeated results); a null doc_id is neither a reference nor changed. Only the other columns named in `columns` are read; with
+    them, text and these are returned too.
     """
     block = (window + 1) // 2
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *([F.struct(*columns).alias("row")] if columns else []))
     n_groups, n_buckets = sizes(texts)
     grouped = texts.where("doc_id is not null").withColumn("g", group_of(n_groups, "doc_id", "text"))
 
@@ -162,13 +163,18 @@ def duplicated_words(docs: DataFrame, window: int = 13) -> DataFrame:
         total = np.r_[0, np.cumsum(hit)]
         i = np.arange(len(w.hashes))
         gone = total[i + 1] > total[np.maximum(i - window + 1, 0)]
-        return _kept(w, ids, gone)
+        return beside(_kept(w, ids, gone), table)
 
     probes = grouped.groupBy("g").applyInArrow(probe, SENT)
     hits = probes.groupBy("bucket").applyInArrow(meet, ANSWER)
     wide = grouped.groupBy("g").cogroup(hits.groupBy("g")).applyInArrow(candidates, SENT)
     covered = wide.groupBy("bucket").applyInArrow(least, ANSWER)
-    schema = "doc_id long, n_words long, spans array<struct<first:long,end:long>>, n_removed long, kept_text string, kept_sha256 string"
+    more = f", text string, row {texts.schema['row'].dataType.simpleString()}" if columns else ""
+
+    def beside(out: pa.Table, table: pa.Table) -> pa.Table:
+        return out.append_column("text", table["text"]).append_column("row", table["row"]) if columns else out
+
+    schema = "doc_id long, n_words long, spans array<struct<first:long,end:long>>, n_removed long, kept_text string, kept_sha256 string" + more
     known = grouped.groupBy("g").cogroup(covered.groupBy("g")).applyInArrow(remove, schema)
 
     def unchanged(batches):
@@ -176,9 +182,10 @@ def duplicated_words(docs: DataFrame, window: int = 13) -> DataFrame:
             for part in slices(t):
                 w = words(part["text"], hashed=False)
                 out = _kept(w, np.zeros(len(w.offsets) - 1, np.int64), np.zeros(len(w.starts), bool))
-                yield from out.set_column(0, "doc_id", pa.nulls(len(out), pa.int64())).to_batches()
+                yield from beside(out.set_column(0, "doc_id", pa.nulls(len(out), pa.int64())), part).to_batches()
 
-    return known.unionByName(texts.where("doc_id is null").mapInArrow(unchanged, schema))
+    out = known.unionByName(texts.where("doc_id is null").mapInArrow(unchanged, schema))
+    return out.select(*(c for c in out.columns if c != "row"), *(F.col("row")[c].alias(c) for c in columns)) if columns else out
 
 
 def _answers(table: pa.Table, lengths: list[int], hit: np.ndarray) -> pa.Table:
