@@ -24,6 +24,8 @@ from .spread import binaries, by_bucket, checkpoint, components, pack, sizes, un
 from .words import GOLD, mix, shingle_sets, slices, words
 
 FLUSH = 2_000_000
+#: Bytes of an element's hash that are sent to compare two sets.
+WIDTH = 6
 
 
 def bands(most: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -63,6 +65,12 @@ def signatures(values: np.ndarray, offsets: np.ndarray, num: int, den: int) -> t
     return np.concatenate(out)[order], np.concatenate(who)[order]
 
 
+def elements(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // WIDTH, 8), np.uint8)
+    out[:, :WIDTH] = np.frombuffer(packed, np.uint8).reshape(-1, WIDTH)
+    return out.view(np.uint64).ravel()
+
+
 def digests(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each set, as signed longs."""
     sums = np.r_[np.uint64(0), np.cumsum(mix(values * GOLD + np.uint64(7)), dtype=np.uint64)]
@@ -148,14 +156,15 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
         for batch in batches:
             for t in slices(batch):
                 values, offsets, digest = read(t)
-                sets = [values[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+                low = values.view(np.uint8).reshape(-1, 8)[:, :WIDTH]
+                sets = [low[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(digest), pa.array(sets, pa.binary())], ["digest", "elements"])
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
             for x, y in zip(batch["left"].to_pylist(), batch["right"].to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                x, y = elements(x), elements(y)
                 both = 0
                 if min(len(x), len(y)) * den >= num * max(len(x), len(y)):
                     z = np.concatenate((x, y))
@@ -169,12 +178,14 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     signed = texts.mapInArrow(sign, "bucket int, hashes binary, who binary, digests binary")
     groups = checkpoint(signed.groupBy("bucket").applyInArrow(meet, "gid long, digest long, least long"))
 
+    # Only sets that share a signature with another travel, once for all comparisons.
+    need = groups.select("digest").distinct().join(classes, "digest").select(F.col("id").alias("doc_id"))
+    sets = checkpoint(texts.join(need, "doc_id", "left_semi").mapInArrow(to_sets, "digest long, elements binary"))
+
     def verified(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) of digests that are similar, as pairs of document ids."""
         size = lambda c: classes.select(F.col("digest").alias(c), F.col("n").alias(f"n_{c}"), F.col("id").alias(f"id_{c}"))
         pairs = checkpoint(pairs.join(size("a"), "a").join(size("b"), "b").where(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num))
-        need = pairs.select(F.col("id_a").alias("doc_id")).union(pairs.select("id_b")).distinct()
-        sets = texts.join(need, "doc_id", "left_semi").mapInArrow(to_sets, "digest long, elements binary")
         side = lambda c, name: sets.select(F.col("digest").alias(c), F.col("elements").alias(name))
         both = pairs.select("a", "b").join(side("a", "left"), "a").join(side("b", "right"), "b").select("a", "b", "left", "right")
         good = both.mapInArrow(similar, "a long, b long").distinct()
