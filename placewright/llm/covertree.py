@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .spread import checkpoint, components
+from .spread import Unions, checkpoint, components
 
 EPS = 1e-9
 LEAF = 256
@@ -70,34 +70,6 @@ def build(x: np.ndarray) -> tuple[np.ndarray, Node]:
     return order, split(0, len(x), 2.0)
 
 
-class Unions:
-    """Labels of linked points, joined by spanning links."""
-
-    def __init__(self, n: int) -> None:
-        self.up = np.arange(n)
-
-    def root(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = int(self.up[i])
-        return i
-
-    def roots(self, a: int, b: int) -> np.ndarray:
-        r = self.up[a:b]
-        while ((s := self.up[r]) != r).any():
-            r = s
-        return r
-
-    def join(self, i: int, others: np.ndarray) -> None:
-        """Link i with all others (by their roots)."""
-        r = self.root(i)
-        for o in np.unique(others).tolist():
-            o = self.root(o)
-            if o != r:
-                self.up[max(o, r)] = min(o, r)
-                r = min(o, r)
-
-
 def link(x: np.ndarray, weight: np.ndarray, sides: tuple[int, bool], cosine: float) -> tuple[np.ndarray, np.ndarray]:
     """Weights of the points linked with each, and a label that linked points share.
 

@@ -2,13 +2,15 @@
 
 Sizes fall into bands whose ends differ by the similarity; two similar sets are of one band or of neighbours, and each
 set also signs for the next band. In a band similar sets differ in at most k elements. Elements are dealt by hash into more
-than k partitions, so at least one partition of two similar sets is equal: the enumerated subsets of partitions are
-the single ones (of all enumerations the fewest signatures), each signed by a commutative hash of its elements.
-Empty partitions sign only for a set that has k or fewer others; so no similar pair is lost.
-
-Equal sets are one class from the start. In a group with one signature each class is verified with the least one;
-after components are known, what remains apart within a group is verified class by class, so no link between
-different sets is lost and large groups of copies need no pairs among themselves.
+than k / 2 first-level partitions of three second-level ones, so some first-level partition has at most one
+difference, and two of its three parts are equal: these subsets of two are enumerated and signed by a commutative hash of
+their elements (all elements, where k is 0). Empty subsets sign only for a set too thin to be found without them. So no
+similar pair is lost.
+
+Equal sets are one class from the start. Classes that share signatures, directly or through others, form a cluster; its
+sets travel once to each of its chunk pairs, where all intersections are counted by a matrix product. Tasks return
+spanning links, never all pairs, so no link between different sets is lost. The work within a cluster grows with the
+square of its distinct sets: whether near-threshold copies are linked can't be told without comparing them.
 """
 
 from __future__ import annotations
@@ -20,47 +22,57 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .spread import binaries, by_bucket, checkpoint, components, pack, sizes, unpack
-from .words import GOLD, mix, shingle_sets, slices, words
+from .spread import Unions, binaries, by_bucket, checkpoint, components, pack, sizes, unpack
+from .words import GOLD, M1, mix, shingle_sets, slices, words
 
 FLUSH = 2_000_000
 #: Bytes of an element's hash that are sent to compare two sets.
 WIDTH = 6
+#: Sets in a chunk of a cluster; distinct elements in a matrix product.
+CHUNK, COLUMNS = 256, 4096
+#: Second-level partitions of a first-level one.
+PARTS = 3
 
 
 def bands(most: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Last sizes of the bands up to beyond `most`, the most elements in which two similar sets differ there, and numbers of partitions."""
+    """Last sizes of the bands up to beyond `most`, the most elements k in which two similar sets differ there, and first-level partitions."""
     ends, first = [], 1
     while len(ends) < 2 or ends[-2] < most:
         ends.append(first * den // num)
         first = ends[-1] + 1
     ends = np.array(ends)
     k = 2 * ends * (den - num) // (den + num)
-    return ends, k, k + 1 + (k + 1) // 5
+    return ends, k, np.where(k > 0, (k + 2) // 2 + (k + 1) // 14, 1)
 
 
 def signatures(values: np.ndarray, offsets: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of consecutive sets, and the set of each, in order."""
     n = np.diff(offsets)
-    ends, k, parts = bands(int(n.max(initial=1)), num, den)
+    ends, k, firsts = bands(int(n.max(initial=1)), num, den)
     band = np.searchsorted(ends, n)
     own = np.repeat(np.arange(len(n)), n)
     v = mix(values ^ GOLD)
     low, high = (v & np.uint64(0xFFFFFFFF)).astype(float), (v >> np.uint64(32)).astype(float)
     out, who = [], []
     for b in (band, band + 1):
-        width = np.where(n > 0, parts[b], 0)
+        width = np.where(n > 0, firsts[b] * PARTS, 0)
         base = np.r_[0, np.cumsum(width)]
         at = base[own] + (values % width[own].astype(np.uint64)).astype(np.int64)
-        filled = np.bincount(at, minlength=base[-1])
-        halves = [np.bincount(at, weights=x, minlength=base[-1]).astype(np.uint64) for x in (low, high)]
-        doc = np.repeat(np.arange(len(n)), width)
-        part = (np.arange(base[-1]) - base[doc]).astype(np.uint64)
-        sign = mix(halves[0] + (halves[1] << np.uint64(32)) + mix((part + np.uint64(1)) * GOLD + b[doc].astype(np.uint64)))
-        few = np.bincount(doc, weights=filled > 0, minlength=len(n)) <= k[b]
-        keep = (filled > 0) | few[doc]
-        out.append(sign[keep])
-        who.append(doc[keep])
+        filled = np.bincount(at, minlength=base[-1]).reshape(-1, PARTS)
+        sums = np.bincount(at, weights=low, minlength=base[-1]).astype(np.uint64) + (np.bincount(at, weights=high, minlength=base[-1]).astype(np.uint64) << np.uint64(32))
+        sums = mix(sums + (np.arange(base[-1]) % PARTS).astype(np.uint64) * M1).reshape(-1, PARTS)
+        doc = np.repeat(np.arange(len(n)), width // PARTS)
+        place = (np.arange(len(doc)) - base[doc] // PARTS).astype(np.uint64)
+        seed = mix((place + np.uint64(1)) * GOLD + b[doc].astype(np.uint64))
+        thick = np.bincount(doc, weights=(filled > 0).sum(1) > 1, minlength=len(n))
+        few = (2 * thick <= k[b])[doc]
+        every = k[b][doc] == 0
+        total, whole = sums.sum(1, dtype=np.uint64), filled.sum(1)
+        for left_out in range(PARTS):
+            sign = mix(np.where(every, total, total - sums[:, left_out]) + seed + np.where(every, np.uint64(0), np.uint64(left_out + 1)))
+            keep = (few | (whole > filled[:, left_out])) & (~every | (left_out == 0))
+            out.append(sign[keep])
+            who.append(doc[keep])
     order = np.argsort(np.concatenate(who), kind="stable")
     return np.concatenate(out)[order], np.concatenate(who)[order]
 
@@ -71,6 +83,30 @@ def elements(packed: bytes) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
+def linked(sets: list[np.ndarray], first: int, num: int, den: int) -> np.ndarray:
+    """A label that linked sets share, the place of one of them. If there are more than `first`, those are compared with the others only."""
+    n, sizes_ = len(sets), np.array([len(x) for x in sets])
+    own = np.repeat(np.arange(n), sizes_)
+    _, at, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column = np.cumsum(seen > 1) - 1
+    keep = (seen > 1)[at]
+    own, at = own[keep], column[at[keep]]
+    rest = slice(first, n) if first < n else slice(0, n)
+    both = np.zeros((first, len(range(*rest.indices(n)))), np.float64)
+    order = np.argsort(at, kind="stable")
+    own, at = own[order], at[order]
+    for start in range(0, int(at[-1]) + 1 if len(at) else 0, COLUMNS):
+        s, e = np.searchsorted(at, (start, start + COLUMNS))
+        x = np.zeros((n, COLUMNS), np.float32)
+        x[own[s:e], at[s:e] - start] = 1
+        both += x[:first] @ x[rest].T
+    near = (both > 0) & (den * both >= num * (sizes_[:first, None] + sizes_[None, rest] - both))
+    unions = Unions(n)
+    for i in np.flatnonzero(near.any(1)):
+        unions.join(int(i), unions.roots(rest.start, rest.stop)[near[i]])
+    return unions.roots(0, n)
+
+
 def digests(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each set, as signed longs."""
     sums = np.r_[np.uint64(0), np.cumsum(mix(values * GOLD + np.uint64(7)), dtype=np.uint64)]
@@ -158,49 +194,43 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
                 values, offsets, digest = read(t)
                 low = values.view(np.uint8).reshape(-1, 8)[:, :WIDTH]
                 sets = [low[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(digest), pa.array(sets, pa.binary())], ["digest", "elements"])
-
-    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(batch["left"].to_pylist(), batch["right"].to_pylist(), strict=True):
-                x, y = elements(x), elements(y)
-                both = 0
-                if min(len(x), len(y)) * den >= num * max(len(x), len(y)):
-                    z = np.concatenate((x, y))
-                    z.sort(kind="stable")
-                    both = int(np.count_nonzero(z[1:] == z[:-1]))
-                good.append(den * both >= num * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+                yield from pa.table({"doc_id": t["doc_id"], "digest": digest, "wanted": t["wanted"], "part": t["part"], "tasks": t["tasks"], "elements": pa.array(sets, pa.binary())}).to_batches()
 
     described = checkpoint(texts.mapInArrow(describe, "doc_id long, n_shingles long, digest long"))
     classes = checkpoint(described.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.min("n_shingles").alias("n")))
     signed = texts.mapInArrow(sign, "bucket int, hashes binary, who binary, digests binary")
     groups = checkpoint(signed.groupBy("bucket").applyInArrow(meet, "gid long, digest long, least long"))
 
-    # Only sets that share a signature with another travel, once for all comparisons.
-    need = groups.select("digest").distinct().join(classes, "digest").select(F.col("id").alias("doc_id"))
-    sets = checkpoint(texts.join(need, "doc_id", "left_semi").mapInArrow(to_sets, "digest long, elements binary"))
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Those of the pairs (a, b) of digests that are similar, as pairs of document ids."""
-        size = lambda c: classes.select(F.col("digest").alias(c), F.col("n").alias(f"n_{c}"), F.col("id").alias(f"id_{c}"))
-        pairs = checkpoint(pairs.join(size("a"), "a").join(size("b"), "b").where(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num))
-        side = lambda c, name: sets.select(F.col("digest").alias(c), F.col("elements").alias(name))
-        both = pairs.select("a", "b").join(side("a", "left"), "a").join(side("b", "right"), "b").select("a", "b", "left", "right")
-        good = both.mapInArrow(similar, "a long, b long").distinct()
-        return checkpoint(pairs.join(good, ["a", "b"], "left_semi").select(F.col("id_a").alias("a"), F.col("id_b").alias("b")))
-
-    links = verified(groups.where("digest <> least").select(F.col("least").alias("a"), F.col("digest").alias("b")).distinct())
+    clusters = components(groups.where("digest <> least").select(F.col("least").alias("a"), F.col("digest").alias("b")).distinct())
+    members = classes.join(clusters.withColumnRenamed("id", "digest"), "digest")
+    chunks = members.groupBy("component").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    placed = checkpoint(members.join(chunks, "component").withColumn("part", F.pmod(F.xxhash64("digest", F.lit(3)), F.col("chunks")).cast("int")))
+    # Small clusters share tasks; a large one has a task for each pair of its chunks.
+    shared = max(n_buckets, placed.count() // 1000)
+    task = lambda x, y: F.struct(x.cast("long").alias("x"), y.cast("int").alias("y"), F.col("component").alias("c"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda o: task(F.least("part", o), F.greatest("part", o)))
+    sent = placed.withColumn("tasks", F.when(F.col("chunks") > 1, pairs).otherwise(F.array(task(F.pmod(F.xxhash64("component"), F.lit(shared)), F.lit(-1)))))
+    sets = texts.join(sent.select(F.col("id").alias("doc_id"), F.col("digest").alias("wanted"), "part", "tasks"), "doc_id")
+    kinds = "doc_id long, digest long, wanted long, part int, tasks array<struct<x:long,y:int,c:long>>, elements binary"
+    dealt = sets.mapInArrow(to_sets, kinds).where("digest = wanted").select("doc_id", "part", "elements", F.explode("tasks").alias("task"))
+    keyed = dealt.select("doc_id", "part", "elements", F.col("task.c").alias("cluster"), F.col("task.x").alias("x"), F.col("task.y").alias("y"), F.when(F.col("task.y") >= 0, F.col("task.c")).alias("alone"))
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        small = key[1].as_py() < 0
+        table = table.sort_by([("cluster", "ascending"), ("part", "ascending"), ("doc_id", "ascending")])
+        cluster, part, ids = table["cluster"].to_numpy(), table["part"].to_numpy(), table["doc_id"].to_numpy()
+        held = [elements(x) for x in binaries(table["elements"])]
+        edges = [0, *(np.flatnonzero(np.diff(cluster)) + 1), len(ids)] if small else [0, len(ids)]
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for s, e in zip(edges[:-1], edges[1:], strict=True):
+            first = e - s if small or key[0].as_py() == key[1].as_py() else int(np.count_nonzero(part[s:e] == key[0].as_py()))
+            label = linked(held[s:e], first, num, den)
+            far = np.flatnonzero(label != np.arange(e - s))
+            a.append(ids[s + far])
+            b.append(ids[s + label[far]])
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    links = checkpoint(keyed.groupBy("x", "y", "alone").applyInArrow(compare, "a long, b long"))
     labels = components(links)
-    of_class = classes.join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
-    placed = groups.select("gid", "digest").join(of_class, "digest")
-    apart = placed.groupBy("gid").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("gid")
-    left = checkpoint(placed.join(apart, "gid", "left_semi"))
-    other = left.select("gid", F.col("digest").alias("d2"), F.col("component").alias("c2"))
-    rest = left.join(other, "gid").where("component < c2").select(F.least("digest", "d2").alias("a"), F.greatest("digest", "d2").alias("b")).distinct()
-    tried = groups.where("digest <> least").select(F.col("least").alias("a"), F.col("digest").alias("b")).distinct()
-    more = verified(rest.join(tried, ["a", "b"], "left_anti"))
-    labels = components(labels.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
     named = described.join(classes.select("digest", "id"), "digest", "left").join(labels, "id", "left")
     return named.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id")).alias("component_id"))

@@ -68,6 +68,34 @@ def by_bucket(bucket: np.ndarray, n: int) -> list[tuple[int, np.ndarray]]:
     return [(b, order[edge[b] : edge[b + 1]]) for b in range(n) if edge[b + 1] > edge[b]]
 
 
+class Unions:
+    """Labels of linked points, joined by spanning links."""
+
+    def __init__(self, n: int) -> None:
+        self.up = np.arange(n)
+
+    def root(self, i: int) -> int:
+        while self.up[i] != i:
+            self.up[i] = self.up[self.up[i]]
+            i = int(self.up[i])
+        return i
+
+    def roots(self, a: int, b: int) -> np.ndarray:
+        r = self.up[a:b]
+        while ((s := self.up[r]) != r).any():
+            r = s
+        return r
+
+    def join(self, i: int, others: np.ndarray) -> None:
+        """Link i with all others (by their roots)."""
+        r = self.root(i)
+        for o in np.unique(others).tolist():
+            o = self.root(o)
+            if o != r:
+                self.up[max(o, r)] = min(o, r)
+                r = min(o, r)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every end of links (a, b): the smallest id that links reach.
 
