@@ -29,7 +29,7 @@ FLUSH = 2_000_000
 #: Bytes of an element's hash that are sent to compare two sets.
 WIDTH = 6
 #: Sets in a chunk of a cluster; distinct elements in a matrix product.
-CHUNK, COLUMNS = 256, 4096
+CHUNK, COLUMNS = 512, 4096
 #: Second-level partitions of a first-level one.
 PARTS = 3
 
