@@ -7,7 +7,7 @@ difference, and two of its three parts are equal: these subsets of two are enume
 their elements (all elements, where k is 0). Empty subsets sign only for a set too thin to be found without them. So no
 similar pair is lost.
 
-Equal sets are one class from the start. Classes that share signatures, directly or through others, form a cluster; its
+Equal sets are one class from the start. Classes that share enough signatures, directly or through others, form a cluster; its
 sets travel once to each of its chunk pairs, where all intersections are counted by a matrix product. Tasks return
 spanning links, never all pairs, so no link between different sets is lost. The work within a cluster grows with the
 square of its distinct sets: whether near-threshold copies are linked can't be told without comparing them.
@@ -15,6 +15,7 @@ square of its distinct sets: whether near-threshold copies are linked can't be t
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .spread import Unions, binaries, by_bucket, checkpoint, components, pack, sizes, unpack
+from .spread import Unions, binaries, by_bucket, checkpoint, components, narrow, pack, sizes, unpack
 from .words import GOLD, M1, mix, shingle_sets, slices, words
 
 FLUSH = 2_000_000
@@ -30,6 +31,8 @@ FLUSH = 2_000_000
 WIDTH = 6
 #: Sets in a chunk of a cluster; distinct elements in a matrix product.
 CHUNK, COLUMNS = 512, 4096
+#: Members of a signature group whose pairs are counted.
+LIGHT = 32
 #: Second-level partitions of a first-level one.
 PARTS = 3
 
@@ -45,15 +48,15 @@ def bands(most: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return ends, k, np.where(k > 0, (k + 2) // 2 + (k + 1) // 14, 1)
 
 
-def signatures(values: np.ndarray, offsets: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of consecutive sets, and the set of each, in order."""
+def signatures(values: np.ndarray, offsets: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of consecutive sets, the set of each, in order, and how many first-level partitions of each set may lack one."""
     n = np.diff(offsets)
     ends, k, firsts = bands(int(n.max(initial=1)), num, den)
     band = np.searchsorted(ends, n)
     own = np.repeat(np.arange(len(n)), n)
     v = mix(values ^ GOLD)
     low, high = (v & np.uint64(0xFFFFFFFF)).astype(float), (v >> np.uint64(32)).astype(float)
-    out, who = [], []
+    out, who, thin = [], [], np.zeros(len(n), np.int64)
     for b in (band, band + 1):
         width = np.where(n > 0, firsts[b] * PARTS, 0)
         base = np.r_[0, np.cumsum(width)]
@@ -65,6 +68,7 @@ def signatures(values: np.ndarray, offsets: np.ndarray, num: int, den: int) -> t
         place = (np.arange(len(doc)) - base[doc] // PARTS).astype(np.uint64)
         seed = mix((place + np.uint64(1)) * GOLD + b[doc].astype(np.uint64))
         thick = np.bincount(doc, weights=(filled > 0).sum(1) > 1, minlength=len(n))
+        thin = np.maximum(thin, width // PARTS - thick.astype(np.int64))
         few = (2 * thick <= k[b])[doc]
         every = k[b][doc] == 0
         total, whole = sums.sum(1, dtype=np.uint64), filled.sum(1)
@@ -74,7 +78,7 @@ def signatures(values: np.ndarray, offsets: np.ndarray, num: int, den: int) -> t
             out.append(sign[keep])
             who.append(doc[keep])
     order = np.argsort(np.concatenate(who), kind="stable")
-    return np.concatenate(out)[order], np.concatenate(who)[order]
+    return np.concatenate(out)[order], np.concatenate(who)[order], thin
 
 
 def elements(packed: bytes) -> np.ndarray:
@@ -138,16 +142,17 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        ids: list[np.ndarray] = []
+        ids: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
             if ids:
-                h, who, digest = np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]), np.concatenate(ids)
+                h, who, digest = np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]), np.concatenate([x for x, _ in ids])
+                thin = narrow(np.concatenate([x for _, x in ids])).astype(np.uint32)
                 rows = []
                 for b, x in by_bucket(((h >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.int64), n_buckets):
                     own, at = np.unique(who[x], return_inverse=True)
-                    rows.append((b, h[x].astype(np.uint32).tobytes(), pack(at), digest[own].tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3))], ["bucket", "hashes", "who", "digests"])
+                    rows.append((b, h[x].astype(np.uint32).tobytes(), pack(at), digest[own].tobytes(), thin[own].tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3, 4))], ["bucket", "hashes", "who", "digests", "thin"])
             seen.clear()
             held.clear()
             ids.clear()
@@ -159,10 +164,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
                 keep = np.repeat(new, np.diff(offsets))
                 n = np.diff(offsets)[new]
                 if len(n):
-                    at = sum(map(len, ids))
-                    s, who = signatures(values[keep], np.r_[0, np.cumsum(n)], num, den)
+                    at = sum(len(x) for x, _ in ids)
+                    s, who, thin = signatures(values[keep], np.r_[0, np.cumsum(n)], num, den)
                     held.append((s, who + at))
-                    ids.append(digest[new])
+                    ids.append((digest[new], thin))
                 if sum(len(x) for x, _ in held) >= FLUSH:
                     yield from flush()
         yield from flush()
@@ -170,23 +175,25 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     def meet(key: tuple, table: pa.Table) -> pa.Table:
         parts = [np.frombuffer(x, np.uint32) for x in binaries(table["hashes"])]
         h = np.concatenate(parts)
-        digest = np.concatenate([np.frombuffer(d, np.int64)[unpack(w)] for d, w in zip(binaries(table["digests"]), binaries(table["who"]), strict=True)])
+        who = [unpack(x) for x in binaries(table["who"])]
+        digest = np.concatenate([np.frombuffer(d, np.int64)[w] for d, w in zip(binaries(table["digests"]), who, strict=True)])
+        thin = np.concatenate([np.frombuffer(d, np.uint32)[w] for d, w in zip(binaries(table["thin"]), who, strict=True)]).astype(np.int32)
         order = np.argsort(h, kind="stable")
         s = h[order]
         first = np.r_[True, s[1:] != s[:-1]]
         alone = first & np.r_[first[1:], True]
         order = order[~alone]
-        h, digest = h[order], digest[order]
+        h, digest, thin = h[order], digest[order], thin[order]
         order = np.lexsort((digest, h))
-        h, digest = h[order], digest[order]
+        h, digest, thin = h[order], digest[order], thin[order]
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (digest[1:] != digest[:-1])
-        h, digest = h[new], digest[new]
+        h, digest, thin = h[new], digest[new], thin[new]
         heads = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
         size = np.diff(np.r_[heads, len(h)])
         many = np.repeat(size > 1, size)
         gid = (np.int64(key[0].as_py()) << 32) + h.astype(np.int64)
-        return pa.table({"gid": gid[many], "digest": digest[many], "least": np.repeat(digest[heads] if len(h) else digest, size)[many]})
+        return pa.table({"gid": gid[many], "digest": digest[many], "least": np.repeat(digest[heads] if len(h) else digest, size)[many], "thin": thin[many], "m": np.repeat(size, size)[many].astype(np.int32)})
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,20 +205,40 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 
     described = checkpoint(texts.mapInArrow(describe, "doc_id long, n_shingles long, digest long"))
     classes = checkpoint(described.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.min("n_shingles").alias("n")))
-    signed = texts.mapInArrow(sign, "bucket int, hashes binary, who binary, digests binary")
-    groups = checkpoint(signed.groupBy("bucket").applyInArrow(meet, "gid long, digest long, least long"))
+    signed = texts.mapInArrow(sign, "bucket int, hashes binary, who binary, digests binary, thin binary")
+    groups = checkpoint(signed.groupBy("bucket").applyInArrow(meet, "gid long, digest long, least long, thin int, m int"))
 
-    clusters = components(groups.where("digest <> least").select(F.col("least").alias("a"), F.col("digest").alias("b")).distinct())
-    members = classes.join(clusters.withColumnRenamed("id", "digest"), "digest")
-    chunks = members.groupBy("component").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    placed = checkpoint(members.join(chunks, "component").withColumn("part", F.pmod(F.xxhash64("digest", F.lit(3)), F.col("chunks")).cast("int")))
+    # Similar sets share the signatures of all first-level partitions with at most one difference. Pairs within small groups are counted
+    # against that bound; members of a large group go together uncounted.
+    light = groups.where(F.col("m") <= LIGHT)
+    twice = light.select("gid", F.col("digest").alias("a"), "thin").join(light.select("gid", F.col("digest").alias("b"), F.col("thin").alias("other")), "gid").where("a < b")
+    counted = twice.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max(F.greatest("thin", "other")).alias("thin"))
+    size = lambda c: classes.select(F.col("digest").alias(c), F.col("n").alias(f"n_{c}"))
+    sized = counted.join(size("a"), "a").join(size("b"), "b").where(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
+    differ = lambda n: F.floor(n * (den - num) / (den + num))
+    k_most = differ(2 * F.greatest("n_a", "n_b"))
+    bound = F.floor((k_most + 2) / 2) + F.floor((k_most + 1) / 14) - F.floor(differ(F.col("n_a") + F.col("n_b")) / 2) - F.col("thin") - 1
+    together = groups.where((F.col("m") > LIGHT) & (F.col("digest") != F.col("least"))).select(F.col("least").alias("a"), F.col("digest").alias("b"))
+    clusters = components(together.unionByName(sized.where(F.col("shared") >= bound).select("a", "b")).distinct())
+    # Chunks are of one range of sizes; only those of the same or neighbouring ranges can hold similar sets.
+    wide = math.log(den / num) * 1.0001
+    members = classes.join(clusters.withColumnRenamed("id", "digest"), "digest").withColumn("range", F.floor(F.log("n") / wide).cast("int"))
+    counts = members.groupBy("component", "range").agg(F.count("*").alias("sets"))
+    whole = counts.groupBy("component").agg(F.sum("sets").alias("all"))
+    chunks = counts.select("component", "range", F.ceil(F.col("sets") / CHUNK).cast("int").alias("chunks"))
+    beside = lambda step, name: chunks.select("component", (F.col("range") - step).alias("range"), F.col("chunks").alias(name))
+    known = chunks.join(beside(1, "up"), ["component", "range"], "left").join(beside(-1, "down"), ["component", "range"], "left").join(whole, "component")
+    code = lambda step, part: (F.col("range") + step).cast("long") * (1 << 32) + part
+    part = F.pmod(F.xxhash64("digest", F.lit(3)), F.col("chunks"))
+    placed = checkpoint(members.join(known, ["component", "range"]).withColumn("part", code(0, part)))
     # Small clusters share tasks; a large one has a task for each pair of its chunks.
     shared = max(n_buckets, placed.count() // 1000)
-    task = lambda x, y: F.struct(x.cast("long").alias("x"), y.cast("int").alias("y"), F.col("component").alias("c"))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda o: task(F.least("part", o), F.greatest("part", o)))
-    sent = placed.withColumn("tasks", F.when(F.col("chunks") > 1, pairs).otherwise(F.array(task(F.pmod(F.xxhash64("component"), F.lit(shared)), F.lit(-1)))))
+    task = lambda x, y: F.struct(x.cast("long").alias("x"), y.cast("long").alias("y"), F.col("component").alias("c"))
+    parts = lambda step, n: F.transform(F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>")), lambda o: code(step, o))
+    pairs = F.transform(F.concat(parts(0, "chunks"), parts(1, "up"), parts(-1, "down")), lambda o: task(F.least("part", o), F.greatest("part", o)))
+    sent = placed.withColumn("tasks", F.when(F.col("all") > CHUNK, pairs).otherwise(F.array(task(F.pmod(F.xxhash64("component"), F.lit(shared)), F.lit(-1)))))
     sets = texts.join(sent.select(F.col("id").alias("doc_id"), F.col("digest").alias("wanted"), "part", "tasks"), "doc_id")
-    kinds = "doc_id long, digest long, wanted long, part int, tasks array<struct<x:long,y:int,c:long>>, elements binary"
+    kinds = "doc_id long, digest long, wanted long, part long, tasks array<struct<x:long,y:long,c:long>>, elements binary"
     dealt = sets.mapInArrow(to_sets, kinds).where("digest = wanted").select("doc_id", "part", "elements", F.explode("tasks").alias("task"))
     keyed = dealt.select("doc_id", "part", "elements", F.col("task.c").alias("cluster"), F.col("task.x").alias("x"), F.col("task.y").alias("y"), F.when(F.col("task.y") >= 0, F.col("task.c")).alias("alone"))
 

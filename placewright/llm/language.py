@@ -45,14 +45,15 @@ def frequencies(column: pa.ChunkedArray) -> np.ndarray:
     return np.bincount(at, minlength=len(n) * DIMS).reshape(len(n), DIMS) / np.maximum(n, 1)[:, None]
 
 
-def linear_svm(x: np.ndarray, y: np.ndarray, scale: np.ndarray, steps: int = 400, l2: float = 1e-4) -> tuple[np.ndarray, float]:
+def linear_svm(x: np.ndarray, y: np.ndarray, scale: np.ndarray, steps: int = 150, l2: float = 1e-4) -> tuple[np.ndarray, float]:
     """Squared-hinge linear SVM by accelerated gradient descent; y is 1 or -1, classes weigh the same."""
-    x = x * scale
+    x = (x * scale).astype(np.float32)
     c = np.where(y > 0, 1 / max(1, (y > 0).sum()), 1 / max(1, (y < 0).sum())) / 2
-    w, v, b, rate = np.zeros(x.shape[1]), np.zeros(x.shape[1]), 0.0, 1 / (2 * np.max((x * x).sum(1) + 1) + l2)
+    w, v, b, rate = np.zeros(x.shape[1], np.float32), np.zeros(x.shape[1], np.float32), 0.0, 1 / (2 * np.max((x * x).sum(1) + 1) + l2)
     u, t = 0.0, 1.0
     for _ in range(steps):
         m = np.maximum(0, 1 - y * (x @ v + u)) * y * c * 2
+        m = m.astype(np.float32)
         w2, b2, t2 = v - rate * (l2 * v - x.T @ m), u + rate * m.sum(), (1 + np.sqrt(1 + 4 * t * t)) / 2
         v, u = w2 + (t - 1) / t2 * (w2 - w), b2 + (t - 1) / t2 * (b2 - b)
         w, b, t = w2, b2, t2
@@ -123,8 +124,8 @@ def fit(docs: DataFrame, training: Column, per_language: int = 600) -> LanguageM
         x[i, pair["c"]] = pair["v"]
     y = sample["lang"].to_numpy()
     used = np.flatnonzero(x.any(0))
-    x = x[:, used].astype(float)
-    scale = 1 / np.sqrt((x * x).mean(0) + 1e-9) / np.sqrt(max(1, len(used)))
+    x = x[:, used]
+    scale = 1 / np.sqrt((x.astype(float) ** 2).mean(0) + 1e-9) / np.sqrt(max(1, len(used)))
     members: dict[str, list[str]] = {}
     for code in langs:
         members.setdefault(FAMILY_OF.get(code, code), []).append(code)

@@ -51,3 +51,20 @@ def test_against_brute_force(spark):
 
 def test_empty(spark):
     assert jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_large_cluster_in_chunks(spark, monkeypatch):
+    import placewright.llm.jaccard as module
+
+    monkeypatch.setattr(module, "CHUNK", 16)
+    monkeypatch.setattr(module, "LIGHT", 6)
+    r = random.Random(11)
+    base = [f"w{r.randrange(900)}" for _ in range(60)]
+    rows = []
+    for i in range(220):
+        w = list(base) + [f"v{r.randrange(50)}" for _ in range(r.randrange(25))]
+        for _ in range(r.randrange(5)):
+            w[r.randrange(len(w))] = f"u{r.randrange(400)}"
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, jaccard_components(docs, 5, 80, 100).collect()), key=str) == brute(rows, 5, 80, 100)
