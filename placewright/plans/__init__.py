@@ -1 +1,6 @@
-"""Part of placewright."""
+"""Registered queries and their SQL twins."""
+
+from . import more
+from .queries import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "more"]
