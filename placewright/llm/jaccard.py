@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 from .spread import Unions, binaries, by_bucket, checkpoint, components, narrow, pack, sizes, unpack
 from .words import GOLD, M1, mix, shingle_sets, slices, words
 
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 #: Bytes of an element's hash that are sent to compare two sets.
 WIDTH = 6
-#: Elements of all sets in a chunk of a cluster, about; distinct elements in a matrix product.
-CHUNK, COLUMNS = 300_000, 2048
+#: Size of a cluster's chunk, about, each set counting its elements and SET more (so at most 1,000 sets); distinct elements in a matrix product.
+CHUNK, SET, COLUMNS = 300_000, 300, 2048
 #: Members of a signature group whose pairs are counted.
 LIGHT = 32
 #: Second-level partitions of a first-level one.
@@ -223,7 +223,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     # Chunks are of one range of sizes; only those of the same or neighbouring ranges can hold similar sets.
     wide = math.log(den / num) * 1.0001
     members = classes.join(clusters.withColumnRenamed("id", "digest"), "digest").withColumn("range", F.floor(F.log("n") / wide).cast("int"))
-    counts = members.groupBy("component", "range").agg(F.sum("n").alias("elements"))
+    counts = members.groupBy("component", "range").agg(F.sum(F.col("n") + SET).alias("elements"))
     whole = counts.groupBy("component").agg(F.sum("elements").alias("all"))
     chunks = counts.select("component", "range", F.ceil(F.col("elements") / CHUNK).cast("int").alias("chunks"))
     beside = lambda step, name: chunks.select("component", (F.col("range") - step).alias("range"), F.col("chunks").alias(name))
@@ -232,7 +232,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     part = F.pmod(F.xxhash64("digest", F.lit(3)), F.col("chunks"))
     placed = checkpoint(members.join(known, ["component", "range"]).withColumn("part", code(0, part)))
     # Small clusters share tasks; a large one has a task for each pair of its chunks.
-    shared = max(n_buckets, (placed.agg(F.sum("n")).first()[0] or 0) // (2 * CHUNK))
+    shared = max(n_buckets, (placed.agg(F.sum(F.col("n") + SET)).first()[0] or 0) // (2 * CHUNK))
     task = lambda x, y: F.struct(x.cast("long").alias("x"), y.cast("long").alias("y"), F.col("component").alias("c"))
     parts = lambda step, n: F.transform(F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>")), lambda o: code(step, o))
     pairs = F.transform(F.concat(parts(0, "chunks"), parts(1, "up"), parts(-1, "down")), lambda o: task(F.least("part", o), F.greatest("part", o)))

@@ -56,7 +56,7 @@ def test_empty(spark):
 def test_large_cluster_in_chunks(spark, monkeypatch):
     import placewright.llm.jaccard as module
 
-    monkeypatch.setattr(module, "CHUNK", 900)
+    monkeypatch.setattr(module, "CHUNK", 9000)
     monkeypatch.setattr(module, "LIGHT", 6)
     r = random.Random(11)
     base = [f"w{r.randrange(900)}" for _ in range(60)]
