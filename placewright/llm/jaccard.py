@@ -29,8 +29,8 @@ from .words import GOLD, M1, mix, shingle_sets, slices, words
 FLUSH = 1_000_000
 #: Bytes of an element's hash that are sent to compare two sets.
 WIDTH = 6
-#: Size of a cluster's chunk, about, each set counting its elements and SET more (so at most 1,000 sets); distinct elements in a matrix product.
-CHUNK, SET, COLUMNS = 300_000, 300, 2048
+#: Size of a cluster's chunk, about, each set counting its elements and SET more (so at most 2,000 sets); distinct elements in a matrix product.
+CHUNK, SET, COLUMNS = 500_000, 250, 2048
 #: Members of a signature group whose pairs are counted.
 LIGHT = 32
 #: Second-level partitions of a first-level one.
@@ -104,10 +104,11 @@ def linked(sets: list[np.ndarray], first: int, num: int, den: int) -> np.ndarray
         x = np.zeros((n, COLUMNS), np.float32)
         x[own[s:e], at[s:e] - start] = 1
         both += x[:first] @ x[rest].T
-    near = (both > 0) & (den * both >= num * (sizes_[:first, None] + sizes_[None, rest] - both))
     unions = Unions(n)
-    for i in np.flatnonzero(near.any(1)):
-        unions.join(int(i), unions.roots(rest.start, rest.stop)[near[i]])
+    for i in range(first):
+        near = np.flatnonzero((both[i] > 0) & (den * both[i] >= num * (sizes_[i] + sizes_[rest] - both[i])))
+        if len(near) > 1 or first < n and len(near):  # more than itself
+            unions.join(i, unions.roots(rest.start, rest.stop)[near])
     return unions.roots(0, n)
 
 
