@@ -1,6 +1,6 @@
 """Registered queries and their SQL twins."""
 
-from . import more
+from . import feeds, more
 from .queries import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "more"]
+__all__ = ["ORACLES", "QUERIES", "feeds", "more"]

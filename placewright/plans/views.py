@@ -42,6 +42,10 @@ class Views:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self._dir = spark, sf_dir
 
+    def path(self, name: str) -> str:
+        """Where a table is. A stream can't start from a single file, but can from a pattern that it matches."""
+        return f"{self._dir}/{name}.parquet"
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
@@ -49,7 +53,7 @@ class Views:
             text = VIEWS[name].replace("varchar(20)", "string")
             out = self.spark.sql(text, **{n: getattr(self, n) for n in set(re.findall(r"\{(\w+)\}", text))})
         else:
-            out = self.spark.read.parquet(f"{self._dir}/{name}.parquet")
+            out = self.spark.read.parquet(self.path(name))
         self.__dict__[name] = out
         return out
 
