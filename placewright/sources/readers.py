@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import temporal, text
+from ..functions import temporal
 
 #: Stages of a source, the latest first; kinds of alternate names that name no place.
 STAGES = ("final", "h3_merged", "boundary_merged", "update_merged", "extract")
@@ -77,6 +77,11 @@ def _field(i: int) -> Column:
     return F.nullif(F.get("f", F.lit(i)), F.lit(""))
 
 
+def _toponym(name: Column, lang: Column) -> Column:
+    """name@lang; a name that has its language already stays."""
+    return F.when(F.contains(name, F.lit("@")), name).otherwise(F.concat(name, F.lit("@"), lang))
+
+
 def geonames_places(lines: DataFrame, namespace: str = "gn") -> DataFrame:
     """Places of the 19-column table of places. Height is that measured, else that of the terrain model; there are no years.
 
@@ -84,7 +89,7 @@ def geonames_places(lines: DataFrame, namespace: str = "gn") -> DataFrame:
     """
     codes = F.filter(F.concat(F.array(F.coalesce(_field(8), F.lit(""))), F.transform(F.split(F.coalesce(_field(9), F.lit("")), ","), lambda c: F.trim(c))), lambda c: c != "")
     kind = F.struct(F.coalesce(_field(7), _field(6)).alias("identifier"), _field(6).alias("label"), F.concat_ws(".", _field(6), _field(7)).alias("sourceLabel"))
-    name = F.concat(F.nullif(text.clean_name(_field(1)), F.lit("")), F.lit("@und"))
+    name = _toponym(_field(1), F.lit("und"))
     out = _fields(lines).select(
         F.concat(F.lit(f"{namespace}:"), _field(0)).alias("place_id"), _field(1).alias("title"), F.array_compact(F.array(name)).alias("toponyms"), codes.alias("ccodes"),
         _field(5).try_cast("double").alias("lon"), _field(4).try_cast("double").alias("lat"), F.array(kind).alias("types"),
@@ -102,8 +107,8 @@ def geonames_names(lines: DataFrame, namespace: str = "gn") -> DataFrame:
     relation = F.when(lang == "wkdt", F.struct(F.lit("sameAs").alias("relation_type"), F.concat(F.lit("wd:"), _field(3)).alias("related_place_id"), F.lit("Wikidata").alias("label"))).when(
         lang == "link", F.struct(F.lit("describedBy").alias("relation_type"), _field(3).alias("related_place_id"), F.lit("External Link").alias("label"))
     )
-    name = F.concat(F.nullif(text.clean_name(_field(3)), F.lit("")), F.lit("@"), F.when(lang == "", "und").otherwise(F.replace(lang, F.lit("_"), F.lit("-"))))
-    year = lambda i: temporal.coerce_year(_field(i))
+    name = _toponym(_field(3), F.when(lang == "", "und").otherwise(F.replace(lang, F.lit("_"), F.lit("-"))))
+    year = lambda i: F.trim(_field(i)).try_cast("long")
     rows = _fields(lines).select(
         F.concat(F.lit(f"{namespace}:"), _field(1)).alias("place_id"), _field(0).try_cast("long").alias("at"), relation.alias("relation"),
         F.when(relation.isNull(), name).alias("toponym_id"), temporal.lifespan(year(8), year(9)).alias("timespans"), (F.coalesce(_field(4), F.lit("")) == "1").alias("preferred"), _field(3).alias("value"), lang.alias("lang"),
