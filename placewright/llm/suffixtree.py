@@ -1,139 +1,76 @@
 """Language-model scores by a probabilistic suffix tree, and unigram scores of words.
 
-Symbols are 64 classes of lower-cased bytes and a boundary. Training texts are counted in five-symbol grams; a context of
-up to four symbols is kept if it makes up at least `least` of all symbols and if its next-symbol distribution
-differs from its suffix's: count * KL divergence >= `divergence`. So at most 4 / least contexts are kept, whatever the
-corpus, and the model may be broadcast. A kept context's distribution is smoothed towards its longest kept suffix's. A text's score adds, for
-each byte, the probability of its class after the longest kept suffix and that of the byte within the class.
-
-Word counts don't fit a broadcast: texts are dealt into groups of a few MB, each sends its distinct word hashes
-packed by bucket, and buckets answer with the counts in all training texts.
+Symbols are lower-cased bytes and a boundary. Training texts are counted in grams of seven symbols. A context of up to six
+symbols is kept if it occurs at least `least` times and its next-symbol distribution differs from that of its longest kept
+suffix: count * KL divergence >= `divergence`. Both are absolute, so more text keeps more contexts. A kept context's
+distribution is smoothed towards its longest kept suffix's. A text's score adds each symbol's log10 probability after the longest kept suffix.
+
+Neither word counts nor the tree fit a broadcast: texts are dealt into groups of a few MB, each sends its distinct word hashes
+and grams packed by bucket; buckets answer with the words' counts in all training texts and the grams' probabilities. The
+tree is a table of grams by depth, and no context has more than 256 rows of it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .spread import binaries, by_bucket, checkpoint, group_of, narrow, sizes
+from .spread import binaries, by_bucket, checkpoint, group_of, narrow, pack, sizes, unpack
 from .words import LOWER, Words, buffer, slices, words
 
-DEPTH, BITS = 4, 6
-SYMBOLS = 1 << BITS
+DEPTH, BITS, END = 6, 8, 255  # UTF-8 has no byte 255
+CHUNK = 1 << 18
 
 
-def byte_classes() -> np.ndarray:
-    """The class of each byte: 0 is the boundary; letters have their own, rarer bytes share."""
-    c = np.full(256, 37, np.uint8)
-    c[:32], c[32], c[10], c[48:58] = 3, 1, 2, 4
-    c[97:123], c[65:91] = np.arange(5, 31), np.arange(5, 31)
-    for i, group in enumerate([b".", b",", b"-", b"'\"`", b":;!?", b"()[]{}<>"]):
-        c[list(group)] = 31 + i
-    c[0xC0:0xE0], c[0xC3], c[0xE0:] = 39, 38, 40
-    c[0x80:0xC0] = 41 + np.arange(64) * 23 // 64
-    return c
+def mask(depth: int) -> int:
+    """Of a context of this depth and the next symbol."""
+    return (1 << BITS * (depth + 1)) - 1
 
 
-CLASS = byte_classes()
-
-
-def grams(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """At each byte and at each text's end (a boundary): four symbols before it and its own, in 30 bits; the bytes; where texts begin."""
+def grams(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """At each byte and at each text's end (a boundary): the symbols before it and its own, in 56 bits; where texts begin."""
     buf, begin = buffer(column)
-    buf = LOWER[buf]
-    s = CLASS[buf].astype(np.int32)
-    s[begin[1:] - 1] = 0
+    s = LOWER[buf].astype(np.int64)
+    s[begin[1:] - 1] = END
     code = s.copy()
     for j in range(1, DEPTH + 1):
-        before = np.zeros_like(s)
-        before[j:] = s[:-j] if j < len(s) else 0
+        before = np.full_like(s, END)
+        before[j:] = s[:-j] if j < len(s) else END
         for t in range(j):
             at = begin[:-1] + t
-            before[at[at < begin[1:]]] = 0
+            before[at[at < begin[1:]]] = END
         code |= before << (BITS * j)
-    return code, buf, begin
-
-
-@dataclass
-class SuffixTree:
-    """log10 next-symbol rows of kept contexts; nodes by depth-3 suffix, and children of these at depth 4."""
-
-    rows: np.ndarray
-    node3: np.ndarray
-    extra: np.ndarray
-    node4: np.ndarray
-    bytes_in_class: np.ndarray
-
-    @classmethod
-    def build(cls, kept: dict[int, dict[int, np.ndarray]], byte_counts: np.ndarray, strength: float = 8.0) -> SuffixTree:
-        """kept: by depth, contexts with counts of next symbols; depth 0 holds the root."""
-        root = kept[0].get(0, np.zeros(SYMBOLS)) + 0.5
-        rows, node = [root / root.sum()], {(0, 0): 0}
-        for d in range(1, DEPTH + 1):
-            for context, n in kept.get(d, {}).items():
-                up = next(node[k, context & ((1 << BITS * k) - 1)] for k in range(d - 1, -1, -1) if (k, context & ((1 << BITS * k) - 1)) in node)
-                node[d, context] = len(rows)
-                rows.append((n + strength * rows[up]) / (n.sum() + strength))
-        node3 = np.zeros(1 << 3 * BITS, np.int32)
-        for d in (1, 2, 3):
-            view = node3.reshape(-1, 1 << d * BITS)
-            for (k, context), i in node.items():
-                if k == d:
-                    view[:, context] = i
-        long = sorted((c & ((1 << 3 * BITS) - 1), c >> 3 * BITS, i) for (k, c), i in node.items() if k == DEPTH)
-        suffixes = sorted({x for x, _, _ in long})
-        extra = np.zeros(1 << 3 * BITS, np.int32)
-        extra[suffixes] = np.arange(1, len(suffixes) + 1)
-        node4 = np.full((len(suffixes) + 1, SYMBOLS), -1, np.int32)
-        for suffix, first, i in long:
-            node4[extra[suffix], first] = i
-        within = np.zeros(256)
-        for c in range(SYMBOLS):
-            own = CLASS == c
-            if own.any():
-                within[own] = (byte_counts[own] + 0.5) / (byte_counts[own] + 0.5).sum()
-        return cls(np.log10(np.stack(rows)).astype(np.float32), node3, extra, node4, np.log10(np.maximum(within, 1e-300)).astype(np.float32))
-
-    def score(self, column: pa.ChunkedArray) -> np.ndarray:
-        code, buf, begin = grams(column)
-        if len(begin) < 2:
-            return np.zeros(0)
-        context = code >> BITS
-        low = context & ((1 << 3 * BITS) - 1)
-        node = self.node4[self.extra[low], context >> 3 * BITS]
-        node = np.where(node < 0, self.node3[low], node)
-        part = self.rows[node, code & (SYMBOLS - 1)].astype(float) + self.bytes_in_class[buf]
-        part[begin[1:] - 1] -= self.bytes_in_class[32]
-        return np.add.reduceat(part, begin[:-1])
-
-
-def keep_contexts(counted: DataFrame, least: float, divergence: float) -> dict[int, dict[int, np.ndarray]]:
-    """Kept contexts of gram counts (code, n) with their next-symbol counts, by depth."""
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    out: dict[int, dict[int, np.ndarray]] = {0: {}}
-    symbol, level = F.col("code").bitwiseAND(SYMBOLS - 1), {}
-    for d in range(DEPTH + 1):
-        context = F.shiftright("code", BITS).bitwiseAND((1 << BITS * d) - 1)
-        per = counted.groupBy(context.alias("context"), symbol.alias("symbol")).agg(F.sum("n").alias("n"))
-        big = per.groupBy("context").agg(F.sum("n").alias("all")).where(F.col("all") >= least * total)
-        level[d] = per.join(big, "context")
-    for d in range(DEPTH + 1):
-        rows = level[d]
-        if d:
-            up = level[d - 1].select(F.col("context").alias("up"), "symbol", (F.col("n") / F.col("all")).alias("p"))
-            rows = rows.withColumn("up", F.col("context").bitwiseAND((1 << BITS * (d - 1)) - 1)).join(up, ["up", "symbol"])
-            q = F.col("n") / F.col("all")
-            tested = rows.groupBy("context").agg((F.first("all") * F.sum(q * F.log(q / F.col("p")))).alias("gain")).where(F.col("gain") >= divergence)
-            rows = rows.join(tested, "context", "left_semi")
-        table = rows.select("context", "symbol", "n").toPandas()
-        kept = out.setdefault(d, {})
-        for c, s, n in zip(table["context"].tolist(), table["symbol"].tolist(), table["n"].tolist(), strict=True):
-            kept.setdefault(c, np.zeros(SYMBOLS))[s] = n
+    return code, begin
+
+
+def planes(x: np.ndarray) -> bytes:
+    """Ascending int64, byte plane by byte plane, as the high ones compress well."""
+    return x.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def from_planes(b: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
+def probabilities(counted: DataFrame, least: int, divergence: float, strength: float = 8.0) -> DataFrame:
+    """(code, p, depth) of gram counts (code, n): p of the last symbol after the longest kept context, which has `depth` symbols."""
+    level = {DEPTH: counted}
+    for d in range(DEPTH - 1, -1, -1):
+        level[d] = checkpoint(level[d + 1].groupBy(F.col("code").bitwiseAND(mask(d)).alias("code")).agg(F.sum("n").alias("n")))
+    total = level[0].agg(F.sum("n")).first()[0] or 0
+    out = level[0].select("code", ((F.col("n") + 0.5) / (total + 0.5 * (1 << BITS))).alias("p"), F.lit(0).alias("depth"))
+    for d in range(1, DEPTH + 1):
+        rows = level[d].withColumn("up", F.col("code").bitwiseAND(mask(d - 1))).join(out.withColumnRenamed("code", "up"), "up")
+        of = W.partitionBy(F.shiftright("code", BITS))
+        n, p = F.col("n"), F.col("p")
+        rows = rows.withColumn("all", F.sum("n").over(of)).withColumn("fit", F.sum(F.when(n > 0, n * F.log(n / p)).otherwise(0.0)).over(of))
+        kept = (F.col("all") >= least) & (F.col("fit") - F.col("all") * F.log(F.greatest("all", F.lit(1))) >= divergence)
+        out = rows.select("code", F.when(kept, (n + strength * p) / (F.col("all") + strength)).otherwise(p).alias("p"), F.when(kept, d).otherwise(F.col("depth")).alias("depth"))
     return out
 
 
@@ -148,7 +85,7 @@ def _words(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(parts), np.concatenate(own)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
 
-def score_texts(docs: DataFrame, held_out: Column | None = None, least: float = 2e-5, divergence: float = 40.0) -> DataFrame:
+def score_texts(docs: DataFrame, held_out: Column | None = None, least: int = 32, divergence: float = 40.0) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are runs of bytes without ASCII white space, after lower-casing A-Z, and one end. base_score is the sum over tokens
@@ -169,8 +106,18 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, least: float =
         values, at = np.unique(h, return_inverse=True)
         return values, at, own
 
+    def coded(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct grams, each symbol's place among them, and where texts begin."""
+        parts, n = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)]
+        for t in slices(table):
+            code, begin = grams(t["text"])
+            parts.append(code)
+            n.append(np.diff(begin))
+        values, at = np.unique(np.concatenate(parts), return_inverse=True)
+        return values, at, np.cumsum(np.concatenate(n))
+
     def dealt(values: np.ndarray) -> list[tuple[int, np.ndarray]]:
-        return by_bucket((values % np.uint64(n_buckets)).astype(np.int64), n_buckets)
+        return by_bucket((values % values.dtype.type(n_buckets)).astype(np.int64), n_buckets)
 
     def count(key: tuple, table: pa.Table) -> pa.Table:
         g = key[0].as_py()
@@ -181,33 +128,32 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, least: float =
         for b, x in dealt(values):
             n = narrow(c[x])
             rows.append((b, g, values[x].tobytes(), bytes([n.itemsize]) + n.tobytes()))
-        codes, bytes_ = [], np.zeros(256, np.int64)
-        for t in slices(table.filter(pa.array(train))):
-            code, buf, begin = grams(t["text"])
-            codes.append(code)
-            bytes_ += np.bincount(buf, minlength=256)
-            bytes_[32] -= len(t)
-        code, n = np.unique(np.concatenate(codes), return_counts=True) if codes else (np.zeros(0, np.int32), np.zeros(0, np.int64))
-        for b, x in by_bucket(code.astype(np.int64) % n_buckets, n_buckets):
-            rows.append((n_buckets + b, g, code[x].astype(np.int32).tobytes(), n[x].astype(np.uint32).tobytes()))
-        rows.append((2 * n_buckets, g, bytes_.tobytes(), np.array([train.sum()], np.int64).tobytes()))
+        code, at, begin = coded(table)
+        n = np.bincount(at, weights=np.repeat(train, np.diff(begin)), minlength=len(code)).astype(np.int64)
+        for b, x in dealt(code):
+            c = narrow(n[x])
+            rows.append((n_buckets + b, g, planes(code[x]), bytes([c.itemsize]) + c.tobytes()))
+        rows.append((2 * n_buckets, g, b"", np.array([train.sum()], np.int64).tobytes()))
         return pa.table([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), sent, strict=True)], names=[n for n, _ in sent])
 
     def add(key: tuple, table: pa.Table) -> pa.Table:
-        """kind 0: counts for a group's words, in its order; 1: a bucket's tokens and types; 2: gram counts; 3: bytes and training texts."""
+        """kind 0: counts for a group's words, in its order; 1: a bucket's tokens and types; 2: its grams and their counts; 3: training texts; 4: a group's places among the grams."""
         b, g = key[0].as_py(), table["g"].to_pylist()
         keys, counts = binaries(table["keys"]), binaries(table["counts"])
+
+        def rows(kind: int, g: list[int], n: int, counts: list[bytes | None]) -> pa.Table:
+            k = len(g)
+            return pa.table({"kind": pa.array([kind] * k, pa.int32()), "bucket": pa.array([b] * k, pa.int32()), "g": pa.array(g, pa.int32()), "n": pa.array([n] * k, pa.int64()), "code": pa.array([0] * k, pa.int64()), "counts": pa.array(counts, pa.binary())})
+
         if b == 2 * n_buckets:
-            both = [(int(n), i) for i, n in enumerate(np.sum([np.frombuffer(k, np.int64) for k in keys], 0))]
-            both.append((sum(int(np.frombuffer(c, np.int64)[0]) for c in counts), 256))
-            return pa.table({"kind": pa.array([3] * 257, pa.int32()), "bucket": pa.array([b] * 257, pa.int32()), "g": pa.array([0] * 257, pa.int32()), "n": [x for x, _ in both], "code": [i for _, i in both], "counts": pa.array([None] * 257, pa.binary())})
+            return rows(3, [0], sum(int(np.frombuffer(c, np.int64)[0]) for c in counts), [None])
         if b >= n_buckets:
-            code, n = np.concatenate([np.frombuffer(k, np.int32) for k in keys]), np.concatenate([np.frombuffer(c, np.uint32) for c in counts]).astype(np.int64)
-            order = np.argsort(code, kind="stable")
-            heads = np.flatnonzero(np.r_[True, np.diff(code[order]) != 0])
-            n = np.add.reduceat(n[order], heads)
-            k = len(heads)
-            return pa.table({"kind": pa.array([2] * k, pa.int32()), "bucket": pa.array([b] * k, pa.int32()), "g": pa.array([0] * k, pa.int32()), "n": n, "code": code[order][heads].astype(np.int64), "counts": pa.nulls(k, pa.binary())})
+            parts = [from_planes(k) for k in keys]
+            code, at = np.unique(np.concatenate(parts), return_inverse=True)
+            n = np.bincount(at, weights=np.concatenate([np.frombuffer(c, f"u{c[0]}", offset=1) for c in counts]), minlength=len(code)).astype(np.int64)
+            packed = [np.r_[code[i : i + CHUNK], n[i : i + CHUNK]].tobytes() for i in range(0, len(code), CHUNK)]
+            places = [pack(x) for x in np.split(at, np.cumsum([len(x) for x in parts])[:-1])]
+            return pa.concat_tables([rows(2, [0] * len(packed), 0, packed), rows(4, g, 0, places)])
         h = np.concatenate([np.frombuffer(k, np.uint64) for k in keys])
         n = np.concatenate([np.frombuffer(c, f"u{c[0]}", offset=1).astype(np.int64) for c in counts])
         order = np.argsort(h, kind="stable")
@@ -227,12 +173,24 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, least: float =
     asked = grouped.groupBy("g").applyInArrow(count, "bucket int, g int, keys binary, counts binary")
     answers = checkpoint(asked.groupBy("bucket").applyInArrow(add, schema))
     tokens, types = answers.where("kind = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("code"), F.lit(0))).first()
-    bytes_ = np.zeros(257)
-    for r in answers.where("kind = 3").select("code", "n").collect():
-        bytes_[r.code] += r.n
-    ends = int(bytes_[256])
+    ends = int(answers.where("kind = 3").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     N, V = tokens + ends, types + (ends > 0)
-    tree = docs.sparkSession.sparkContext.broadcast(SuffixTree.build(keep_contexts(answers.where("kind = 2").select("code", "n"), least, divergence), bytes_[:256]))
+
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in batch["counts"]:
+                code, n = np.frombuffer(b.as_py(), np.int64).reshape(2, -1)
+                yield from pa.table({"code": code, "n": n}).to_batches(max_chunksize=100_000)
+
+    def reply(key: tuple, table: pa.Table, asked: pa.Table) -> pa.Table:
+        """A bucket's log10 probabilities for each group's grams, in its order."""
+        p = np.log10(np.asarray(table["p"])[np.argsort(np.asarray(table["code"]))]).astype(np.float32)
+        packed = [p[unpack(x)].tobytes() for x in binaries(asked["counts"])]
+        return pa.table({"g": asked["g"], "bucket": asked["bucket"], "counts": pa.array(packed, pa.binary())})
+
+    counted = answers.where("kind = 2").select("counts").mapInArrow(unpacked, "code long, n long")
+    tree = probabilities(counted, least, divergence).select((F.col("code") % n_buckets + n_buckets).cast("int").alias("bucket"), "code", "p")
+    scored = tree.groupBy("bucket").cogroup(answers.where("kind = 4").select("bucket", "g", "counts").groupBy("bucket")).applyInArrow(reply, "g int, bucket int, counts binary")
 
     def finish(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
         values, at, own = distinct(table)
@@ -242,14 +200,19 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, least: float =
             c[x] = np.frombuffer(by[b], f"u{by[b][0]}", offset=1)
         n_docs = len(table)
         base = lambda x: np.log10((x + 0.1) / (N + 0.1 * (V + 1)))
+        known = (c > 0)[at]
         sums = np.bincount(own, weights=base(c)[at], minlength=n_docs) + base(ends)
-        score = np.concatenate([tree.value.score(t["text"]) for t in slices(table, size=1 << 20)]) if n_docs else np.zeros(0)
+        code, at, begin = coded(table)
+        p = np.zeros(len(code), np.float32)
+        for b, x in dealt(code):
+            p[x] = np.frombuffer(by[n_buckets + b], np.float32)
+        score = np.add.reduceat(p[at].astype(float), begin[:-1]) if n_docs else np.zeros(0)
         return pa.table({
             "doc_id": table["doc_id"], "held_out": table["held_out"], "n_tokens": np.bincount(own, minlength=n_docs) + 1,
-            "n_known": np.bincount(own, weights=(c > 0)[at], minlength=n_docs).astype(np.int64) + int(ends > 0),
+            "n_known": np.bincount(own, weights=known, minlength=n_docs).astype(np.int64) + int(ends > 0),
             "train_tokens": np.full(n_docs, N, np.int64), "base_score": sums, "score": score,
         })
 
-    replies = answers.where("kind = 0").select("g", "bucket", "counts")
+    replies = answers.where("kind = 0").select("g", "bucket", "counts").unionByName(scored)
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return grouped.groupBy("g").cogroup(replies.groupBy("g")).applyInArrow(finish, out)

@@ -36,3 +36,14 @@ def test_without_training(spark):
     rows = [(d, "a b") for d in range(60) if zlib.crc32(str(d).encode()) % 10 == 0]
     check(spark, rows)
     assert score_texts(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_rare_and_deep_contexts(spark):
+    filler = "the and of it " * 9000
+    rows = [(i, filler) for i in range(60)] + [(1000 + i, "xabcde1" if i % 2 else "yabcde2") for i in range(160)]
+    rows += [(3000 + i, "жцша" if i % 2 else "гцшб") for i in range(160)]
+    asked = {1: "xabcde1", 2: "xabcde2", 3: "жцша", 4: "жцшб"}
+    held = {d: [i for i in range(5000, 9000) if zlib.crc32(str(i).encode()) % 10 == 0][d] for d in asked}
+    got = {r.doc_id: r.score for r in score_texts(spark.createDataFrame(rows + [(held[d], t) for d, t in asked.items()], "doc_id long, text string")).collect()}
+    # each pattern is a hundred-thousandth of all symbols, and its last letter depends on the sixth byte before it
+    assert got[held[1]] > got[held[2]] + 0.5 and got[held[3]] > got[held[4]] + 0.5
