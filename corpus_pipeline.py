@@ -14,9 +14,13 @@ from placewright.llm.packing import pack
 from placewright.llm.substrings import duplicated_words
 
 
+#: Deviations of a language's fitted texts, below which a document is not taken to be in it.
+UNUSUAL = -8.0
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or whose language can't be told, go."""
-    good = identify(docs, columns=True).where("lang_pred <> 'und' and score >= 0.25")
+    """Documents without a letter go, and so do those whose trigrams are far from usual in the language found, as in letter junk or a language not learned."""
+    good = identify(docs, columns=True).where(F.col("lang_pred").isNotNull() & (F.col("lang_pred") != "und") & (F.col("typical") >= UNUSUAL))
     return good.select(*docs.columns)
 
 

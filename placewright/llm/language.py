@@ -45,6 +45,26 @@ def frequencies(column: pa.ChunkedArray) -> np.ndarray:
     return np.bincount(at, minlength=len(n) * DIMS).reshape(len(n), DIMS) / np.maximum(n, 1)[:, None]
 
 
+def letter_trigrams(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashed trigrams, A-Z and À-Þ lower-cased, with all but letters taken as spaces; n + 1 offsets; which of them hold two letters or more."""
+    buf, begin = buffer(column)
+    b = np.r_[np.uint8(32), LOWER[buf], np.uint8(32)]
+    b[1:] += np.where((b[:-1] == 0xC3) & (b[1:] >= 0x80) & (b[1:] <= 0x9E), 32, 0).astype(np.uint8)
+    letter = ((b >= 97) & (b <= 122)) | (b >= 128)
+    b = np.where(letter, b, 32).astype(np.uint32)
+    code = (b[:-2] | (b[1:-1] << np.uint32(8)) | (b[2:] << np.uint32(16))) * np.uint32(2654435761) >> np.uint32(32 - 14)
+    two = letter[:-2].astype(np.int8) + letter[1:-1] + letter[2:] >= 2
+    return code.astype(np.int32)[: len(buf)], begin, two[: len(buf)]
+
+
+def letter_frequencies(column: pa.ChunkedArray) -> np.ndarray:
+    code, begin, two = letter_trigrams(column)
+    k = len(begin) - 1
+    own = np.repeat(np.arange(k), np.diff(begin))[two]
+    n = np.bincount(own, minlength=k)
+    return np.bincount(own * DIMS + code[two], minlength=k * DIMS).reshape(k, DIMS) / np.maximum(n, 1)[:, None]
+
+
 def linear_svm(x: np.ndarray, y: np.ndarray, scale: np.ndarray, steps: int = 150, l2: float = 1e-4) -> tuple[np.ndarray, float]:
     """Squared-hinge linear SVM by accelerated gradient descent; y is 1 or -1, classes weigh the same."""
     x = (x * scale).astype(np.float32)
@@ -69,13 +89,14 @@ class LanguageModel:
     pairs: list[tuple[str, str]]
     weights: np.ndarray
     bias: np.ndarray
+    usual: dict[str, tuple[np.ndarray, float, float, float]]
 
-    def predict(self, column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-        """Language and score of each text; the score is the family's probability times the language's within it."""
+    def predict(self, column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Language, score and typical of each text; the score is the family's probability times the language's within it."""
         code, begin = trigrams(column)
         n = np.diff(begin)
         if not len(n):
-            return np.zeros(0, object), np.zeros(0)
+            return np.zeros(0, object), np.zeros(0), np.zeros(0)
         raw = np.stack([np.add.reduceat(w[code], begin[:-1]) for w in self.weights], 1) / n[:, None] + self.bias
         sigmoid = lambda m: 1 / (1 + np.exp(-np.clip(4 * m, -50, 50)))
         f = sigmoid(raw[:, : len(self.families)])
@@ -96,7 +117,32 @@ class LanguageModel:
             own = (votes + sure / 2).argmax(1) if len(rows) else np.zeros(0, int)
             lang[rows] = np.array(names, object)[own]
             score[rows] *= sure[np.arange(len(rows)), own]
-        return lang, score
+        names = sorted(self.usual)
+        at = np.searchsorted(names, lang.astype(str))
+        log_p = np.stack([self.usual[k][0] for k in names])
+        middle, spread, each = np.array([self.usual[k][1:] for k in names])[at].T
+        code, begin, two = letter_trigrams(column)
+        used = np.add.reduceat(two.astype(np.int64), begin[:-1])
+        mean = np.add.reduceat(np.where(two, log_p[np.repeat(at, n), code], 0.0), begin[:-1]) / np.maximum(used, 1)
+        return lang, score, np.where(used > 0, (mean - middle) / np.sqrt(spread**2 + each**2 / np.maximum(used, 1)), 0.0)
+
+
+def usual_trigrams(x: np.ndarray) -> tuple[np.ndarray, float, float, float]:
+    """Of a language's fitted texts: log frequencies of trigrams; median and spread of a text's mean of them, each half by the other's; spread of one trigram."""
+
+    def logs(rows: np.ndarray) -> np.ndarray:
+        return np.log(0.8 * rows.mean(0) + 0.2 / DIMS)
+
+    if len(x) < 8:  # too few to tell what is usual
+        return logs(x).astype(np.float32), 0.0, np.inf, 0.0
+    mean, square = np.zeros(len(x)), np.zeros(len(x))
+    for h in (0, 1):
+        other = logs(x[1 - h :: 2])
+        mean[h::2], square[h::2] = x[h::2] @ other, x[h::2] @ other**2
+    middle = np.median(mean)
+    # A sixth of how far all but the least usual texts reach, if that is more: clean texts vary more than a normal distribution.
+    spread = max(1.4826 * np.median(np.abs(mean - middle)), (middle - np.quantile(mean, 0.005)) / 6)
+    return logs(x).astype(np.float32), middle, spread, np.sqrt(max(0.0, np.median(square - mean**2)) + 1e-6)
 
 
 def fit(docs: DataFrame, training: Column, per_language: int = 600) -> LanguageModel | None:
@@ -113,16 +159,26 @@ def fit(docs: DataFrame, training: Column, per_language: int = 600) -> LanguageM
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 t = batch.slice(start, 256)
-                x = frequencies(pa.chunked_array([t["text"]])).astype(np.float32)
-                yield pa.RecordBatch.from_arrays([t["lang"], pa.array([r.tobytes() for r in x], pa.binary())], ["lang", "x"])
+                for name, f in (("x", frequencies), ("letters", letter_frequencies)):
+                    x = f(pa.chunked_array([t["text"]])).astype(np.float32)
+                    yield pa.RecordBatch.from_arrays([t["lang"], pa.array([name] * len(t), pa.string()), pa.array([r.tobytes() for r in x], pa.binary())], ["lang", "kind", "x"])
 
-    sample: pd.DataFrame = rows.where(pick).select("text", "lang").mapInArrow(lambda b: _sparse(features(b)), "lang string, x binary").toPandas()
+    both: pd.DataFrame = rows.where(pick).select("text", "lang").mapInArrow(lambda b: _sparse(features(b)), "lang string, kind string, x binary").toPandas()
     langs = sorted(counts)
-    x = np.zeros((len(sample), DIMS), np.float32)
-    for i, raw in enumerate(sample["x"]):
-        pair = np.frombuffer(raw, [("c", "<u2"), ("v", "<f4")])
-        x[i, pair["c"]] = pair["v"]
-    y = sample["lang"].to_numpy()
+
+    def dense(sample: pd.DataFrame) -> np.ndarray:
+        x = np.zeros((len(sample), DIMS), np.float32)
+        for i, raw in enumerate(sample["x"]):
+            pair = np.frombuffer(raw, [("c", "<u2"), ("v", "<f4")])
+            x[i, pair["c"]] = pair["v"]
+        return x
+
+    usual = {}
+    for k in langs:
+        own = dense(both[(both["kind"] == "letters") & (both["lang"] == k)])
+        usual[k] = usual_trigrams(own) if len(own) else (np.zeros(DIMS, np.float32), 0.0, np.inf, 0.0)
+    sample = both[both["kind"] == "x"]
+    x, y = dense(sample), sample["lang"].to_numpy()
     used = np.flatnonzero(x.any(0))
     x = x[:, used]
     scale = 1 / np.sqrt((x.astype(float) ** 2).mean(0) + 1e-9) / np.sqrt(max(1, len(used)))
@@ -138,7 +194,7 @@ def fit(docs: DataFrame, training: Column, per_language: int = 600) -> LanguageM
         fitted.append(linear_svm(x[own], np.where(y[own] == a, 1.0, -1.0), scale))
     weights = np.zeros((len(fitted), DIMS), np.float32)
     weights[:, used] = np.stack([w for w, _ in fitted])
-    return LanguageModel(families, members, pairs, weights, np.array([b for _, b in fitted]))
+    return LanguageModel(families, members, pairs, weights, np.array([b for _, b in fitted]), usual)
 
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +206,7 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pair = np.empty(len(at), [("c", "<u2"), ("v", "<f4")])
             pair["c"], pair["v"] = at, v[at]
             out.append(pair.tobytes())
-        yield pa.RecordBatch.from_arrays([batch["lang"], pa.array(out, pa.binary())], ["lang", "x"])
+        yield pa.RecordBatch.from_arrays([batch["lang"], batch["kind"], pa.array(out, pa.binary())], ["lang", "kind", "x"])
 
 
 def identify(docs: DataFrame, held_out: Column | None = None, per_language: int = 600, columns: bool = False) -> DataFrame:
@@ -159,7 +215,9 @@ def identify(docs: DataFrame, held_out: Column | None = None, per_language: int
     Learns from text and non-null lang of the rows that aren't held out; predicts from the whole text alone. A null text, or one
     without a letter, gives `und` and score 0; so does every text if there is nothing to learn from. Repeated rows give
     repeated results. By default rows with crc32(doc_id) mod 4 = 2 are held out. With `columns`, all columns of docs are returned
-    before these three (which replace any of the same names); else only doc_id is.
+    before these three and `typical` (which replace any of the same names); else only doc_id is. typical says by how many
+    deviations of the language's fitted texts the text's letter trigrams are more usual in it, or less (negative), for a text of its length; it does
+    not depend on the other languages. It is 0 for `und` and for a language with under 8 fitted texts.
     """
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False)) if held_out is None else held_out
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), held.alias("held_out"))
@@ -168,26 +226,26 @@ def identify(docs: DataFrame, held_out: Column | None = None, per_language: int
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for t in slices(batch):  # a batch or a table of them
-                lang, score = np.full(len(t), None, object), np.zeros(len(t))
+                lang, score, typical = np.full(len(t), None, object), np.zeros(len(t)), np.zeros(len(t))
                 if model.value is not None:
-                    lang, score = model.value.predict(t["text"])
+                    lang, score, typical = model.value.predict(t["text"])
                 letters = np.asarray(t["letters"])
-                lang, score = np.where(letters, lang, None), np.where(letters, score, 0.0)
+                lang, score, typical = np.where(letters, lang, None), np.where(letters, score, 0.0), np.where(letters, typical, 0.0)
                 lang[lang == None] = "und"  # noqa: E711
-                yield from pa.table({"doc_id": t["doc_id"], "held_out": t["held_out"], "lang_pred": pa.array(lang.tolist(), pa.string()), "score": score}).to_batches()
+                yield from pa.table({"doc_id": t["doc_id"], "held_out": t["held_out"], "lang_pred": pa.array(lang.tolist(), pa.string()), "score": score, "typical": typical}).to_batches()
 
     letters = F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False))
-    new = ("held_out", "lang_pred", "score")
+    new = ("held_out", "lang_pred", "score", "typical")
     if not columns:
-        return rows.select("doc_id", "text", "held_out", letters.alias("letters")).mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")
+        return rows.select("doc_id", "text", "held_out", letters.alias("letters")).mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double, typical double").drop("typical")
     own = [c for c in docs.columns if c not in new]
     packed = docs.select(F.struct(*own).alias("row"), F.col("text").cast("string").alias("text"), held.alias("held_out"), letters.alias("letters"))
 
     def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             t = pa.Table.from_batches([batch])
-            got = pa.Table.from_batches(list(predict([t.append_column("doc_id", pa.nulls(len(t), pa.int64()))])), pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())]))
+            got = pa.Table.from_batches(list(predict([t.append_column("doc_id", pa.nulls(len(t), pa.int64()))])), pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("typical", pa.float64())]))
             yield from pa.table({"row": t["row"], **{n: got[n] for n in new}}).to_batches()
 
     row = packed.schema["row"].dataType.simpleString()
-    return packed.mapInArrow(beside, f"row {row}, held_out boolean, lang_pred string, score double").select("row.*", *new)
+    return packed.mapInArrow(beside, f"row {row}, held_out boolean, lang_pred string, score double, typical double").select("row.*", *new)

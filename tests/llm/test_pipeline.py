@@ -39,3 +39,16 @@ def test_stages(spark, sf):
 
 def test_run(spark, sf):
     assert corpus_pipeline.run(spark, sf).count() > 0
+
+
+def test_unusual_documents_go(spark, sf):
+    docs = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/documents.parquet")
+    polish = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa."
+    short = [(i, " ".join(r.text.split()[:3])) for i, r in enumerate(docs.where("length(text) > 60").orderBy("doc_id").limit(200).collect(), 9_100_000)]
+    junk = [(9_000_000, "xq zvkj qqxw jzzkq vxqwk zqj kkxz wvqq jxk zzq " * 3), (9_000_001, polish), (9_000_002, "ゆきがふる おおきなやまに ゆきがふる " * 4)]
+    extra = spark.createDataFrame([(d, t, None, "src0", len(t)) for d, t in junk + short], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.unionByName(extra), sf).select("doc_id").collect()}
+    clean = {r.doc_id for r in docs.where(r"text rlike '\\p{L}'").select("doc_id").collect()}
+    assert not kept & {d for d, _ in junk}
+    assert len(clean - kept) <= len(clean) / 200
+    assert len({d for d, _ in short} - kept) <= 2
