@@ -27,11 +27,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by sets of five-word shingles with a similarity of 0.8 or more, the smallest doc_id stays.
 
-    Documents without words stay. Rows that repeat a doc_id are one document; one with its least text stays.
+    Documents without words stay, and so do rows without a doc_id, which are never compared. Rows that repeat both doc_id and text are one
+    document; rows of a doc_id with different texts are compared like any others. What stays is always a whole row.
     """
-    groups = jaccard_components(docs, k=5, num=80, den=100).where("component_id is null or doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(groups, "doc_id", "left_semi").groupBy("doc_id").agg(*(F.min_by(c, F.coalesce("text", F.lit(""))).alias(c) for c in docs.columns if c != "doc_id"))
-    return kept.select(*docs.columns)
+    rid = F.xxhash64("doc_id", "text")
+    rows = docs.where("doc_id is not null").withColumn("_rid", rid)
+    found = jaccard_components(rows.select(F.col("_rid").alias("doc_id"), "text"), k=5, num=80, den=100).select(F.col("doc_id").alias("_rid"), "component_id")
+    least = found.distinct().join(rows.select("_rid", "doc_id").distinct(), "_rid").groupBy("component_id").agg(F.min(F.struct("doc_id", "_rid")).alias("least"))
+    kept = rows.join(least.select("least._rid"), "_rid", "left_semi").groupBy("_rid").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return kept.select("row.*").unionByName(docs.where("doc_id is null"))
 
 
 def substring_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

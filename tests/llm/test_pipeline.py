@@ -52,3 +52,12 @@ def test_unusual_documents_go(spark, sf):
     assert not kept & {d for d, _ in junk}
     assert len(clean - kept) <= len(clean) / 200
     assert len({d for d, _ in short} - kept) <= 2
+
+
+def test_near_duplicates_keep_whole_rows(spark):
+    a, b = "one two three four five six seven", "eight nine ten eleven twelve thirteen fourteen"
+    rows = [(None, a, "en", "s1", 1), (None, a, "en", "s1", 1), (None, None, "de", "s2", 2), (7, b, "en", "s9", 3), (7, "quite another text without any copy here", "de", "s3", 4)]
+    rows += [(8, b, "fr", "s4", 5), (3, "x y", "a", "z", 9), (3, "x y", "b", "c", 1), (5, None, "en", "s", None)]
+    got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "")
+    want = [*rows[:5], (3, "x y", "a", "z", 9), rows[8]]
+    assert key(tuple(r) for r in got.collect()) == key(want)
