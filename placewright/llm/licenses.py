@@ -2,7 +2,8 @@
 
 A hit of a text's bigram at word p with a template's at word q votes for diagonal p - q. Neighbouring diagonals merge, so a
 few inserted or missing words don't break a span; a span is verified by the share of its template's bigrams that voted. A
-phrase needs all its bigrams on one diagonal, which is the phrase itself.
+phrase, or a template of up to `SHORT` words, needs all its bigrams on one diagonal, which is the phrase itself. Such a template
+doesn't count where a longer one that begins with it stands.
 """
 
 from __future__ import annotations
@@ -38,24 +39,27 @@ TEMPLATES = {
 #: Bigrams of two of these words don't vote for templates; they stand in any text.
 COMMON = set("a and any at by for in is it of or that the this to with you".split())
 MARK = -1
+SHORT = 8
 
 
 def template_table(spark: SparkSession, phrases: dict[str, str], templates: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """(h, tid, tpos) of voting bigrams, and (tid, label, need, phrase) of templates; the row tid -1 marks texts."""
+    """(h, tid, tpos) of voting bigrams, and (tid, label, need, phrase, exact, root) of templates, root being the shortest template that they begin with; the row tid -1 marks texts."""
     grams, kinds = [(MARK, -1, 0)], []
+    roots = sorted((t.split() for t in templates), key=len)
     for tid, (text, label, phrase) in enumerate([*((t, l, True) for t, l in phrases.items()), *((t, l, False) for t, l in templates.items())]):
         w = text.split()
         h = rolling(words(pa.array([text]), ALNUM).hashes, 2).view(np.int64)
-        votes = [i for i in range(len(w) - 1) if phrase or not {w[i], w[i + 1]} <= COMMON]
+        votes = [i for i in range(len(w) - 1) if phrase or len(w) <= SHORT or not {w[i], w[i + 1]} <= COMMON]
         grams += [(int(h[i]), tid, i) for i in votes]
-        kinds.append((tid, label, len(votes), phrase))
-    return spark.createDataFrame(grams, "h long, tid int, tpos int"), spark.createDataFrame(kinds, "tid int, label string, need int, phrase boolean")
+        root = None if phrase else " ".join(next(r for r in roots if w[: len(r)] == r))
+        kinds.append((tid, label, len(votes), phrase, phrase or len(w) <= SHORT, root))
+    return spark.createDataFrame(grams, "h long, tid int, tpos int"), spark.createDataFrame(kinds, "tid int, label string, need int, phrase boolean, exact boolean, root string")
 
 
 def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str, str] = TEMPLATES, coverage: float = 0.6, drift: int = 3) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans.
 
-    A-Z are lower-cased; words are runs of a-z, digits and non-ASCII. n_base counts the places of `phrases`, first_word and
+    A-Z are lower-cased; words are runs of a-z, digits and non-ASCII. Short templates need all their words in a row. n_base counts the places of `phrases`, first_word and
     last_word are their least and largest start (else null). labels adds those of spans that hold at least `coverage` of a
     template's voting bigrams on diagonals within `drift` of each other; spans [(label, first, end, coverage)] are theirs
     and the phrases'. score is the largest coverage found (1 for a phrase, 0 without any). Null and empty texts have no words.
@@ -83,15 +87,19 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str
     )
     votes = votes.join(F.broadcast(kinds), "tid", "left")
     lane = W.partitionBy("rid", "tid").orderBy("diagonal")
-    far = F.col("phrase").isNull() | F.col("phrase") | F.coalesce(F.col("diagonal") - F.lag("diagonal").over(lane) > drift, F.lit(True))
+    far = F.col("phrase").isNull() | F.col("exact") | F.coalesce(F.col("diagonal") - F.lag("diagonal").over(lane) > drift, F.lit(True))
     runs = votes.withColumn("run", F.sum(F.when(far, 1).otherwise(0)).over(lane))
     spans = runs.groupBy("rid", "tid", "run").agg(
-        F.first("label").alias("label"), F.first("phrase").alias("phrase"), F.first("need").alias("need"), F.max("doc_id").alias("doc_id"), F.min("diagonal").alias("diagonal"),
+        F.first("label").alias("label"), F.first("phrase").alias("phrase"), F.first("exact").alias("exact"), F.first("root").alias("root"), F.first("need").alias("need"), F.max("doc_id").alias("doc_id"), F.min("diagonal").alias("diagonal"),
         F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("votes"),
     )
     share = F.least(F.lit(1.0), F.col("votes") / F.col("need"))
     place = F.col("phrase") & (F.col("votes") == F.col("need"))
-    found = place | (~F.col("phrase") & (share >= coverage))
+    whole = F.when(F.col("exact"), F.col("votes") == F.col("need")).otherwise(share >= coverage)
+    beside = W.partitionBy("rid", "root", "diagonal")
+    longest = F.max(F.when(F.col("exact") & ~F.col("phrase") & whole, F.col("need"))).over(beside)
+    spans = spans.withColumn("covered", F.coalesce(~F.col("phrase") & F.col("exact") & (F.col("need") < longest), F.lit(False)))
+    found = place | (~F.col("phrase") & whole & ~F.col("covered"))
     span = F.struct("label", F.col("lo").cast("long").alias("first"), (F.col("hi") + 2).cast("long").alias("end"), share.alias("coverage"))
     joined = lambda c: F.array_join(F.sort_array(F.collect_set(F.when(c, F.col("label")))), ",")
     out = spans.groupBy("rid").agg(

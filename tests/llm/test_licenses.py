@@ -32,3 +32,12 @@ def test_templates_with_gaps(spark):
     for i, label in enumerate(TEMPLATES.values()):
         assert label in got[i].labels.split(",")
     assert scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_exact_label_sets(spark):
+    by, sa = "Creative Commons Attribution", "Creative Commons Attribution-ShareAlike"
+    rows = [(f"see {by} 4.0", "cc-by"), (f"see {sa} 4.0", "cc-by-sa"), (f"{by} {sa}", "cc-by,cc-by-sa"), (f"{sa}, {by}", "cc-by,cc-by-sa")]
+    rows += [("creative commons and attribution share alike", ""), ("Creative Commons Zero", "cc0"), ("GNU Affero General Public License", "agpl"), ("GNU Lesser General Public License", "lgpl")]
+    rows += [("gnu lesser general words public license", ""), (f"{by} Share Alike", "cc-by-sa")]
+    got = scan(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")).collect()
+    assert [r.labels for r in sorted(got, key=lambda r: r.doc_id)] == [x for _, x in rows]
