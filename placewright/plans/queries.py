@@ -102,9 +102,12 @@ WITH s AS (SELECT ccode, CASE WHEN bool_and(coalesce(s_earliest, s_in) IS NOT NU
   min(coalesce(s_latest, s_in)) FILTER (WHERE coalesce(s_latest, s_in) IS NOT NULL AND coalesce(e_earliest, e_in) IS NOT NULL) AS core_start, max(coalesce(e_earliest, e_in)) FILTER (WHERE coalesce(s_latest, s_in) IS NOT NULL AND coalesce(e_earliest, e_in) IS NOT NULL) AS core_end
   FROM p_base JOIN ts_flat USING (place_id) WHERE ccode IS NOT NULL GROUP BY ccode) SELECT * FROM s""")
 def envelope_and_core(v: Views) -> DataFrame:
-    per = spans(v).join(v.p_base, "place_id").where("ccode is not null").groupBy("ccode").agg(F.collect_list("span").alias("spans"))
-    (a, b), (c, d) = temporal.outer_range(F.col("spans")), temporal.core_range(F.col("spans"))
-    return per.select("ccode", a.alias("outer_start"), b.alias("outer_end"), c.alias("core_start"), d.alias("core_end"))
+    a, b, c, d = F.coalesce("s_earliest", "s_in"), F.coalesce("e_latest", "e_in"), F.coalesce("s_latest", "s_in"), F.coalesce("e_earliest", "e_in")
+    core = c.isNotNull() & d.isNotNull()
+    return v.p_base.where("ccode is not null").join(v.ts_flat, "place_id").groupBy("ccode").agg(
+        F.when(F.bool_and(a.isNotNull()), F.min(a)).alias("outer_start"), F.when(F.bool_and(b.isNotNull()), F.max(b)).alias("outer_end"),
+        F.min(F.when(core, c)).alias("core_start"), F.max(F.when(core, d)).alias("core_end"),
+    )
 
 
 @query("SELECT place_id, coalesce(s_earliest, s_in, -9999) AS start_year, coalesce(e_latest, e_in, 9999) AS end_year FROM ts_flat")

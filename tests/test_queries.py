@@ -35,3 +35,8 @@ def test_query(spark, sf, con, name):
     want = sorted(str({c: plain(v) for c, v in sorted(zip(columns, r))}) for r in cursor.fetchall())
     assert sorted(str({c: plain(v) for c, v in sorted(r.asDict().items())}) for r in rows) == want
     assert rows
+
+
+def test_envelope_gathers_no_group(spark, sf):
+    plan = QUERIES["envelope_and_core"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
