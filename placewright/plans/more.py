@@ -179,6 +179,12 @@ def tiles(v: Views) -> DataFrame:
     return v.p_pt.where("k % 5 <> 0").select("place_id", x.alias("x"), y.alias("y"))
 
 
+@query("SELECT place_id, floor((lon + 180) / 360 * 256)::BIGINT AS x, floor((1 - ln(tan(radians(lat)) + 1 / cos(radians(lat))) / pi()) / 2 * 256)::BIGINT AS y FROM p_pt")
+def tiles_of_all(v: Views) -> DataFrame:
+    x, y = space.tile(F.col("lon"), F.col("lat"), 8)
+    return v.p_pt.select("place_id", x.alias("x"), y.alias("y"))
+
+
 @query("""
 WITH d AS (SELECT q.place_id, t.ccode, t.place_id AS o, (q.lon - t.lon) * (q.lon - t.lon) + (q.lat - t.lat) * (q.lat - t.lat) AS d FROM p_pt q JOIN p_pt t ON t.namespace = 'su' AND q.namespace = 'pa' AND q.k <= 60)
 SELECT place_id, ccode, d FROM (SELECT *, row_number() OVER (PARTITION BY place_id ORDER BY d, o) AS r FROM d) WHERE r <= 3""")

@@ -228,6 +228,14 @@ def place_lookup(v: Views) -> DataFrame:
     return search.lookup(v.p_base, asked).select("pos", "asked", "title", "found")
 
 
+@query("""
+WITH a AS (SELECT o_orderkey AS pos, concat('place:cu:', (o_custkey + o_orderkey % 2 * 1000000)::VARCHAR) AS asked FROM orders)
+SELECT pos, asked, title, title IS NOT NULL AS found FROM a LEFT JOIN p_base ON place_id = replace(asked, 'place:', '')""")
+def place_lookup_of_all(v: Views) -> DataFrame:
+    asked = v.orders.select(F.col("o_orderkey").alias("pos"), F.concat(F.lit("place:cu:"), (F.col("o_custkey") + F.col("o_orderkey") % 2 * 1000000).cast("string")).alias("asked"))
+    return search.lookup(v.p_base, asked).select("pos", "asked", "title", "found")
+
+
 @query(r"""
 WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents), s AS (SELECT count(*) AS docs, avg(len(w)) AS mean FROM t),
 f AS (SELECT doc_id, len(w) AS n, term, count(*) AS tf FROM (SELECT doc_id, w, unnest(w) AS term FROM t) WHERE term IN ('thing', 'license') GROUP BY doc_id, w, term),

@@ -40,3 +40,9 @@ def test_query(spark, sf, con, name):
 def test_envelope_gathers_no_group(spark, sf):
     plan = QUERIES["envelope_and_core"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" not in plan
+
+
+def test_all_rows(spark, sf):
+    tables = {t: spark.read.parquet(f"{sf}/{t}.parquet").count() for t in ("part", "customer", "supplier", "orders")}
+    assert QUERIES["tiles_of_all"](spark, sf).count() == tables["part"] + tables["customer"] + tables["supplier"]
+    assert QUERIES["place_lookup_of_all"](spark, sf).count() == tables["orders"]
