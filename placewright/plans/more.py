@@ -283,6 +283,15 @@ def reconciled_labels(v: Views) -> DataFrame:
     return out.select("conv_id", "turn", F.col("r.rule").alias("rule"), F.col("r.text").alias("reading"))
 
 
+@query()
+def reconciled_turns(v: Views) -> DataFrame:
+    # Whole texts of every turn, with any characters. No twin: DuckDB's levenshtein counts bytes.
+    h, k = F.trim("text"), F.col("turn") % 5
+    o = F.trim(F.when(k == 0, F.col("text")).when(k == 1, F.expr("substring(text, 1, length(text) - 4)")).when(k == 2, F.concat(F.expr("substring(text, 1, length(text) - 1)"), F.lit("x"))).when(k == 3, "").otherwise(F.expr("substring(text, 5)")))
+    out = v.conversations.select("conv_id", "turn", stages.two_readings(h, o).alias("r"))
+    return out.select("conv_id", "turn", F.col("r.rule").alias("rule"), F.col("r.text").alias("reading"))
+
+
 @query("SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS hour, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL")
 def hourly_windows(v: Views) -> DataFrame:
     return v.events.groupBy("event_type", F.window("ts", "1 hour").alias("w")).agg(F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("total")).select("event_type", F.col("w.start").alias("hour"), "n", "total")

@@ -46,3 +46,10 @@ def test_all_rows(spark, sf):
     tables = {t: spark.read.parquet(f"{sf}/{t}.parquet").count() for t in ("part", "customer", "supplier", "orders")}
     assert QUERIES["tiles_of_all"](spark, sf).count() == tables["part"] + tables["customer"] + tables["supplier"]
     assert QUERIES["place_lookup_of_all"](spark, sf).count() == tables["orders"]
+
+
+def test_reconciled_turns_with_accents(spark, tmp_path):
+    texts = {0: "Été à Köln", 1: "Straße und Tür", 2: "mañané", 3: "où", 5: "  ÀÉ "}
+    spark.createDataFrame([(1, k, "user", t) for k, t in texts.items()], "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r.turn: (r.rule, r.reading) for r in QUERIES["reconciled_turns"](spark, str(tmp_path)).collect()}
+    assert got == {0: ("match", "Été à Köln"), 1: ("vlm-truncated", "Straße und Tür"), 2: ("correction", "mañanx"), 3: ("vlm-empty", "où"), 5: ("match", "ÀÉ")}
