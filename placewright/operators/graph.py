@@ -2,25 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .durable import star_components
+
 IDENTITY = ["sameAs", "exactMatch", "closeMatch"]
 #: Weights and the link bonus of the calibrated score.
 WEIGHTS = {"names": 0.14, "spatial": 0.29, "temporal": 0.361, "type": 0.058, "link": 0.15}
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Checkpoint in the folder that the cluster names; a temporary one only where none is set."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
-    return df.checkpoint()
-
-
 def valid_links() -> Column:
     """Ends in order and different, a known relation and kind of source."""
     return F.coalesce((F.col("place_a") < F.col("place_b")) & F.col("relation_type").isin([*IDENTITY, "distinct"]) & F.col("source_category").isin("authority", "contributor"), F.lit(False))
@@ -49,17 +41,10 @@ def batch_over_live(batch: DataFrame, live: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(place_id, component) of each end: the least id reachable. Labels pass along edges and jump to their own label's label until nothing moves."""
-    both = durable(edges.select("place_a", "place_b").union(edges.select("place_b", "place_a")).distinct())
-    labels = durable(both.groupBy(F.col("place_a").alias("place_id")).agg(F.least(F.min("place_b"), F.first("place_a")).alias("component")))
-    while True:
-        near = both.join(labels, both.place_b == labels.place_id).groupBy(F.col("place_a").alias("place_id")).agg(F.min("component").alias("near"))
-        moved = labels.join(near, "place_id", "left").select("place_id", F.least("component", "near").alias("next"), F.col("component").alias("was"))
-        up = moved.select(F.col("place_id").alias("next"), F.col("next").alias("jump"))
-        jumped = durable(moved.join(up, "next", "left").select("place_id", F.coalesce("jump", "next").alias("component"), "was"))
-        labels = jumped.select("place_id", "component")
-        if jumped.where("component <> was").isEmpty():
-            return labels
+    """(place_id, component) of each end: the least id reachable, also of ends linked only with themselves."""
+    named = star_components(edges.select(F.col("place_a").alias("a"), F.col("place_b").alias("b"))).withColumnRenamed("id", "place_id")
+    alone = edges.where("place_a = place_b").select(F.col("place_a").alias("place_id")).distinct().join(named, "place_id", "left_anti")
+    return named.unionByName(alone.withColumn("component", F.col("place_id")))
 
 
 def youden(scores: DataFrame) -> DataFrame:

@@ -2,21 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.durable import shared_folder  # noqa: F401
 from ..operators.stages import last_write
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under spark.checkpoint.dir; only where that is unset (tests), a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
-    return f"{base}/{name}-{uuid.uuid4().hex}"
-
-
 def events_stream(spark: SparkSession, path: str, files: int = 100) -> DataFrame:
     """New Parquet files at a path, at most `files` in a batch."""
     return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files).parquet(path)
