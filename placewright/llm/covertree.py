@@ -17,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .spread import Unions, checkpoint, components
+from ..operators.durable import durable, star_components
+from .spread import Unions
 
 EPS = 1e-9
 LEAF = 256
@@ -150,7 +151,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, chunk: int = 2000)
     given = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     fine = F.coalesce(F.forall("v", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf"))) & F.exists("v", lambda e: e != 0), F.lit(False))
     good = given.where(fine & F.col("vec_id").isNotNull()).dropDuplicates()
-    classes = checkpoint(good.groupBy("v").agg(F.min("vec_id").alias("id"), F.count("*").alias("m")).withColumn("dim", F.size("v")))
+    classes = durable(good.groupBy("v").agg(F.min("vec_id").alias("id"), F.count("*").alias("m")).withColumn("dim", F.size("v")))
     n, parts = classes.count(), 1 << 30
     pick = F.pmod(F.xxhash64("id"), F.lit(parts)) < min(parts, parts * SAMPLE // max(1, n))
     tops: dict[int, np.ndarray] = {}
@@ -189,7 +190,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, chunk: int = 2000)
                 others.append([int(r) for r in reach if r != c])
             yield pa.RecordBatch.from_arrays([*(batch[k] for k in ("id", "m", "dim", "v")), pa.array(cell, pa.int32()), pa.array(others, pa.list_(pa.int32()))], ["id", "m", "dim", "v", "cell", "others"])
 
-    placed = checkpoint(classes.mapInArrow(cells, "id long, m long, dim int, v array<double>, cell int, others array<int>"))
+    placed = durable(classes.mapInArrow(cells, "id long, m long, dim int, v array<double>, cell int, others array<int>"))
     counts = placed.groupBy("dim", "cell").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / chunk)).cast("int").alias("chunks"))
     mine = placed.join(F.broadcast(counts), ["dim", "cell"]).withColumn("part", F.pmod(F.xxhash64("id", F.lit(2)), F.col("chunks")).cast("int"))
     own = mine.withColumn("to", F.explode(F.concat(F.array("cell"), "others")))
@@ -213,9 +214,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, chunk: int = 2000)
         some = count > 0
         return pa.table({"id": ids[some], "links": np.rint(count[some]).astype(np.int64), "to": ids[label[some]]})
 
-    found = checkpoint(tasks.groupBy("dim", "c1", "p1", "c2", "p2").applyInArrow(compare, "id long, links long, to long"))
+    found = durable(tasks.groupBy("dim", "c1", "p1", "c2", "p2").applyInArrow(compare, "id long, links long, to long"))
     totals = found.groupBy("id").agg(F.sum("links").alias("links"))
-    labels = components(found.select(F.col("id").alias("a"), F.col("to").alias("b")))
+    labels = star_components(found.select(F.col("id").alias("a"), F.col("to").alias("b")))
     of_class = classes.join(totals, "id", "left").join(labels.withColumnRenamed("component", "reach"), "id", "left").select("v", "id", "m", "links", "reach")
     keyed = given.withColumn("key", F.when(fine & F.col("vec_id").isNotNull(), F.col("v")))
     out = keyed.join(of_class.withColumnRenamed("v", "key"), "key", "left")

@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .spread import Unions, binaries, by_bucket, checkpoint, components, narrow, pack, sizes, unpack
+from ..operators.durable import durable, star_components
+from .spread import Unions, binaries, by_bucket, narrow, pack, sizes, unpack
 from .words import GOLD, M1, mix, shingle_sets, slices, words
 
 FLUSH = 1_000_000
@@ -150,7 +151,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
                 h, who, digest = np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]), np.concatenate([x for x, _ in ids])
                 thin = narrow(np.concatenate([x for _, x in ids])).astype(np.uint32)
                 rows = []
-                for b, x in by_bucket(((h >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.int64), n_buckets):
+                for b, x in by_bucket(((h >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.int64)):
                     own, at = np.unique(who[x], return_inverse=True)
                     rows.append((b, h[x].astype(np.uint32).tobytes(), pack(at), digest[own].tobytes(), thin[own].tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3, 4))], ["bucket", "hashes", "who", "digests", "thin"])
@@ -196,18 +197,32 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
         gid = (np.int64(key[0].as_py()) << 32) + h.astype(np.int64)
         return pa.table({"gid": gid[many], "digest": digest[many], "least": np.repeat(digest[heads] if len(h) else digest, size)[many], "thin": thin[many], "m": np.repeat(size, size)[many].astype(np.int32)})
 
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = batch["text"].cast(pa.large_binary()).to_pylist()
+            z = [None if x is None else pa.compress(x, codec="zstd", asbytes=True) for x in raw]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([len(x or b"") for x in raw], pa.int64()), pa.array(z, pa.binary())], ["doc_id", "size", "z"])
+
+    def restored(batch: pa.RecordBatch) -> Iterator[pa.Table]:
+        """Rows of a batch with their texts, about 2 MB of them at a time."""
+        cut = np.cumsum(batch["size"].to_numpy()) // (2 << 20)
+        for own in np.split(np.arange(len(cut)), np.flatnonzero(np.diff(cut)) + 1) if len(cut) else []:
+            part = batch.slice(int(own[0]), len(own))
+            raw = [None if z is None else pa.decompress(z, n, codec="zstd", asbytes=True) for z, n in zip(part["z"].to_pylist(), part["size"].to_pylist(), strict=True)]
+            yield pa.Table.from_batches([part]).append_column("text", pa.array(raw, pa.large_binary()).cast(pa.large_string()))
+
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t in slices(batch):
+            for t in restored(batch):
                 values, offsets, digest = read(t)
                 low = values.view(np.uint8).reshape(-1, 8)[:, :WIDTH]
                 sets = [low[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
                 yield from pa.table({"doc_id": t["doc_id"], "digest": digest, "wanted": t["wanted"], "part": t["part"], "tasks": t["tasks"], "elements": pa.array(sets, pa.binary())}).to_batches()
 
-    described = checkpoint(texts.mapInArrow(describe, "doc_id long, n_shingles long, digest long"))
-    classes = checkpoint(described.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.min("n_shingles").alias("n")))
+    described = durable(texts.mapInArrow(describe, "doc_id long, n_shingles long, digest long"))
+    classes = durable(described.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.min("n_shingles").alias("n")))
     signed = texts.mapInArrow(sign, "bucket int, hashes binary, who binary, digests binary, thin binary")
-    groups = checkpoint(signed.groupBy("bucket").applyInArrow(meet, "gid long, digest long, least long, thin int, m int"))
+    groups = durable(signed.groupBy("bucket").applyInArrow(meet, "gid long, digest long, least long, thin int, m int"))
 
     # Similar sets share the signatures of all first-level partitions with at most one difference. Pairs within small groups are counted
     # against that bound; members of a large group go together uncounted.
@@ -220,7 +235,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     k_most = differ(2 * F.greatest("n_a", "n_b"))
     bound = F.floor((k_most + 2) / 2) + F.floor((k_most + 1) / 14) - F.floor(differ(F.col("n_a") + F.col("n_b")) / 2) - F.col("thin") - 1
     together = groups.where((F.col("m") > LIGHT) & (F.col("digest") != F.col("least"))).select(F.col("least").alias("a"), F.col("digest").alias("b"))
-    clusters = components(together.unionByName(sized.where(F.col("shared") >= bound).select("a", "b")).distinct())
+    clusters = star_components(together.unionByName(sized.where(F.col("shared") >= bound).select("a", "b")).distinct())
     # Chunks are of one range of sizes; only those of the same or neighbouring ranges can hold similar sets.
     wide = math.log(den / num) * 1.0001
     members = classes.join(clusters.withColumnRenamed("id", "digest"), "digest").withColumn("range", F.floor(F.log("n") / wide).cast("int"))
@@ -231,14 +246,15 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     known = chunks.join(beside(1, "up"), ["component", "range"], "left").join(beside(-1, "down"), ["component", "range"], "left").join(whole, "component")
     code = lambda step, part: (F.col("range") + step).cast("long") * (1 << 32) + part
     part = F.pmod(F.xxhash64("digest", F.lit(3)), F.col("chunks"))
-    placed = checkpoint(members.join(known, ["component", "range"]).withColumn("part", code(0, part)))
+    placed = durable(members.join(known, ["component", "range"]).withColumn("part", code(0, part)))
     # Small clusters share tasks; a large one has a task for each pair of its chunks.
     shared = max(n_buckets, (placed.agg(F.sum(F.col("n") + SET)).first()[0] or 0) // (2 * CHUNK))
     task = lambda x, y: F.struct(x.cast("long").alias("x"), y.cast("long").alias("y"), F.col("component").alias("c"))
     parts = lambda step, n: F.transform(F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>")), lambda o: code(step, o))
     pairs = F.transform(F.concat(parts(0, "chunks"), parts(1, "up"), parts(-1, "down")), lambda o: task(F.least("part", o), F.greatest("part", o)))
     sent = placed.withColumn("tasks", F.when(F.col("all") > CHUNK, pairs).otherwise(F.array(task(F.pmod(F.xxhash64("component"), F.lit(shared)), F.lit(-1)))))
-    sets = texts.join(sent.select(F.col("id").alias("doc_id"), F.col("digest").alias("wanted"), "part", "tasks"), "doc_id")
+    zipped = texts.mapInArrow(shrink, "doc_id long, size long, z binary")
+    sets = zipped.join(sent.select(F.col("id").alias("doc_id"), F.col("digest").alias("wanted"), "part", "tasks"), "doc_id")
     kinds = "doc_id long, digest long, wanted long, part long, tasks array<struct<x:long,y:long,c:long>>, elements binary"
     dealt = sets.mapInArrow(to_sets, kinds).where("digest = wanted").select("doc_id", "part", "elements", F.explode("tasks").alias("task"))
     keyed = dealt.select("doc_id", "part", "elements", F.col("task.c").alias("cluster"), F.col("task.x").alias("x"), F.col("task.y").alias("y"), F.when(F.col("task.y") >= 0, F.col("task.c")).alias("alone"))
@@ -258,7 +274,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
             b.append(ids[s + label[far]])
         return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
-    links = checkpoint(keyed.groupBy("x", "y", "alone").applyInArrow(compare, "a long, b long"))
-    labels = components(links)
+    links = durable(keyed.groupBy("x", "y", "alone").applyInArrow(compare, "a long, b long"))
+    labels = star_components(links)
     named = described.join(classes.select("digest", "id"), "digest", "left").join(labels, "id", "left")
     return named.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id")).alias("component_id"))

@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +27,7 @@ FAMILIES = {
 FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
 
 DIMS = 1 << 14
+PAIR = np.dtype([("c", "<u2"), ("v", "<f4")])
 
 
 def trigrams(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -38,13 +38,6 @@ def trigrams(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return code.astype(np.int32)[: len(buf)], begin
 
 
-def frequencies(column: pa.ChunkedArray) -> np.ndarray:
-    code, begin = trigrams(column)
-    n = np.diff(begin)
-    at = np.repeat(np.arange(len(n)), n) * DIMS + code
-    return np.bincount(at, minlength=len(n) * DIMS).reshape(len(n), DIMS) / np.maximum(n, 1)[:, None]
-
-
 def letter_trigrams(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashed trigrams, A-Z and À-Þ lower-cased, with all but letters taken as spaces; n + 1 offsets; which of them hold two letters or more."""
     buf, begin = buffer(column)
@@ -57,24 +50,35 @@ def letter_trigrams(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np
     return code.astype(np.int32)[: len(buf)], begin, two[: len(buf)]
 
 
-def letter_frequencies(column: pa.ChunkedArray) -> np.ndarray:
-    code, begin, two = letter_trigrams(column)
-    k = len(begin) - 1
-    own = np.repeat(np.arange(k), np.diff(begin))[two]
-    n = np.bincount(own, minlength=k)
-    return np.bincount(own * DIMS + code[two], minlength=k * DIMS).reshape(k, DIMS) / np.maximum(n, 1)[:, None]
+@dataclass
+class Sparse:
+    """Rows of few columns: each entry's row, column and value, in order of rows."""
+
+    n: int
+    row: np.ndarray
+    col: np.ndarray
+    value: np.ndarray
+
+    def where(self, keep: np.ndarray) -> Sparse:
+        place, own = np.cumsum(keep) - 1, keep[self.row]
+        return Sparse(int(keep.sum()), place[self.row[own]], self.col[own], self.value[own])
+
+    def dense(self) -> np.ndarray:
+        out = np.zeros((self.n, DIMS), np.float32)
+        out[self.row, self.col] = self.value
+        return out
 
 
-def linear_svm(x: np.ndarray, y: np.ndarray, scale: np.ndarray, steps: int = 150, l2: float = 1e-4) -> tuple[np.ndarray, float]:
+def linear_svm(x: Sparse, y: np.ndarray, scale: np.ndarray, steps: int = 150, l2: float = 1e-4) -> tuple[np.ndarray, float]:
     """Squared-hinge linear SVM by accelerated gradient descent; y is 1 or -1, classes weigh the same."""
-    x = (x * scale).astype(np.float32)
+    value = x.value * scale[x.col]
     c = np.where(y > 0, 1 / max(1, (y > 0).sum()), 1 / max(1, (y < 0).sum())) / 2
-    w, v, b, rate = np.zeros(x.shape[1], np.float32), np.zeros(x.shape[1], np.float32), 0.0, 1 / (2 * np.max((x * x).sum(1) + 1) + l2)
+    size = np.bincount(x.row, weights=value * value, minlength=x.n)
+    w, v, b, rate = np.zeros(DIMS), np.zeros(DIMS), 0.0, 1 / (2 * (size.max(initial=0.0) + 1) + l2)
     u, t = 0.0, 1.0
     for _ in range(steps):
-        m = np.maximum(0, 1 - y * (x @ v + u)) * y * c * 2
-        m = m.astype(np.float32)
-        w2, b2, t2 = v - rate * (l2 * v - x.T @ m), u + rate * m.sum(), (1 + np.sqrt(1 + 4 * t * t)) / 2
+        m = np.maximum(0, 1 - y * (np.bincount(x.row, weights=value * v[x.col], minlength=x.n) + u)) * y * c * 2
+        w2, b2, t2 = v - rate * (l2 * v - np.bincount(x.col, weights=value * m[x.row], minlength=DIMS)), u + rate * m.sum(), (1 + np.sqrt(1 + 4 * t * t)) / 2
         v, u = w2 + (t - 1) / t2 * (w2 - w), b2 + (t - 1) / t2 * (b2 - b)
         w, b, t = w2, b2, t2
     return w * scale, b
@@ -145,68 +149,66 @@ def usual_trigrams(x: np.ndarray) -> tuple[np.ndarray, float, float, float]:
     return logs(x).astype(np.float32), middle, spread, np.sqrt(max(0.0, np.median(square - mean**2)) + 1e-6)
 
 
-def fit(docs: DataFrame, training: Column, per_language: int = 600) -> LanguageModel | None:
-    """Fit on about `per_language` rows of each language (all, if it has fewer) where `training` holds and text and lang aren't null."""
+def _packed(own: np.ndarray, code: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """Each text's distinct columns and their shares of its n trigrams."""
+    key, count = np.unique(own.astype(np.int64) * DIMS + code, return_counts=True)
+    pair = np.empty(len(key), PAIR)
+    pair["c"], pair["v"] = key % DIMS, count / n[key // DIMS]
+    edge = np.searchsorted(key, np.arange(len(n) + 1) * DIMS)
+    return [pair[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)]
+
+
+def _sparse(column: list[bytes]) -> Sparse:
+    pair = np.frombuffer(b"".join(column), PAIR)
+    return Sparse(len(column), np.repeat(np.arange(len(column)), [len(x) // PAIR.itemsize for x in column]), pair["c"].astype(np.int64), pair["v"].astype(float))
+
+
+def fit(docs: DataFrame, training: Column, per_language: int = 600, languages: int = 64) -> LanguageModel | None:
+    """Fit on about `per_language` distinct rows of each language (all, if it has fewer) where `training` holds and text and lang aren't null.
+
+    Of more than `languages` languages, those with the most rows are learned, so the sample and the model are bounded.
+    """
     rows = docs.where(training & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
+    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(languages).collect()}
     if not counts:
         return None
     parts = 1 << 30
     share = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(parts, parts * per_language // n))))
-    pick = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(parts)) < share[F.col("lang")]
+    own = F.xxhash64("doc_id", "text")
+    chosen = rows.withColumn("own", own).where(F.pmod(F.xxhash64("own", F.lit("sample")), F.lit(parts)) < share[F.col("lang")])
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                t = batch.slice(start, 256)
-                for name, f in (("x", frequencies), ("letters", letter_frequencies)):
-                    x = f(pa.chunked_array([t["text"]])).astype(np.float32)
-                    yield pa.RecordBatch.from_arrays([t["lang"], pa.array([name] * len(t), pa.string()), pa.array([r.tobytes() for r in x], pa.binary())], ["lang", "kind", "x"])
-
-    both: pd.DataFrame = rows.where(pick).select("text", "lang").mapInArrow(lambda b: _sparse(features(b)), "lang string, kind string, x binary").toPandas()
-    langs = sorted(counts)
-
-    def dense(sample: pd.DataFrame) -> np.ndarray:
-        x = np.zeros((len(sample), DIMS), np.float32)
-        for i, raw in enumerate(sample["x"]):
-            pair = np.frombuffer(raw, [("c", "<u2"), ("v", "<f4")])
-            x[i, pair["c"]] = pair["v"]
-        return x
-
+            for t in slices(batch):
+                code, begin = trigrams(t["text"])
+                n = np.diff(begin)
+                text = np.repeat(np.arange(len(n)), n)
+                letter, _, two = letter_trigrams(t["text"])
+                used = np.bincount(text[two], minlength=len(n))
+                columns = [t["own"].combine_chunks(), t["lang"].combine_chunks(), pa.array(_packed(text, code, n), pa.binary()), pa.array(_packed(text[two], letter[two], used), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["own", "lang", "x", "letters"])
+
+    # Repeated rows are fitted once, so that one row's copies can't fill the sample.
+    got = chosen.select("own", "text", "lang").mapInArrow(features, "own long, lang string, x binary, letters binary").dropDuplicates(["own", "lang"]).toArrow().sort_by([("lang", "ascending"), ("own", "ascending")])
+    langs, y, letters = sorted(counts), np.array(got["lang"].to_pylist(), object), got["letters"].to_pylist()
     usual = {}
     for k in langs:
-        own = dense(both[(both["kind"] == "letters") & (both["lang"] == k)])
-        usual[k] = usual_trigrams(own) if len(own) else (np.zeros(DIMS, np.float32), 0.0, np.inf, 0.0)
-    sample = both[both["kind"] == "x"]
-    x, y = dense(sample), sample["lang"].to_numpy()
-    used = np.flatnonzero(x.any(0))
-    x = x[:, used]
-    scale = 1 / np.sqrt((x.astype(float) ** 2).mean(0) + 1e-9) / np.sqrt(max(1, len(used)))
+        mine = [v for v, at in zip(letters, y == k, strict=True) if at]
+        usual[k] = usual_trigrams(_sparse(mine).dense()) if mine else (np.zeros(DIMS, np.float32), 0.0, np.inf, 0.0)
+    x = _sparse(got["x"].to_pylist())
+    square = np.bincount(x.col, weights=x.value**2, minlength=DIMS)
+    scale = np.where(square > 0, 1 / np.sqrt(square / max(1, x.n) + 1e-9) / np.sqrt(max(1, np.count_nonzero(square))), 0.0)
     members: dict[str, list[str]] = {}
     for code in langs:
         members.setdefault(FAMILY_OF.get(code, code), []).append(code)
     families = sorted(members)
     family = np.array([FAMILY_OF.get(c, c) for c in y])
     pairs = [p for f in families for p in combinations(members[f], 2)]
-    fitted = [(np.zeros(len(used)), 1.0) if len(families) == 1 else linear_svm(x, np.where(family == f, 1.0, -1.0), scale) for f in families]
+    fitted = [(np.zeros(DIMS), 1.0) if len(families) == 1 else linear_svm(x, np.where(family == f, 1.0, -1.0), scale) for f in families]
     for a, b in pairs:
-        own = (y == a) | (y == b)
-        fitted.append(linear_svm(x[own], np.where(y[own] == a, 1.0, -1.0), scale))
-    weights = np.zeros((len(fitted), DIMS), np.float32)
-    weights[:, used] = np.stack([w for w, _ in fitted])
-    return LanguageModel(families, members, pairs, weights, np.array([b for _, b in fitted]), usual)
-
-
-def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for raw in batch["x"].to_pylist():
-            v = np.frombuffer(raw, np.float32)
-            at = np.flatnonzero(v)
-            pair = np.empty(len(at), [("c", "<u2"), ("v", "<f4")])
-            pair["c"], pair["v"] = at, v[at]
-            out.append(pair.tobytes())
-        yield pa.RecordBatch.from_arrays([batch["lang"], batch["kind"], pa.array(out, pa.binary())], ["lang", "kind", "x"])
+        keep = (y == a) | (y == b)
+        fitted.append(linear_svm(x.where(keep), np.where(y[keep] == a, 1.0, -1.0), scale))
+    return LanguageModel(families, members, pairs, np.stack([w for w, _ in fitted]).astype(np.float32), np.array([b for _, b in fitted]), usual)
 
 
 def identify(docs: DataFrame, held_out: Column | None = None, per_language: int = 600, columns: bool = False) -> DataFrame:
@@ -238,7 +240,7 @@ def identify(docs: DataFrame, held_out: Column | None = None, per_language: int
     new = ("held_out", "lang_pred", "score", "typical")
     if not columns:
         return rows.select("doc_id", "text", "held_out", letters.alias("letters")).mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double, typical double").drop("typical")
-    own = [c for c in docs.columns if c not in new]
+    own = [c for c in docs.columns if c.lower() not in new]
     packed = docs.select(F.struct(*own).alias("row"), F.col("text").cast("string").alias("text"), held.alias("held_out"), letters.alias("letters"))
 
     def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .spread import checkpoint
+from ..operators.durable import durable
 
 MOST = 3
 
@@ -41,7 +41,7 @@ def mix(docs: DataFrame, block_words: int = 64, shard_words: int = 100_000, seed
     Null sources are one source, last in order; null or repeated doc_id are documents like others; an empty table gives no rows.
     Results depend on the rows and the seed, not on their order. `row` numbers the documents as read; other columns are not read.
     """
-    sized = checkpoint(
+    sized = durable(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
             F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"),
@@ -88,16 +88,19 @@ def mix(docs: DataFrame, block_words: int = 64, shard_words: int = 100_000, seed
 
 
 def apply_mix(docs: DataFrame, seed: int = 7) -> DataFrame:
-    """The mixed documents: a row for each epoch in which words of a document are taken, with these words; other columns stay, n_chars is set anew."""
-    mixed = mix(docs, seed=seed).where("taken > 0").select(F.col("h").alias("_h"), F.col("row").alias("_row"), "size", "ranges")
-    keyed = docs.withColumn("_h", F.xxhash64(F.col("doc_id").cast("long"), "text", F.lit(seed)))
+    """The mixed documents: a row for each epoch in which words of a document are taken, with these words; other columns stay, whatever their names, and n_chars is set anew."""
+    mixed = mix(docs, seed=seed).where("taken > 0").select("h", "row", "size", "ranges")
+    keyed = docs.select(F.struct("*").alias("doc"), F.xxhash64(F.col("doc_id").cast("long"), "text", F.lit(seed)).alias("h"))
     # Equal (doc_id, text) share a hash: their plans are paired off in order, one for each of the rows.
-    twin = lambda f, by: f.withColumn("_twin", F.row_number().over(W.partitionBy("_h").orderBy(by)))
-    both = twin(keyed, "doc_id").join(twin(mixed, "_row"), ["_h", "_twin"])
-    split = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != "")
-    epochs = both.withColumn("_e", F.explode(F.sequence(F.lit(0), F.array_max(F.transform("ranges", lambda r: r["copies"])).cast("int") - 1)))
-    epochs = epochs.withColumn("_r", F.filter("ranges", lambda r: r["copies"] > F.col("_e")))
-    whole = F.aggregate("_r", F.lit(0).cast("long"), lambda a, r: a + r["end"] - r["first"]) == F.col("size")
-    text = F.when(whole, F.col("text")).otherwise(F.concat_ws(" ", F.flatten(F.transform("_r", lambda r: F.slice(split, (r["first"] + 1).cast("int"), (r["end"] - r["first"]).cast("int"))))))
-    out = epochs.withColumn("text", text)
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    twin = lambda f, by: f.withColumn("twin", F.row_number().over(W.partitionBy("h").orderBy(by)))
+    both = twin(keyed, F.col("doc.doc_id")).join(twin(mixed, "row"), ["h", "twin"])
+    epochs = both.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.array_max(F.transform("ranges", lambda r: r["copies"])).cast("int") - 1)))
+    epochs = epochs.withColumn("own", F.filter("ranges", lambda r: r["copies"] > F.col("epoch")))
+    whole = F.aggregate("own", F.lit(0).cast("long"), lambda a, r: a + r["end"] - r["first"]) == F.col("size")
+    split = F.filter(F.split("doc.text", r"[\x20\x09-\x0D]+"), lambda x: x != "")
+    part = lambda words: F.flatten(F.transform("own", lambda r: F.slice(words, (r["first"] + 1).cast("int"), (r["end"] - r["first"]).cast("int"))))
+    # The words are an argument of a function, so a text is split once, not once a range.
+    text = F.when(whole, F.col("doc.text")).otherwise(F.concat_ws(" ", F.transform(F.array(split), part)[0]))
+    out = epochs.select("doc", text.alias("text"))
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return out.select(*(new[c].alias(c) if c in new else F.col("doc").getField(c).alias(c) for c in docs.columns))

@@ -1,9 +1,7 @@
-"""Shared Spark plumbing: text groups, hash buckets packed as binary columns, checkpoints and components."""
+"""Shared Spark plumbing: text groups, hash buckets packed as binary columns, unions of links."""
 
 from __future__ import annotations
 
-import tempfile
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,14 +15,6 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Write df to spark.checkpoint.dir and go on from there; only where that is unset (tests) a temporary folder is used."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
-    return df.checkpoint()
-
-
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
     """UTF-8 bytes of a text column, by one pruned scan."""
     return docs.agg(F.sum(F.octet_length(column))).first()[0] or 0
@@ -61,11 +51,14 @@ def binaries(column: pa.ChunkedArray) -> list[bytes]:
     return column.to_pylist()
 
 
-def by_bucket(bucket: np.ndarray, n: int) -> list[tuple[int, np.ndarray]]:
+def by_bucket(bucket: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """(bucket, rows in order) of every bucket with rows."""
+    if len(bucket) and int(bucket.max()) < 65536:
+        bucket = bucket.astype(np.uint16)  # sorted by digits
     order = np.argsort(bucket, kind="stable")
-    edge = np.searchsorted(bucket[order], np.arange(n + 1))
-    return [(b, order[edge[b] : edge[b + 1]]) for b in range(n) if edge[b + 1] > edge[b]]
+    own = bucket[order]
+    heads = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else np.zeros(0, np.int64)
+    return [(int(own[a]), order[a:b]) for a, b in zip(heads, [*heads[1:], len(own)], strict=True)]
 
 
 class Unions:
@@ -94,30 +87,3 @@ class Unions:
             if o != r:
                 self.up[max(o, r)] = min(o, r)
                 r = min(o, r)
-
-
-def components(links: DataFrame) -> DataFrame:
-    """(id, component) of every end of links (a, b): the smallest id that links reach.
-
-    Large-star and small-star steps alternate until the links stand still. Each step groups by one end with partial
-    aggregation and joins on it, so a star of any size is spread by Spark's skew handling; each is checkpointed.
-    """
-
-    def star(edges: DataFrame, large: bool) -> DataFrame:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        joined = both.join(least, "a")
-        if large:
-            return joined.where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        return joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.where("a <> m").select("a", F.col("m").alias("b"))).distinct()
-
-    edges = checkpoint(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
-    before = None
-    while True:
-        edges = checkpoint(star(star(edges, True), False))
-        now = tuple(edges.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)))).first())
-        if now == before:
-            break
-        before = now
-    roots = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    return roots.unionByName(roots.select(F.col("component").alias("id"), "component").distinct())

@@ -100,7 +100,7 @@ def duplicated_words(docs: DataFrame, window: int = 13, columns: list[str] | Non
         index = shared | ((at - w.offsets[own]) % block == 0)
         h, at, index = h[leads], at[leads], index[leads]
         g, rows = key[0].as_py(), []
-        for b, x in by_bucket(((h >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.int64), n_buckets):
+        for b, x in by_bucket(((h >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.int64)):
             rows.append((b, g, h[x].astype(np.uint32).tobytes(), pack(at[x]), np.packbits(index[x]).tobytes()))
         return _table(rows, _SENT)
 
@@ -135,7 +135,7 @@ def duplicated_words(docs: DataFrame, window: int = 13, columns: list[str] | Non
         _, leads = _shared(h, own, ids)
         h, at, own = h[leads], at[leads], own[leads]
         g, rows = key[0].as_py(), []
-        for b, x in by_bucket((mix(h) % np.uint64(n_buckets)).astype(np.int64), n_buckets):
+        for b, x in by_bucket((mix(h) % np.uint64(n_buckets)).astype(np.int64)):
             rows.append((b, g, h[x].tobytes(), pack(at[x]), ids[own[x]].tobytes()))
         return _table(rows, _SENT)
 

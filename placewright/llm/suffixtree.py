@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .spread import binaries, by_bucket, checkpoint, group_of, narrow, pack, sizes, unpack
+from ..operators.durable import durable
+from .spread import binaries, by_bucket, group_of, narrow, pack, sizes, unpack
 from .words import LOWER, Words, buffer, slices, words
 
 DEPTH, BITS, END = 6, 8, 255  # UTF-8 has no byte 255
@@ -61,7 +62,7 @@ def probabilities(counted: DataFrame, least: int, divergence: float, strength: f
     """(code, p, depth) of gram counts (code, n): p of the last symbol after the longest kept context, which has `depth` symbols."""
     level = {DEPTH: counted}
     for d in range(DEPTH - 1, -1, -1):
-        level[d] = checkpoint(level[d + 1].groupBy(F.col("code").bitwiseAND(mask(d)).alias("code")).agg(F.sum("n").alias("n")))
+        level[d] = durable(level[d + 1].groupBy(F.col("code").bitwiseAND(mask(d)).alias("code")).agg(F.sum("n").alias("n")))
     total = level[0].agg(F.sum("n")).first()[0] or 0
     out = level[0].select("code", ((F.col("n") + 0.5) / (total + 0.5 * (1 << BITS))).alias("p"), F.lit(0).alias("depth"))
     for d in range(1, DEPTH + 1):
@@ -117,7 +118,7 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, least: int = 32
         return values, at, np.cumsum(np.concatenate(n))
 
     def dealt(values: np.ndarray) -> list[tuple[int, np.ndarray]]:
-        return by_bucket((values % values.dtype.type(n_buckets)).astype(np.int64), n_buckets)
+        return by_bucket((values % values.dtype.type(n_buckets)).astype(np.int64))
 
     def count(key: tuple, table: pa.Table) -> pa.Table:
         g = key[0].as_py()
@@ -171,7 +172,7 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, least: int = 32
 
     schema = "kind int, bucket int, g int, n long, code long, counts binary"
     asked = grouped.groupBy("g").applyInArrow(count, "bucket int, g int, keys binary, counts binary")
-    answers = checkpoint(asked.groupBy("bucket").applyInArrow(add, schema))
+    answers = durable(asked.groupBy("bucket").applyInArrow(add, schema))
     tokens, types = answers.where("kind = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("code"), F.lit(0))).first()
     ends = int(answers.where("kind = 3").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     N, V = tokens + ends, types + (ends > 0)
