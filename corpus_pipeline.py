@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ from placewright.llm.language import identify
 from placewright.llm.mixing import apply_mix
 from placewright.llm.packing import pack
 from placewright.llm.substrings import duplicated_words
-
+from placewright.operators.durable import shared_folder
 
 #: Deviations of a language's fitted texts, below which a document is not taken to be in it.
 UNUSUAL = -8.0
@@ -70,9 +68,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written as Parquet to the shared folder and read again."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    at = f"{base}/pipeline-{spark.sparkContext.applicationId}-{spark.sql('select uuid()').first()[0]}"
+    docs, at = spark.read.parquet(f"{sf_dir}/documents.parquet"), shared_folder(spark, "pipeline")
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{at}/{k}-{name}")
         docs = spark.read.parquet(f"{at}/{k}-{name}")
