@@ -140,7 +140,7 @@ def pivots_of(sample: np.ndarray, k: int) -> np.ndarray:
     return sample[chosen]
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = 0.95, chunk: int = 2000) -> DataFrame:
+def near_duplicates(vectors: DataFrame, cosine: float = 0.95, chunk: int = 8192) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept.
 
     n_links counts other rows within the cosine, equal vectors included; component_id is the smallest vec_id that links reach, its own included;
@@ -148,22 +148,24 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, chunk: int = 2000)
     link with nothing; vectors link with those of their length only. Repeated rows count as one and give repeated results. Other columns,
     labels among them, are not read.
     """
-    given = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
+    kind = "array<float>" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "array<double>"  # as given, so that no copy grows
+    given = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("v"))
     fine = F.coalesce(F.forall("v", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf"))) & F.exists("v", lambda e: e != 0), F.lit(False))
     good = given.where(fine & F.col("vec_id").isNotNull()).dropDuplicates()
     classes = durable(good.groupBy("v").agg(F.min("vec_id").alias("id"), F.count("*").alias("m")).withColumn("dim", F.size("v")))
     n, parts = classes.count(), 1 << 30
     pick = F.pmod(F.xxhash64("id"), F.lit(parts)) < min(parts, parts * SAMPLE // max(1, n))
     tops: dict[int, np.ndarray] = {}
-    sample = classes.where(pick).select("dim", "v").toPandas()
-    for dim, own in sample.groupby("dim"):
-        x = np.stack(own["v"].to_numpy())
+    sample = classes.where(pick).select("dim", "v").toArrow()
+    dims = np.asarray(sample["dim"])
+    for dim in np.unique(dims):
+        x = np.array(sample["v"].filter(pa.array(dims == dim)).to_pylist(), float)
         tops[int(dim)] = pivots_of(x / np.abs(x).max(1)[:, None] / np.sqrt(((x / np.abs(x).max(1)[:, None]) ** 2).sum(1))[:, None], max(1, min(SAMPLE, -(-n // chunk))))
     tau = float(np.sqrt(2 - 2 * cosine))
     shared = vectors.sparkSession.sparkContext.broadcast(tops)
 
     def units(batch: pa.RecordBatch) -> list[np.ndarray]:
-        flat = batch["v"].flatten().to_numpy(zero_copy_only=False)
+        flat = batch["v"].flatten().to_numpy(zero_copy_only=False).astype(float)
         out = []
         for x in np.split(flat, np.cumsum(batch["dim"].to_numpy())[:-1]):
             x = x / np.abs(x).max()
@@ -190,7 +192,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, chunk: int = 2000)
                 others.append([int(r) for r in reach if r != c])
             yield pa.RecordBatch.from_arrays([*(batch[k] for k in ("id", "m", "dim", "v")), pa.array(cell, pa.int32()), pa.array(others, pa.list_(pa.int32()))], ["id", "m", "dim", "v", "cell", "others"])
 
-    placed = durable(classes.mapInArrow(cells, "id long, m long, dim int, v array<double>, cell int, others array<int>"))
+    placed = durable(classes.mapInArrow(cells, f"id long, m long, dim int, v {kind}, cell int, others array<int>"))
     counts = placed.groupBy("dim", "cell").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / chunk)).cast("int").alias("chunks"))
     mine = placed.join(F.broadcast(counts), ["dim", "cell"]).withColumn("part", F.pmod(F.xxhash64("id", F.lit(2)), F.col("chunks")).cast("int"))
     own = mine.withColumn("to", F.explode(F.concat(F.array("cell"), "others")))
@@ -204,7 +206,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, chunk: int = 2000)
         dim, c1, p1, c2, p2 = (k.as_py() for k in key)
         same = (c1, p1) == (c2, p2)
         table = table.sort_by([("first", "descending"), ("id", "ascending")])
-        x = table["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+        x = table["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, dim)
         x = x / np.abs(x).max(1)[:, None]
         ids, m = table["id"].to_numpy(), table["m"].to_numpy()
         n = int(np.count_nonzero(np.asarray(table["first"])))
@@ -218,7 +220,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, chunk: int = 2000)
     totals = found.groupBy("id").agg(F.sum("links").alias("links"))
     labels = star_components(found.select(F.col("id").alias("a"), F.col("to").alias("b")))
     of_class = classes.join(totals, "id", "left").join(labels.withColumnRenamed("component", "reach"), "id", "left").select("v", "id", "m", "links", "reach")
-    keyed = given.withColumn("key", F.when(fine & F.col("vec_id").isNotNull(), F.col("v")))
-    out = keyed.join(of_class.withColumnRenamed("v", "key"), "key", "left")
     component = F.coalesce("reach", "id", "vec_id")
-    return out.select("vec_id", F.coalesce(F.col("links") + F.col("m") - 1, F.lit(0)).alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
+    out = given.where(fine & F.col("vec_id").isNotNull()).join(of_class, "v")
+    linked = out.select("vec_id", F.coalesce(F.col("links") + F.col("m") - 1, F.lit(0)).alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+    alone = given.where(~fine | F.col("vec_id").isNull()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
+    return linked.unionByName(alone)
