@@ -35,7 +35,7 @@ def op1_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = describe_media(store_texts(_docs(spark, sf_dir)), tiles=True)
-    return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+    return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "tile")
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
