@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .spread import small_batches
 from .words import slices
 
 TIERS = (256, 512, 1024, 2048)
@@ -27,29 +28,40 @@ GROUP = 2_000_000
 STEP = 64
 
 
-def byte_ranks(path: str) -> dict[bytes, int]:
-    """Token bytes and ids of a byte-level BPE vocabulary file of the tokenizers library."""
-    with open(path, encoding="utf-8") as f:
-        held = json.load(f)
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-    special = {t["content"] for t in held.get("added_tokens", []) if t["special"]}
-    return {bytes(byte_of[c] for c in token): i for token, i in held["model"]["vocab"].items() if token not in special}
-
+_encoders: dict = {}
 
-_encodings: dict = {}
 
+def encoder(path: str | None = None) -> Callable[[str], np.ndarray]:
+    """Ids of a text by the tokenizers library's byte-level BPE file at `path`, without those that it would add; strings of its special tokens get their ids.
 
-def encoding(path: str | None = None):
-    """An encoder with the ids of the tokenizers library's file at `path`; strings of special tokens are ordinary text."""
+    The same vocabulary is applied by tiktoken, which is faster; a text that its pattern matching refuses, as very long runs of
+    white space, goes to the tokenizers library itself.
+    """
     import public_tokenizers
     import tiktoken
+    from tokenizers import Tokenizer
 
     path = path or public_tokenizers.path("byte_bpe_50k.json")
-    if path not in _encodings:
-        _encodings[path] = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_ranks(path), special_tokens={})
-    return _encodings[path]
+    if path in _encoders:
+        return _encoders[path]
+    with open(path, encoding="utf-8") as f:
+        held = json.load(f)
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+    special = {t["content"]: t["id"] for t in held.get("added_tokens", [])}
+    ranks = {bytes(byte_of[c] for c in token): i for token, i in held["model"]["vocab"].items() if token not in special}
+    fast = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    whole = Tokenizer.from_file(path)
+
+    def encode(text: str) -> np.ndarray:
+        try:
+            return fast.encode_to_numpy(text, allowed_special="all")
+        except ValueError:  # its pattern matching ran out of stack
+            return np.array(whole.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    _encoders[path] = encode
+    return encode
 
 
 def plan(lengths: np.ndarray, tiers: tuple[int, ...] = TIERS) -> list[tuple[int, list[tuple[int, int, int]]]]:
@@ -115,37 +127,40 @@ def plan(lengths: np.ndarray, tiers: tuple[int, ...] = TIERS) -> list[tuple[int,
     return out
 
 
-def step_order(sequences: list[tuple[int, list]], step: int = STEP) -> list[int]:
-    """Sequences in an order in which each run of `step` has its share of each tier."""
+def step_groups(sequences: list[tuple[int, list]], step: int = STEP) -> list[list[int]]:
+    """Groups of at most `step` sequences, each with its share of each tier."""
     groups = max(1, -(-len(sequences) // step))
     by_tier = sorted(range(len(sequences)), key=lambda i: -sequences[i][0])
-    return [by_tier[i] for g in range(groups) for i in range(g, len(by_tier), groups)]
+    return [by_tier[g::groups] for g in range(groups)]
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1, tiers: tuple[int, ...] = TIERS) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, tier, ids.
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, tier, step_group, ids.
 
     A document's ids are those of its whole text (null: empty), then end_id. Every id lies in one piece, every
     sequence is gapless from 0. Rows with equal or null doc_id are documents of their own; other columns are not read; an
     empty table gives no rows. sequence_id counts within the task's partition, whose number stands above bit 40.
+    Sequences of a step_group, at most STEP, are trained on together; each has its share of every tier.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    kinds = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("tier", pa.int64()), ("ids", pa.list_(pa.int32()))]
+    small_batches(docs.sparkSession)
+    kinds = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("tier", pa.int64()), ("step_group", pa.int64()), ("ids", pa.list_(pa.int32()))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(tokenizer).encode_to_numpy
-        base, ids, held, tokens = TaskContext.get().partitionId() << 40, [], [], 0
+        encode = encoder(tokenizer)
+        base, step, ids, held, tokens = TaskContext.get().partitionId() << 40, TaskContext.get().partitionId() << 40, [], [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal base, tokens
+            nonlocal base, step, tokens
             sequences = plan(np.array([len(x) for x in held]), tiers)
-            columns: list[list] = [[] for _ in range(8)]
+            columns: list[list] = [[] for _ in range(9)]
             values, sizes = [], [0]
-            for k, i in enumerate(step_order(sequences)):
+            groups = step_groups(sequences)
+            for k, (group, i) in enumerate((step + j, i) for j, own in enumerate(groups) for i in own):
                 at = 0
                 for d, s, n in sequences[i][1]:
                     own = held[d][s : s + n]
-                    for column, x in zip(columns, (ids[d], s, n, zlib.crc32(own.tobytes()), len(held[d]), base + k, at, sequences[i][0]), strict=True):
+                    for column, x in zip(columns, (ids[d], s, n, zlib.crc32(own.tobytes()), len(held[d]), base + k, at, sequences[i][0], group), strict=True):
                         column.append(x)
                     values.append(own)
                     sizes.append(sizes[-1] + n)
@@ -153,7 +168,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1, tiers:
             flat = np.concatenate(values).astype(np.int32) if values else np.zeros(0, np.int32)
             lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat))
             yield from pa.table([*(pa.array(c, pa.int64()) for c in columns), lists], names=[n for n, _ in kinds]).to_batches(max_chunksize=2000)
-            base, tokens = base + len(sequences), 0
+            base, step, tokens = base + len(sequences), step + len(groups), 0
             ids.clear()
             held.clear()
 
@@ -169,4 +184,4 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1, tiers:
         if held:
             yield from flush()
 
-    return texts.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier long, ids array<int>")
+    return texts.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier long, step_group long, ids array<int>")

@@ -6,19 +6,23 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from placewright.llm.packing import encoding, pack, plan, step_order
+from placewright.llm.packing import encoder, pack, plan, step_groups
 
 
 def reference():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 @settings(max_examples=60, deadline=None)
 @given(st.text(max_size=200))
 def test_ids_equal_the_library(text):
-    assert list(encoding().encode_to_numpy(text)) == reference().encode(text, add_special_tokens=False).ids
+    assert list(encoder()(text)) == reference().encode(text, add_special_tokens=False).ids
+
+
+def test_long_runs_and_special_strings():
+    for text in (" " * 1_000_000, "\n" * 300_000 + "x", "a" * 50_000, "a<|endoftext|>b <|endoftext|>", "x" + "\u3000" * 200_000):
+        assert list(encoder()(text)) == reference().encode(text, add_special_tokens=False).ids
+    assert 50256 in encoder()("a<|endoftext|>")
 
 
 @settings(max_examples=80, deadline=None)
@@ -32,7 +36,11 @@ def test_plan(lengths):
         for d, s, m in row:
             seen[d][s : s + m] += 1
     assert all((x == 1).all() for x in seen)
-    assert sorted(step_order(sequences)) == list(range(len(sequences)))
+    groups = step_groups(sequences)
+    assert sorted(i for g in groups for i in g) == list(range(len(sequences))) and all(len(g) <= 64 for g in groups)
+    for tier in {t for t, _ in sequences}:
+        share = [sum(sequences[i][0] == tier for i in g) for g in groups]
+        assert max(share) - min(share) <= 1
 
 
 def test_round_trip(spark, sf):
@@ -48,6 +56,9 @@ def test_round_trip(spark, sf):
     for d, rows in by.items():
         ids = [x for r in sorted(rows, key=lambda r: r.start) for x in r.ids]
         assert ids == [*t.encode(texts[d], add_special_tokens=False).ids, 1] and rows[0].doc_tokens == len(ids)
+    step = {}
+    for r in got:
+        assert step.setdefault(r.sequence_id, r.step_group) == r.step_group
     by = {}
     for r in got:
         by.setdefault(r.sequence_id, []).append(r)
