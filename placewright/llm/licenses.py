@@ -1,59 +1,47 @@
 """License scans by diagonal voting: word bigrams of all texts joined with template positions, votes counted by offset.
 
-A hit of a text's bigram at word p with a template's at word q votes for diagonal p - q. Neighbouring diagonals merge, so a
-few inserted or missing words don't break a span; a span is verified by the share of its template's bigrams that voted. A
-phrase, or a template of up to `SHORT` words, needs all its bigrams on one diagonal, which is the phrase itself. Such a template
+A hit of a text's bigram at word p with a template's at word q votes for diagonal p - q, if the words themselves are equal, not only
+their hashes. Neighbouring diagonals merge, so a few inserted or missing words don't break a span; a span is verified by the share of
+its template's bigrams that stand there. Templates are names, openings and whole texts of licenses. A phrase, or a template of up to `SHORT` words, needs all its bigrams on one diagonal, which is the phrase itself. Such a template
 doesn't count where a longer one that begins with it stands.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .license_texts import OPENINGS, PHRASES, TEXTS
+from .spread import small_batches
 from .words import ALNUM, rolling, slices, window_starts, words
 
-#: Phrases with their labels.
-PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
-#: Openings of public license texts with their labels.
-TEMPLATES = {
-    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files": "mit",
-    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met": "bsd",
-    "you may not use this file except in compliance with the license you may obtain a copy of the license at": "apache",
-    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license": "gpl",
-    "gnu lesser general public license": "lgpl",
-    "gnu affero general public license": "agpl",
-    "this source code form is subject to the terms of the mozilla public license": "mpl",
-    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "isc",
-    "this is free and unencumbered software released into the public domain": "unlicense",
-    "creative commons attribution": "cc-by",
-    "creative commons attribution sharealike": "cc-by-sa",
-    "creative commons attribution share alike": "cc-by-sa",
-    "creative commons zero": "cc0",
-}
+TEMPLATES = OPENINGS | TEXTS
+
 #: Bigrams of two of these words don't vote for templates; they stand in any text.
 COMMON = set("a and any at by for in is it of or that the this to with you".split())
 MARK = -1
 SHORT = 8
 
 
-def template_table(spark: SparkSession, phrases: dict[str, str], templates: dict[str, str]) -> tuple[DataFrame, DataFrame]:
-    """(h, tid, tpos) of voting bigrams, and (tid, label, need, phrase, exact, root) of templates, root being the shortest template that they begin with; the row tid -1 marks texts."""
-    grams, kinds = [(MARK, -1, 0)], []
-    roots = sorted((t.split() for t in templates), key=len)
+def template_rows(phrases: dict[str, str], templates: dict[str, str]) -> tuple[list[tuple], list[tuple]]:
+    """(h, said, tid, tpos) of voting bigrams, and (tid, label, need, phrase, exact, root) of templates, root being the shortest template that they begin with; the row tid -1 marks texts."""
+    grams, kinds = [(MARK, None, -1, 0)], []
+    own = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
+    roots = sorted((own(t) for t in templates), key=len)
     for tid, (text, label, phrase) in enumerate([*((t, l, True) for t, l in phrases.items()), *((t, l, False) for t, l in templates.items())]):
-        w = text.split()
-        h = rolling(words(pa.array([text]), ALNUM).hashes, 2).view(np.int64)
+        w = own(text)
+        h = rolling(words(pa.array([text]), ALNUM, lower=True).hashes, 2).view(np.int64)
         votes = [i for i in range(len(w) - 1) if phrase or len(w) <= SHORT or not {w[i], w[i + 1]} <= COMMON]
-        grams += [(int(h[i]), tid, i) for i in votes]
+        grams += [(int(h[i]), f"{w[i]} {w[i + 1]}", tid, i) for i in votes]
         root = None if phrase else " ".join(next(r for r in roots if w[: len(r)] == r))
         kinds.append((tid, label, len(votes), phrase, phrase or len(w) <= SHORT, root))
-    return spark.createDataFrame(grams, "h long, tid int, tpos int"), spark.createDataFrame(kinds, "tid int, label string, need int, phrase boolean, exact boolean, root string")
+    return grams, kinds
 
 
 def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str, str] = TEMPLATES, coverage: float = 0.6, drift: int = 3) -> DataFrame:
@@ -66,7 +54,11 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str
     Each input row gives a row, null and repeated doc_id included; other columns are not read.
     """
     spark = docs.sparkSession
-    grams, kinds = template_table(spark, phrases, templates)
+    small_batches(docs.sparkSession)
+    rows, labelled = template_rows(phrases, templates)
+    asked = np.array([r[0] for r in rows], np.int64)
+    grams = spark.createDataFrame(rows, "h long, said string, tid int, tpos int")
+    kinds = spark.createDataFrame(labelled, "tid int, label string, need int, phrase boolean, exact boolean, root string")
     texts = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,9 +71,13 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str
                 h = np.r_[rolling(w.hashes, 2)[at].view(np.int64), np.full(len(rid), MARK)]
                 pos = np.r_[at - w.offsets[own], np.diff(w.offsets)].astype(np.int32)
                 ids = pa.chunked_array([pa.nulls(len(at), pa.int64()), *t["doc_id"].chunks]).combine_chunks()
-                yield from pa.table({"rid": np.r_[rid[own], rid], "doc_id": ids, "pos": pos, "h": h}).to_batches(max_chunksize=100_000)
+                said = np.full(len(h), None, object)
+                for i in np.flatnonzero(np.isin(h[: len(at)], asked)):
+                    a = at[i]
+                    said[i] = b" ".join(w.buf[w.starts[j] : w.ends[j]].tobytes() for j in (a, a + 1)).decode()
+                yield from pa.table({"rid": np.r_[rid[own], rid], "doc_id": ids, "pos": pos, "h": h, "here": pa.array(said, pa.string())}).to_batches(max_chunksize=100_000)
 
-    hits = texts.mapInArrow(bigrams, "rid long, doc_id long, pos int, h long").join(F.broadcast(grams), "h")
+    hits = texts.mapInArrow(bigrams, "rid long, doc_id long, pos int, h long, here string").join(F.broadcast(grams), "h").where(F.col("here").eqNullSafe(F.col("said")))
     votes = hits.groupBy("rid", "tid", (F.col("pos") - F.col("tpos")).alias("diagonal")).agg(
         F.count("*").alias("votes"), F.max("doc_id").alias("doc_id"), F.collect_set("tpos").alias("places"), F.min("pos").alias("lo"), F.max("pos").alias("hi")
     )
