@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.durable import durable, star_components
-from .spread import Unions, binaries, by_bucket, narrow, pack, sizes, unpack
+from .spread import Unions, binaries, by_bucket, narrow, pack, sizes, small_batches, unpack
 from .words import GOLD, M1, mix, shingle_sets, slices, words
 
 FLUSH = 1_000_000
@@ -128,6 +128,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     results. Other columns of docs are not read.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    small_batches(docs.sparkSession)
     _, n_buckets = sizes(texts)
 
     def read(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -204,8 +205,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([len(x or b"") for x in raw], pa.int64()), pa.array(z, pa.binary())], ["doc_id", "size", "z"])
 
     def restored(batch: pa.RecordBatch) -> Iterator[pa.Table]:
-        """Rows of a batch with their texts, about 2 MB of them at a time."""
-        cut = np.cumsum(batch["size"].to_numpy()) // (2 << 20)
+        """Rows of a batch with their texts, about 1 MB of them at a time."""
+        cut = np.cumsum(batch["size"].to_numpy()) // (1 << 20)
         for own in np.split(np.arange(len(cut)), np.flatnonzero(np.diff(cut)) + 1) if len(cut) else []:
             part = batch.slice(int(own[0]), len(own))
             raw = [None if z is None else pa.decompress(z, n, codec="zstd", asbytes=True) for z, n in zip(part["z"].to_pylist(), part["size"].to_pylist(), strict=True)]

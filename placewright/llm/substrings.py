@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .spread import binaries, by_bucket, group_of, pack, sizes, unpack
+from .spread import binaries, by_bucket, group_of, pack, sizes, small_batches, unpack
 from .words import Words, mix, rolling, slices, window_starts, words
 
 SENT = "bucket int, g int, hashes binary, places binary, extra binary"
@@ -88,6 +88,7 @@ def duplicated_words(docs: DataFrame, window: int = 13, columns: list[str] | Non
     """
     block = (window + 1) // 2
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *([F.struct(*columns).alias("row")] if columns else []))
+    small_batches(docs.sparkSession)
     n_groups, n_buckets = sizes(texts)
     grouped = texts.where("doc_id is not null").withColumn("g", group_of(n_groups, "doc_id", "text"))
 

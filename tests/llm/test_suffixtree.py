@@ -32,6 +32,59 @@ def test_base_and_tree(spark, sf):
     assert all(-r.score / math.log10(2) / size[r.doc_id] < 4.5 for r in held) and held
 
 
+def tree_scores(rows, least, divergence, strength=8.0):
+    """The method as its description has it, over dictionaries."""
+    symbols = lambda t: [255] * 6 + list(re.sub("[A-Z]", lambda m: m[0].lower(), t or "").encode()) + [255]
+    counts = [{} for _ in range(7)]
+    for d, t in rows:
+        if d is None or zlib.crc32(str(d).encode()) % 10:
+            s = symbols(t)
+            for i in range(6, len(s)):
+                for k in range(7):
+                    own = counts[k].setdefault(tuple(s[i - k : i]), Counter())
+                    own[s[i]] += 1
+    total = sum(counts[0].get((), Counter()).values())
+    held = {}
+
+    def p(context, x):
+        if not context:
+            return (counts[0].get((), Counter())[x] + 0.5) / (total + 128)
+        if (context, x) in held:
+            return held[context, x]
+        parent = p(context[1:], x)
+        own = counts[len(context)].get(context, Counter())
+        n = sum(own.values())
+        kept = n >= least and sum(c * math.log(c / n / p(context[1:], y)) for y, c in own.items()) >= divergence
+        held[context, x] = (own[x] + strength * parent) / (n + strength) if kept else parent
+        return held[context, x]
+
+    out = []
+    for d, t in rows:
+        s = symbols(t)
+        out.append((str(d), t or "", sum(math.log10(p(tuple(s[i - 6 : i]), s[i])) for i in range(6, len(s)))))
+    return out
+
+
+def test_tree_by_brute_force(spark):
+    base = ["The thing that thinks", "a thin, thick thicket\tthat", "", None, "Ünter den Linden über", "xyxyxyxyxyxyxyxy", "that thing then", "öäü öäö ÖÄÜ"]
+    rows = [(i, base[i % 8] if base[i % 8] is None else base[i % 8] * (1 + i % 5)) for i in range(120)] + [(None, "the the"), (500, "th"), (500, "th")]
+    for least, divergence in ((4, 2.0), (32, 10.0)):
+        want = sorted(tree_scores(rows, least, divergence))
+        got = sorted((str(r.doc_id), t, r.score) for r, t in _beside(spark, rows, least, divergence))
+        assert [(d, t) for d, t, _ in got] == [(d, t) for d, t, _ in want]
+        for (_, t, a), (_, _, b) in zip(got, want):
+            assert abs(a - b) <= (len(t.encode()) + 1) / 8192 + 1e-9
+
+
+def _beside(spark, rows, least, divergence):
+    """Scores with their texts: each document alone has its own held_out, ids repeat only with equal texts."""
+    text = {}
+    for d, t in rows:
+        assert text.setdefault(d, t or "") == (t or "")
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return [(r, text[r.doc_id]) for r in score_texts(frame, least=least, divergence=divergence).collect()]
+
+
 def test_without_training(spark):
     rows = [(d, "a b") for d in range(60) if zlib.crc32(str(d).encode()) % 10 == 0]
     check(spark, rows)
