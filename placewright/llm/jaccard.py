@@ -27,7 +27,7 @@ from ..operators.durable import durable, star_components
 from .spread import Unions, binaries, by_bucket, narrow, pack, sizes, small_batches, unpack
 from .words import GOLD, M1, mix, shingle_sets, slices, words
 
-FLUSH = 1_000_000
+FLUSH = 500_000
 #: Bytes of an element's hash that are sent to compare two sets.
 WIDTH = 6
 #: Size of a cluster's chunk, about, each set counting its elements and SET more (so at most 2,000 sets); distinct elements in a matrix product.
@@ -205,8 +205,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([len(x or b"") for x in raw], pa.int64()), pa.array(z, pa.binary())], ["doc_id", "size", "z"])
 
     def restored(batch: pa.RecordBatch) -> Iterator[pa.Table]:
-        """Rows of a batch with their texts, about 1 MB of them at a time."""
-        cut = np.cumsum(batch["size"].to_numpy()) // (1 << 20)
+        """Rows of a batch with their texts, about a quarter of a MB of them at a time."""
+        cut = np.cumsum(batch["size"].to_numpy()) // (1 << 18)
         for own in np.split(np.arange(len(cut)), np.flatnonzero(np.diff(cut)) + 1) if len(cut) else []:
             part = batch.slice(int(own[0]), len(own))
             raw = [None if z is None else pa.decompress(z, n, codec="zstd", asbytes=True) for z, n in zip(part["z"].to_pylist(), part["size"].to_pylist(), strict=True)]

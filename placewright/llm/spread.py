@@ -15,7 +15,7 @@ from ..operators.durable import durable
 from .words import slices
 
 GROUP_BYTES = 4 << 20
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 
 
 def partitions(spark: SparkSession) -> int:

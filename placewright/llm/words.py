@@ -125,7 +125,7 @@ def window_starts(offsets: np.ndarray, k: int) -> np.ndarray:
     return ok
 
 
-def slices(table: pa.Table | pa.RecordBatch, column: str = "text", size: int = 1 << 20) -> Iterator[pa.Table]:
+def slices(table: pa.Table | pa.RecordBatch, column: str = "text", size: int = 1 << 18) -> Iterator[pa.Table]:
     """Consecutive rows with about `size` bytes of text each; a longer text comes alone, whole."""
     table = pa.Table.from_batches([table]) if isinstance(table, pa.RecordBatch) else table
     sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(table[column]), 0))
@@ -133,6 +133,7 @@ def slices(table: pa.Table | pa.RecordBatch, column: str = "text", size: int = 1
     edges = np.r_[0, np.flatnonzero(np.diff(cut)) + 1, len(cut)] if len(cut) else [0]
     for a, b in zip(edges[:-1], edges[1:], strict=True):
         yield table.slice(int(a), int(b - a))
+    pa.default_memory_pool().release_unused()
 
 
 def shingle_sets(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
