@@ -7,10 +7,11 @@ difference, and two of its three parts are equal: these subsets of two are enume
 their elements (all elements, where k is 0). Empty subsets sign only for a set too thin to be found without them. So no
 similar pair is lost.
 
-Equal sets are one class from the start. Classes that share enough signatures, directly or through others, form a cluster; its
-sets travel once to each of its chunk pairs, where all intersections are counted by a matrix product. Tasks return
-spanning links, never all pairs, so no link between different sets is lost. The work within a cluster grows with the
-square of its distinct sets: whether near-threshold copies are linked can't be told without comparing them.
+Equal sets are one class from the start. Classes that share enough signatures, directly or through others, form a cluster, whose
+intersections are counted by matrix products. A large cluster is dealt into chunks: first each is compared within itself, then one
+set of each component found, and at last sets that are not in one component yet. So a group of copies of any size, being
+one component after the second step, travels once; only distinct groups of one cluster are compared chunk by chunk. Tasks return
+spanning links, never all pairs, so no link between different sets is lost.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.durable import durable, star_components
@@ -36,6 +37,8 @@ CHUNK, SET, COLUMNS = 500_000, 250, 2048
 LIGHT = 32
 #: Second-level partitions of a first-level one.
 PARTS = 3
+#: In place of a second chunk: a task of many small clusters.
+SMALL = -1
 
 
 def bands(most: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,6 +122,19 @@ def digests(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return mix(sums[offsets[1:]] - sums[offsets[:-1]] + np.diff(offsets).astype(np.uint64)).view(np.int64)
 
 
+def chunk_of(range_: str, kind: Column, chunks: Column) -> Column:
+    """A set's chunk: of its cluster, range and kind, one of so many, by its digest."""
+    return F.xxhash64("cluster", range_, kind.cast("long"), F.pmod(F.xxhash64("digest", F.lit(3)), chunks.cast("long")))
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels (id, component) of all ids after further links (a, b) between them."""
+    of = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"_{c}"))
+    top = star_components(links.join(of("a"), "a").join(of("b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")).where("a <> b").distinct())
+    up = top.select(F.col("id").alias("component"), F.col("component").alias("least"))
+    return durable(labels.join(up, "component", "left").select("id", F.coalesce("least", "component").alias("component")), instead_of=labels)
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, by links of den * |intersection| >= num * |union|.
 
@@ -214,11 +230,11 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t in restored(batch):
+            for t in restored(batch) if "z" in batch.schema.names else slices(batch):
                 values, offsets, digest = read(t)
                 low = values.view(np.uint8).reshape(-1, 8)[:, :WIDTH]
                 sets = [low[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-                yield from pa.table({"doc_id": t["doc_id"], "digest": digest, "wanted": t["wanted"], "part": t["part"], "tasks": t["tasks"], "elements": pa.array(sets, pa.binary())}).to_batches()
+                yield from pa.table({"doc_id": t["doc_id"], "digest": digest, "wanted": t["wanted"], "chunk": t["chunk"], "tasks": t["tasks"], "elements": pa.array(sets, pa.binary())}).to_batches()
 
     described = durable(texts.mapInArrow(describe, "doc_id long, n_shingles long, digest long"))
     classes = durable(described.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.min("n_shingles").alias("n")))
@@ -237,45 +253,68 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     bound = F.floor((k_most + 2) / 2) + F.floor((k_most + 1) / 14) - F.floor(differ(F.col("n_a") + F.col("n_b")) / 2) - F.col("thin") - 1
     together = groups.where((F.col("m") > LIGHT) & (F.col("digest") != F.col("least"))).select(F.col("least").alias("a"), F.col("digest").alias("b"))
     clusters = star_components(together.unionByName(sized.where(F.col("shared") >= bound).select("a", "b")).distinct())
-    # Chunks are of one range of sizes; only those of the same or neighbouring ranges can hold similar sets.
+    # Only sets of the same or neighbouring ranges of sizes can be similar.
     wide = math.log(den / num) * 1.0001
-    members = classes.join(clusters.withColumnRenamed("id", "digest"), "digest").withColumn("range", F.floor(F.log("n") / wide).cast("int"))
-    counts = members.groupBy("component", "range").agg(F.sum(F.col("n") + SET).alias("elements"))
-    whole = counts.groupBy("component").agg(F.sum("elements").alias("all"))
-    chunks = counts.select("component", "range", F.ceil(F.col("elements") / CHUNK).cast("int").alias("chunks"))
-    beside = lambda step, name: chunks.select("component", (F.col("range") - step).alias("range"), F.col("chunks").alias(name))
-    known = chunks.join(beside(1, "up"), ["component", "range"], "left").join(beside(-1, "down"), ["component", "range"], "left").join(whole, "component")
-    code = lambda step, part: (F.col("range") + step).cast("long") * (1 << 32) + part
-    part = F.pmod(F.xxhash64("digest", F.lit(3)), F.col("chunks"))
-    placed = durable(members.join(known, ["component", "range"]).withColumn("part", code(0, part)))
-    # Small clusters share tasks; a large one has a task for each pair of its chunks.
-    shared = max(n_buckets, (placed.agg(F.sum(F.col("n") + SET)).first()[0] or 0) // (2 * CHUNK))
-    task = lambda x, y: F.struct(x.cast("long").alias("x"), y.cast("long").alias("y"), F.col("component").alias("c"))
-    parts = lambda step, n: F.transform(F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>")), lambda o: code(step, o))
-    pairs = F.transform(F.concat(parts(0, "chunks"), parts(1, "up"), parts(-1, "down")), lambda o: task(F.least("part", o), F.greatest("part", o)))
-    sent = placed.withColumn("tasks", F.when(F.col("all") > CHUNK, pairs).otherwise(F.array(task(F.pmod(F.xxhash64("component"), F.lit(shared)), F.lit(-1)))))
-    zipped = texts.mapInArrow(shrink, "doc_id long, size long, z binary")
-    sets = zipped.join(sent.select(F.col("id").alias("doc_id"), F.col("digest").alias("wanted"), "part", "tasks"), "doc_id")
-    kinds = "doc_id long, digest long, wanted long, part long, tasks array<struct<x:long,y:long,c:long>>, elements binary"
-    dealt = sets.mapInArrow(to_sets, kinds).where("digest = wanted").select("doc_id", "part", "elements", F.explode("tasks").alias("task"))
-    keyed = dealt.select("doc_id", "part", "elements", F.col("task.c").alias("cluster"), F.col("task.x").alias("x"), F.col("task.y").alias("y"), F.when(F.col("task.y") >= 0, F.col("task.c")).alias("alone"))
+    members = classes.join(clusters.withColumnRenamed("id", "digest").withColumnRenamed("component", "cluster"), "digest").withColumn("range", F.floor(F.log("n") / wide).cast("int"))
+    counts = members.groupBy("cluster", "range").agg(F.sum(F.col("n") + SET).alias("elements"))
+    whole = counts.groupBy("cluster").agg(F.sum("elements").alias("all"))
+    sized_members = members.join(counts, ["cluster", "range"]).join(whole, "cluster")
+    placed = durable(sized_members.select("cluster", "digest", "id", "n", "range", "all", chunk_of("range", F.lit(0), F.ceil(F.col("elements") / CHUNK)).alias("chunk")))
+    total = placed.agg(F.sum(F.col("n") + SET)).first()[0] or 0
+    shared = max(n_buckets, total // (2 * CHUNK))
+    large = F.col("all") > CHUNK
+    task = lambda x, y: F.struct(x.cast("long").alias("x"), y.cast("long").alias("y"), F.col("cluster").alias("c"))
+
+    def chunks_beside(sets: DataFrame) -> DataFrame:
+        """Sets (cluster, range, kind, digest, id, n) with a task for each chunk that theirs is to be compared with: of the same or a neighbouring range, and not both of one kind other than 0."""
+        kinds = sets.groupBy("cluster", "range", "kind").agg(F.ceil(F.sum(F.col("n") + SET) / CHUNK).alias("chunks"))
+        there = kinds.select("cluster", F.col("range").alias("range2"), F.col("kind").alias("kind2"), F.col("chunks").alias("chunks2"))
+        near = kinds.withColumn("range2", F.explode(F.array(*(F.col("range") + i for i in (-1, 0, 1))))).join(there, ["cluster", "range2"]).where((F.col("kind") == 0) | (F.col("kind") != F.col("kind2")))
+        listed = near.groupBy("cluster", "range", "kind").agg(F.first("chunks").alias("chunks"), F.collect_list(F.struct("range2", "kind2", "chunks2")).alias("others"))
+        own = sets.join(listed, ["cluster", "range", "kind"]).withColumn("chunk", chunk_of("range", F.col("kind"), F.col("chunks")))
+        other = lambda o: F.transform(F.sequence(F.lit(0).cast("long"), o["chunks2"] - 1), lambda i: F.xxhash64("cluster", o["range2"], o["kind2"], i))
+        pairs = F.transform(F.flatten(F.transform("others", other)), lambda o: task(F.least("chunk", o), F.greatest("chunk", o)))
+        return own.select("id", "digest", "chunk", F.array_distinct(pairs).alias("tasks"))
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:
-        small = key[1].as_py() < 0
-        table = table.sort_by([("cluster", "ascending"), ("part", "ascending"), ("doc_id", "ascending")])
-        cluster, part, ids = table["cluster"].to_numpy(), table["part"].to_numpy(), table["doc_id"].to_numpy()
+        small = key[2].as_py() is None
+        table = table.sort_by([("cluster", "ascending"), ("chunk", "ascending"), ("doc_id", "ascending")])
+        cluster, chunk, ids = table["cluster"].to_numpy(), table["chunk"].to_numpy(), table["doc_id"].to_numpy()
         held = [elements(x) for x in binaries(table["elements"])]
         edges = [0, *(np.flatnonzero(np.diff(cluster)) + 1), len(ids)] if small else [0, len(ids)]
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for s, e in zip(edges[:-1], edges[1:], strict=True):
-            first = e - s if small or key[0].as_py() == key[1].as_py() else int(np.count_nonzero(part[s:e] == key[0].as_py()))
+            first = e - s if small or key[0].as_py() == key[1].as_py() else int(np.count_nonzero(chunk[s:e] == key[0].as_py()))
             label = linked(held[s:e], first, num, den)
             far = np.flatnonzero(label != np.arange(e - s))
             a.append(ids[s + far])
             b.append(ids[s + label[far]])
         return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
-    links = durable(keyed.groupBy("x", "y", "alone").applyInArrow(compare, "a long, b long"))
-    labels = star_components(links)
+    kinds = "doc_id long, digest long, wanted long, chunk long, tasks array<struct<x:long,y:long,c:long>>, elements binary"
+
+    def links_of(sent: DataFrame, packed: bool) -> DataFrame:
+        """Spanning links that the tasks of sets (id, digest, chunk, tasks) find; texts are packed where most of them travel to be joined."""
+        given = texts.mapInArrow(shrink, "doc_id long, size long, z binary") if packed else texts
+        joined = given.join(sent.select(F.col("id").alias("doc_id"), F.col("digest").alias("wanted"), "chunk", "tasks"), "doc_id")
+        dealt = joined.mapInArrow(to_sets, kinds).where("digest = wanted").select("doc_id", "chunk", "elements", F.explode("tasks").alias("task"))
+        keyed = dealt.select("doc_id", "chunk", "elements", F.col("task.c").alias("cluster"), F.col("task.x").alias("x"), F.col("task.y").alias("y"), F.when(F.col("task.y") != SMALL, F.col("task.c")).alias("alone"))
+        return durable(keyed.groupBy("x", "y", "alone").applyInArrow(compare, "a long, b long"))
+
+    # First, each chunk of a large cluster alone, and small clusters, many to a task.
+    alone = F.array(F.when(large, task(F.col("chunk"), F.col("chunk"))).otherwise(task(F.pmod(F.xxhash64("cluster"), F.lit(shared)), F.lit(SMALL))))
+    labels = star_components(links_of(placed.select("id", "digest", "chunk", alone.alias("tasks")), packed=True))
+    big = placed.where(large)
+    if not big.isEmpty():
+        # Then one set of each component of each chunk, with the others' of its cluster, so that a group of copies is one component.
+        labels = durable(placed.select("id").join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component")))
+        seen = big.join(labels, "id").groupBy("cluster", "range", "chunk", "component").agg(F.min(F.struct("id", "digest", "n")).alias("s"))
+        few = seen.select("cluster", "range", F.lit(0).cast("long").alias("kind"), "s.*")
+        labels = merged(labels, links_of(chunks_beside(few), packed=False))
+        # Last, whatever is not in one component yet. Sets of a component that fills a chunk are kept together, and never compared with each other again.
+        known = big.join(labels, "id")
+        full = known.groupBy("cluster", "range", "component").agg(F.sum(F.col("n") + SET).alias("own")).where(F.col("own") * 4 > CHUNK).select("cluster", "range", "component", F.lit(True).alias("full"))
+        rest = known.join(full, ["cluster", "range", "component"], "left").select("cluster", "range", F.when(F.col("full"), F.xxhash64("component")).otherwise(F.lit(0).cast("long")).alias("kind"), "id", "digest", "n")
+        labels = merged(labels, links_of(chunks_beside(rest), packed=False))
     named = described.join(classes.select("digest", "id"), "digest", "left").join(labels, "id", "left")
     return named.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id")).alias("component_id"))

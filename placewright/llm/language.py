@@ -31,12 +31,22 @@ DIMS = 1 << 14
 PAIR = np.dtype([("c", "<u2"), ("v", "<f4")])
 
 
+def after(b: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """The byte after each byte of texts that stand between two spaces in b; a space after a text's own, whatever text comes next."""
+    out = b[2:].copy()
+    out[begin[1:] - 1] = 32
+    return out
+
+
+def hashed(first: np.ndarray, second: np.ndarray, third: np.ndarray) -> np.ndarray:
+    return ((first | (second << np.uint32(8)) | (third << np.uint32(16))) * np.uint32(2654435761) >> np.uint32(32 - 14)).astype(np.int32)
+
+
 def trigrams(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Hashed trigrams of all texts in order, and n + 1 offsets; each text begins after a space."""
     buf, begin = buffer(column)
     b = np.r_[np.uint8(32), LOWER[buf], np.uint8(32)].astype(np.uint32)
-    code = (b[:-2] | (b[1:-1] << np.uint32(8)) | (b[2:] << np.uint32(16))) * np.uint32(2654435761) >> np.uint32(32 - 14)
-    return code.astype(np.int32)[: len(buf)], begin
+    return hashed(b[:-2], b[1:-1], after(b, begin)), begin
 
 
 def letter_trigrams(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -44,11 +54,9 @@ def letter_trigrams(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np
     buf, begin = buffer(column)
     b = np.r_[np.uint8(32), LOWER[buf], np.uint8(32)]
     b[1:] += np.where((b[:-1] == 0xC3) & (b[1:] >= 0x80) & (b[1:] <= 0x9E), 32, 0).astype(np.uint8)
-    letter = ((b >= 97) & (b <= 122)) | (b >= 128)
-    b = np.where(letter, b, 32).astype(np.uint32)
-    code = (b[:-2] | (b[1:-1] << np.uint32(8)) | (b[2:] << np.uint32(16))) * np.uint32(2654435761) >> np.uint32(32 - 14)
-    two = letter[:-2].astype(np.int8) + letter[1:-1] + letter[2:] >= 2
-    return code.astype(np.int32)[: len(buf)], begin, two[: len(buf)]
+    b = np.where(((b >= 97) & (b <= 122)) | (b >= 128), b, 32).astype(np.uint32)
+    three = b[:-2], b[1:-1], after(b, begin)
+    return hashed(*three), begin, sum((x != 32).astype(np.int8) for x in three) >= 2
 
 
 @dataclass

@@ -115,13 +115,13 @@ def fit_ordinal(columns: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray
 def grade_quality(docs: DataFrame, ratings: DataFrame, sample: int = 12000, keep_above: int = 0) -> DataFrame:
     """One row per document: doc_id, expected_grade, tail_probability, kept.
 
-    ratings holds (doc_id, grade), grades from 0; rows without either are left out. About `sample` rated documents, chosen by hash, are fitted
+    ratings holds (doc_id, grade), grades from 0; rows without either, or with a negative grade, are left out. About `sample` rated documents, chosen by hash, are fitted
     (all, if there are fewer); without any, every tail is 0.5. tail_probability is P(grade > keep_above), kept whether it is at least
     0.5. Null texts are empty ones; repeated rows give repeated results; a null doc_id is graded like others. Other columns are not read.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     small_batches(docs.sparkSession)
-    rated = ratings.where("doc_id is not null and grade is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("grade").cast("int")).alias("grade"))
+    rated = ratings.where("doc_id is not null and grade >= 0").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("grade").cast("int")).alias("grade"))
     n, parts = rated.count(), 1 << 30
     chosen = rated.where(F.pmod(F.xxhash64("doc_id", F.lit("rated")), F.lit(parts)) < min(parts, parts * sample // max(1, n)))
 
@@ -133,7 +133,8 @@ def grade_quality(docs: DataFrame, ratings: DataFrame, sample: int = 12000, keep
                 yield from pa.table({"grade": t["grade"], "keys": pa.array(keys, pa.binary()), "form": pa.array([x.tobytes() for x in form], pa.binary())}).to_batches()
 
     # The sample is bounded by a parameter, so it may be broadcast to the texts.
-    got: pd.DataFrame = texts.join(F.broadcast(chosen), "doc_id").select("grade", "text").mapInArrow(extract, "grade int, keys binary, form binary").toPandas()
+    # Rows that repeat one rating's text are fitted once.
+    got: pd.DataFrame = texts.join(F.broadcast(chosen), "doc_id").select("grade", "text").mapInArrow(extract, "grade int, keys binary, form binary").dropDuplicates(["grade", "keys", "form"]).toArrow().to_pandas()
     got = got.sort_values(["grade", "keys"], kind="stable")
     model = fit_ordinal([(np.frombuffer(k, np.uint16).astype(np.int64), np.frombuffer(f)) for k, f in zip(got["keys"], got["form"], strict=True)], got["grade"].to_numpy(int))
     shared = docs.sparkSession.sparkContext.broadcast(model)

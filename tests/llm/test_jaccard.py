@@ -68,3 +68,43 @@ def test_large_cluster_in_chunks(spark, monkeypatch):
         rows.append((i, " ".join(w)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(map(tuple, jaccard_components(docs, 5, 80, 100).collect()), key=str) == brute(rows, 5, 80, 100)
+
+
+def test_large_clusters_by_chunks(spark, monkeypatch):
+    """Chains and groups of copies in one cluster that is dealt into many chunks, against plain sets."""
+    import random
+
+    from placewright.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "CHUNK", 3000)
+    r = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for g in range(6):  # groups far from each other that share most words, so that signatures may join them
+        own = [w if r.random() < 0.85 else f"g{g}{w}" for w in base]
+        for _ in range(12):
+            w = list(own)
+            for _ in range(r.randrange(4)):
+                w[r.randrange(len(w))] = f"x{r.randrange(9999)}"
+            rows.append(" ".join(w))
+    walk = list(base)
+    for step in range(30):  # a chain, each near the last only
+        walk[(step * 7) % 120] = f"c{step}"
+        rows.append(" ".join(walk))
+    rows += rows[:5]
+    got = {x.doc_id: x.component_id for x in jaccard.jaccard_components(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"), k=2, num=80, den=100).collect()}
+    sets = [{tuple(t.split()[i : i + 2]) for i in range(len(t.split()) - 1)} for t in rows]
+    up = list(range(len(rows)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                up[b] = a
+    assert got == {i: root(i) for i in range(len(rows))}
+    assert len(set(got.values())) > 3

@@ -24,7 +24,7 @@ def test_base_places(spark):
 def test_templates_with_gaps(spark):
     rows = []
     for i, t in enumerate(TEMPLATES):
-        w = t.split()
+        w = re.findall(r"[a-z0-9]+", t.lower())
         if len(w) > 8:
             w = w[:4] + ["really"] + w[4:7] + w[8:]
         rows.append((i, "Some words before. " + " ".join(w) + " and after"))
@@ -41,3 +41,14 @@ def test_exact_label_sets(spark):
     rows += [("gnu lesser general words public license", ""), (f"{by} Share Alike", "cc-by-sa")]
     got = scan(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")).collect()
     assert [r.labels for r in sorted(got, key=lambda r: r.doc_id)] == [x for _, x in rows]
+
+
+def test_whole_texts(spark):
+    from placewright.llm.license_texts import TEXTS
+
+    rows = [(i, "Notes first.\n" + re.sub(r"\s+", "\n// ", t) + "\nint main();") for i, t in enumerate(TEXTS)]
+    got = {r.doc_id: r for r in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (text, label) in enumerate(TEXTS.items()):
+        assert got[i].labels.split(",") == [label] and got[i].score == 1.0
+        n = len(re.findall(r"[a-z0-9]+", text.lower()))
+        assert any(s.label == label and s.first <= 3 and s.end >= n for s in got[i].spans)

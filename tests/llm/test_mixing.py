@@ -50,3 +50,27 @@ def test_mix(spark):
 def test_empty(spark):
     e = spark.createDataFrame([], "doc_id long, text string, source string, n_chars long")
     assert mix(e).count() == 0 and apply_mix(e).count() == 0
+
+
+def test_clashing_columns(spark):
+    names = ["size", "ranges", "row", "h", "_h", "_row", "twin", "epoch", "own", "doc", "taken", "shard", "key"]
+    rows = [(i, f"w{i} " * (i % 9), f"s{i % 2}", *(i for _ in names)) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{n} int" for n in names))
+    out = apply_mix(df)
+    assert out.columns == df.columns and out.where(" or ".join(f"{n} <> doc_id" for n in names)).count() == 0 and out.count() > 0
+
+
+def test_quotas_are_sainte_lague(spark):
+    # One shard whose blocks are single words: quotas are those of the highest quotients, one seat at a time.
+    rows = [(i, "w " * 10, s) for i, s in enumerate(["a"] * 30 + ["b"] * 5 + ["c"] * 12)]
+    got = mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), block_words=1, shard_words=10**9).collect()
+    blocks = {"a": 300, "b": 50, "c": 120}
+    target = targets(blocks)
+    seats, won = round(sum(target.values())), dict.fromkeys(blocks, 0)
+    for _ in range(seats):
+        open_ = [s for s in blocks if won[s] < 3 * blocks[s]]
+        won[max(open_, key=lambda s: target[s] / (2 * won[s] + 1))] += 1
+    taken = dict.fromkeys(blocks, 0)
+    for r in got:
+        taken[r.source] += r.taken
+    assert all(abs(taken[s] - won[s]) <= 1 for s in blocks), (taken, won)

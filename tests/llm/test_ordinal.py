@@ -1,7 +1,10 @@
+import math
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from placewright.llm.ordinal import grade_quality
+from placewright.llm.ordinal import DIMS, FORM, OrdinalModel, features, fit_ordinal, grade_quality
 from placewright.llm.queries import grades
 
 
@@ -25,3 +28,30 @@ def test_edges(spark):
     assert len(got) == 5 and all(0 <= r.expected_grade <= 2 for r in got)
     assert len(grade_quality(docs, ratings.limit(0)).collect()) == 5
     assert grade_quality(docs.limit(0), ratings).count() == 0
+
+
+def test_tails_by_hand():
+    texts = ["Good text, good text!", "", None, "12 | 34\nbadly badly badly", "é" * 40]
+    column = pa.chunked_array([pa.array(texts)])
+    r = np.random.default_rng(3)
+    model = OrdinalModel(r.normal(size=DIMS), r.normal(size=FORM), np.array([-0.5, 0.7]))
+    key, at, form = features(column)
+    for i, tails in enumerate(model.tails(column)):
+        z = sum(model.words[k] for k in key[at[i] : at[i + 1]]) + sum(a * b for a, b in zip(form[i], model.form))
+        assert np.allclose(tails, [1 / (1 + math.exp(-(z - t))) for t in model.thresholds])
+        assert tails[0] > tails[1]
+    assert len(set(key[at[0] : at[1]])) == at[1] - at[0] == 2 and at[2] == at[3] - 0 == at[1]
+
+
+def test_fit_finds_a_word():
+    marks = [np.array([5] if g == 2 else [9] if g == 0 else [1]) for g in (0, 1, 2) * 60]
+    model = fit_ordinal([(k, np.zeros(FORM)) for k in marks], np.array([0, 1, 2] * 60))
+    assert model.words[5] > 0 > model.words[9] and (np.diff(model.thresholds) >= 0).all()
+    tail = lambda w, k: 1 / (1 + math.exp(-(model.words[w] - model.thresholds[k])))
+    assert tail(5, 1) > 0.5 > tail(9, 0)
+
+
+def test_negative_grades_are_left_out(spark):
+    docs = spark.createDataFrame([(i, "good text" if i % 2 else "bad text") for i in range(40)], "doc_id long, text string")
+    ratings = spark.createDataFrame([(i, -1 if i == 3 else i % 2) for i in range(40)], "doc_id long, grade int")
+    assert grade_quality(docs, ratings).count() == 40
