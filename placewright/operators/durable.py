@@ -56,12 +56,10 @@ def star_components(links: DataFrame) -> DataFrame:
         return joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.where("a <> m").select("a", F.col("m").alias("b"))).distinct()
 
     edges = durable(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
-    before = None
-    while True:
+    before, still = None, edges.isEmpty()
+    while not still:
         edges = durable(star(star(edges, True), False), instead_of=edges)
         now = tuple(edges.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)))).first())
-        if now == before:
-            break
-        before = now
+        before, still = now, now == before
     roots = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
     return roots.unionByName(roots.select(F.col("component").alias("id"), "component").distinct())
