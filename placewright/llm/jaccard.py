@@ -293,9 +293,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 
     kinds = "doc_id long, digest long, wanted long, chunk long, tasks array<struct<x:long,y:long,c:long>>, elements binary"
 
-    def links_of(sent: DataFrame, packed: bool) -> DataFrame:
-        """Spanning links that the tasks of sets (id, digest, chunk, tasks) find; texts are packed where most of them travel to be joined."""
-        given = texts.mapInArrow(shrink, "doc_id long, size long, z binary") if packed else texts
+    def links_of(sent: DataFrame, most: bool) -> DataFrame:
+        """Spanning links that the tasks of sets (id, digest, chunk, tasks) find. Where most texts are among them, these travel, packed; else the sets' table is written first, and being small it goes to the texts."""
+        given, sent = (texts.mapInArrow(shrink, "doc_id long, size long, z binary"), sent.hint("merge")) if most else (texts, durable(sent))
         joined = given.join(sent.select(F.col("id").alias("doc_id"), F.col("digest").alias("wanted"), "chunk", "tasks"), "doc_id")
         dealt = joined.mapInArrow(to_sets, kinds).where("digest = wanted").select("doc_id", "chunk", "elements", F.explode("tasks").alias("task"))
         keyed = dealt.select("doc_id", "chunk", "elements", F.col("task.c").alias("cluster"), F.col("task.x").alias("x"), F.col("task.y").alias("y"), F.when(F.col("task.y") != SMALL, F.col("task.c")).alias("alone"))
@@ -303,18 +303,18 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 
     # First, each chunk of a large cluster alone, and small clusters, many to a task.
     alone = F.array(F.when(large, task(F.col("chunk"), F.col("chunk"))).otherwise(task(F.pmod(F.xxhash64("cluster"), F.lit(shared)), F.lit(SMALL))))
-    labels = star_components(links_of(placed.select("id", "digest", "chunk", alone.alias("tasks")), packed=True))
+    labels = star_components(links_of(placed.select("id", "digest", "chunk", alone.alias("tasks")), most=True))
     big = placed.where(large)
     if not big.isEmpty():
         # Then one set of each component of each chunk, with the others' of its cluster, so that a group of copies is one component.
         labels = durable(placed.select("id").join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component")))
         seen = big.join(labels, "id").groupBy("cluster", "range", "chunk", "component").agg(F.min(F.struct("id", "digest", "n")).alias("s"))
         few = seen.select("cluster", "range", F.lit(0).cast("long").alias("kind"), "s.*")
-        labels = merged(labels, links_of(chunks_beside(few), packed=False))
+        labels = merged(labels, links_of(chunks_beside(few), most=False))
         # Last, whatever is not in one component yet. Sets of a component that fills a chunk are kept together, and never compared with each other again.
         known = big.join(labels, "id")
         full = known.groupBy("cluster", "range", "component").agg(F.sum(F.col("n") + SET).alias("own")).where(F.col("own") * 4 > CHUNK).select("cluster", "range", "component", F.lit(True).alias("full"))
         rest = known.join(full, ["cluster", "range", "component"], "left").select("cluster", "range", F.when(F.col("full"), F.xxhash64("component")).otherwise(F.lit(0).cast("long")).alias("kind"), "id", "digest", "n")
-        labels = merged(labels, links_of(chunks_beside(rest), packed=False))
+        labels = merged(labels, links_of(chunks_beside(rest), most=False))
     named = described.join(classes.select("digest", "id"), "digest", "left").join(labels, "id", "left")
     return named.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id")).alias("component_id"))
