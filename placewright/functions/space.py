@@ -42,10 +42,11 @@ def y_of(c: Column) -> Column:
     return c.bitwiseAND(F.lit((1 << 29) - 1))
 
 
-def parent(c: Column, zoom: int) -> Column:
+def parent(c: Column, zoom: int | Column) -> Column:
     """The ancestor at a coarser zoom."""
     up = F.pow(F.lit(2), zoom_of(c) - zoom).cast("long")
-    return F.lit(zoom << 58) + F.floor(x_of(c) / up) * F.lit(1 << 29) + F.floor(y_of(c) / up)
+    top = zoom.cast("long") * F.lit(1 << 58) if isinstance(zoom, Column) else F.lit(zoom << 58)
+    return top + F.floor(x_of(c) / up) * F.lit(1 << 29) + F.floor(y_of(c) / up)
 
 
 def children(c: Column) -> Column:

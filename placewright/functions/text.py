@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Languages that mean none; sources in order of preference.
@@ -66,3 +66,15 @@ def primary_namespace(namespaces: Column) -> Column:
     """The preferred source, by the fixed order, then by name."""
     order = F.create_map(*(F.lit(x) for i, n in enumerate(PRIORITY) for x in (n, i)))
     return F.array_min(F.transform(namespaces, lambda n: F.struct(F.coalesce(order[n], order["other"]).alias("r"), n.alias("n"))))["n"]
+
+
+def within_limits(name: Column, toponym_id: Column, characters: int = 200, id_bytes: int = 450) -> Column:
+    """Neither the name nor the identifier's bytes are too long."""
+    return (F.length(name) <= characters) & (F.octet_length(toponym_id) <= id_bytes)
+
+
+def display_names(names: DataFrame, languages: list[str]) -> DataFrame:
+    """One row per place of (place_id, name, lang, local): the name in its local language, else one of none, and a name_xx for each language; the last by order."""
+    own = [F.max(F.when(F.col("lang") == x, F.col("name"))).alias(f"name_{x}") for x in languages]
+    local = F.coalesce(F.max(F.when(F.col("lang") == F.col("local"), F.col("name"))), F.max(F.when(F.col("lang") == "und", F.col("name"))))
+    return names.groupBy("place_id").agg(local.alias("local_name"), *own)

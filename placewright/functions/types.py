@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,3 +23,26 @@ def wu_palmer(a: Column, b: Column) -> Column:
 def within(path: Column, root: Column) -> Column:
     """The path is root or below it, segment by segment."""
     return (path == root) | F.startswith(path, F.concat(root, F.lit(".")))
+
+
+def legacy_label(label: Column, known: Column) -> Column:
+    """A label without case, brackets and outer space, `other` if nothing is left of it, and the confidence that a map of known labels gives (`none` if it has none)."""
+    plain = F.trim(F.regexp_replace(F.lower(label), r"\s*[\[(].*$", ""))
+    plain = F.when(plain.rlike(r"\p{L}"), plain).otherwise("other")
+    return F.struct(plain.alias("label"), F.coalesce(F.element_at(known, plain), F.lit("none")).alias("confidence"))
+
+
+def mapping_report(terms: DataFrame, vocabulary: str, mapped: Column) -> DataFrame:
+    """Of each vocabulary, its terms, how many are mapped, and their share."""
+    out = terms.groupBy(vocabulary).agg(F.count("*").alias("terms"), F.count_if(mapped).alias("mapped"))
+    return out.withColumn("share", F.round(F.col("mapped") / F.col("terms"), 6))
+
+
+def vocabulary_counts(docs: DataFrame, types: str, field: str) -> DataFrame:
+    """How often each term stands among the documents' types."""
+    return docs.select(F.explode(F.col(types)).alias("t")).groupBy(F.col("t")[field].alias("term")).agg(F.count("*").alias("n"))
+
+
+def best_wu_palmer(a: Column, b: Column) -> Column:
+    """The largest similarity of two lists of paths; 0 if either is empty."""
+    return F.coalesce(F.array_max(F.flatten(F.transform(a, lambda x: F.transform(b, lambda y: wu_palmer(x, y))))), F.lit(0.0))

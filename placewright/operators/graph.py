@@ -76,3 +76,16 @@ def pairs_within(points: DataFrame, km: float, distance) -> DataFrame:
     other = other.withColumn("c2", col(F.col("lon2"), F.col("r2")))
     pairs = around.join(other, ["r2", "c2"]).where(F.col("place_id") < F.col("other"))
     return pairs.withColumn("km", distance(F.col("lon"), F.col("lat"), F.col("lon2"), F.col("lat2"))).where(F.col("km") <= km).select("place_id", "other", "km")
+
+
+def record_score(names: Column, others: Column, similarity) -> Column:
+    """The largest similarity of any name of one record with any of another; 0 if either has none."""
+    return F.coalesce(F.array_max(F.flatten(F.transform(names, lambda x: F.transform(others, lambda y: similarity(x, y))))), F.lit(0.0))
+
+
+def at_thresholds(scores: DataFrame, cuts: list[float]) -> DataFrame:
+    """Precision, recall, F1 and F5 of (score, label 0/1) at each cut."""
+    each = scores.withColumn("cut", F.explode(F.array(*map(F.lit, cuts))))
+    counted = each.groupBy("cut").agg(F.count_if((F.col("score") >= F.col("cut")) & (F.col("label") == 1)).alias("tp"), F.count_if(F.col("score") >= F.col("cut")).alias("found"), F.count_if(F.col("label") == 1).alias("right"))
+    f = lambda b: F.round((1 + b * b) * F.col("tp") / (F.col("found") + b * b * F.col("right")), 9)
+    return counted.select("cut", F.round(F.col("tp") / F.col("found"), 9).alias("precision"), F.round(F.col("tp") / F.col("right"), 9).alias("recall"), f(1).alias("f1"), f(5).alias("f5"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import temporal, text, types
+from ..functions import script, temporal, text, types
 
 EXCLUDED, VARIANT_WEIGHT, POOL = ["gb"], 0.9, 10_000
 
@@ -17,19 +17,20 @@ def exact(names: DataFrame, query: str) -> DataFrame:
 
 
 def starts(names: DataFrame, query: str) -> DataFrame:
-    """Names that begin with the query, or have a word that does, without regard to case."""
-    q = query.lower()
-    return names.where(F.startswith(F.lower("name"), F.lit(q)) | F.exists(text.tokens(F.col("name")), lambda t: F.startswith(t, F.lit(q)))).withColumn("score", F.lit(1.0))
+    """Names that begin with the query, or have a word that does, without regard to case and accents."""
+    q, name = script.fold(F.lit(query)), script.fold(F.col("name"))
+    return names.where(F.startswith(name, q) | F.exists(text.tokens(name), lambda t: F.startswith(t, q))).withColumn("score", F.lit(1.0))
 
 
 def infix(names: DataFrame, query: str) -> DataFrame:
-    return names.where(F.contains(F.lower("name"), F.lit(query.lower()))).withColumn("score", F.lit(1.0))
+    """Names that hold the query, without regard to case and accents."""
+    return names.where(F.contains(script.fold(F.col("name")), script.fold(F.lit(query)))).withColumn("score", F.lit(1.0))
 
 
 def fuzzy(names: DataFrame, query: str) -> DataFrame:
     """Names with a word within the query word's edits and the same first two letters; 3 for each such word, 5 more for equality."""
     wanted = [t for t in query.lower().split() if t]
-    close = lambda q: F.exists(text.tokens(F.col("name")), lambda t: (F.left(t, F.lit(2)) == q[:2]) & (F.levenshtein(t, F.lit(q)) <= text.fuzziness(F.lit(q))))
+    close = lambda q: F.exists(text.tokens(script.fold(F.col("name"))), lambda t: (F.left(t, F.lit(2)) == F.left(script.fold(F.lit(q)), F.lit(2))) & (F.levenshtein(t, script.fold(F.lit(q))) <= text.fuzziness(F.lit(q))))
     hits = sum((F.when(close(q), 3.0).otherwise(0.0) for q in wanted), F.lit(0.0))
     return names.withColumn("score", hits + F.when(F.lower("name") == query.lower(), 5.0).otherwise(0.0)).where("score > 0")
 
@@ -118,3 +119,55 @@ def concept_or_below(path: Column, root: str) -> Column:
 def top_per_group(df: DataFrame, group: list[str], order: list, n: int) -> DataFrame:
     """The first n rows of each group; Spark prunes each task's rows before the shuffle."""
     return df.withColumn("rank", F.row_number().over(W.partitionBy(*group).orderBy(*order))).where(F.col("rank") <= n)
+
+
+def by_label(names: DataFrame, asked: DataFrame) -> DataFrame:
+    """Names equal to one of the asked labels but for case and accents."""
+    keyed = asked.select(script.fold(F.col("asked")).alias("key")).distinct()
+    return names.withColumn("key", script.fold(F.col("name"))).join(keyed, "key", "left_semi").drop("key")
+
+
+def pool(scores: DataFrame, offset: int, size: int, factor: int = 4) -> DataFrame:
+    """The candidates that later filters see: the best by score, then place_id, as many as the page asks for times the factor, at most POOL."""
+    return scores.orderBy(F.col("score").desc(), F.col("place_id").desc()).limit(min((offset + size) * factor, POOL))
+
+
+def spellings(hits: DataFrame, size: int) -> DataFrame:
+    """One row for each spelling of (name, score, lang, namespace, place_id): its best score and what it stands for, best first."""
+    lists = {"langs": "lang", "namespaces": "namespace", "places": "place_id"}
+    out = hits.groupBy("name").agg(F.max("score").alias("score"), *(F.array_sort(F.collect_set(c)).alias(n) for n, c in lists.items()))
+    return out.orderBy(F.col("score").desc(), "name").limit(size)
+
+
+def names_of(names: DataFrame, ids: DataFrame, most: int) -> DataFrame:
+    """The distinct names of the asked places, in order, at most `most` each."""
+    own = names.join(ids.select("place_id").distinct(), "place_id", "left_semi").select("place_id", "name").distinct()
+    kept = top_per_group(own, ["place_id"], [F.col("name")], most)
+    return kept.groupBy("place_id").agg(F.array_sort(F.collect_list("name")).alias("names"))
+
+
+def namespaces_seen(records: DataFrame) -> DataFrame:
+    """The distinct sources of records, in order, in one row; of a record without one, what stands before its id's colon."""
+    own = F.coalesce(F.nullif(F.col("namespace"), F.lit("")), F.when(F.contains("place_id", F.lit(":")), F.nullif(F.split_part("place_id", F.lit(":"), F.lit(1)), F.lit(""))))
+    return records.select(own.alias("n")).where("n is not null").distinct().agg(F.array_sort(F.collect_list("n")).alias("namespaces"))
+
+
+def scope_report(asked: DataFrame, containers: DataFrame, links: DataFrame, relations: tuple[str, ...] = ("sameAs", "exactMatch")) -> DataFrame:
+    """How each asked container (place_id) counts: by its own area, by that of a place linked with it, by a point alone, or not at all, in one row of lists."""
+    both = links.where(F.col("relation_type").isin(*relations)).select(F.col("place_a").alias("place_id"), F.col("place_b").alias("other"))
+    both = both.unionByName(both.select(F.col("other").alias("place_id"), F.col("place_id").alias("other")))
+    areas = containers.where("is_area").select(F.col("place_id").alias("other"))
+    lent = asked.join(both, "place_id").join(areas, "other", "left_semi").select("place_id").distinct().withColumn("lent", F.lit(True))
+    marked = asked.distinct().join(containers, "place_id", "left").join(lent, "place_id", "left")
+    how = F.when(F.col("is_area"), "polygon").when(F.col("lent"), "linked").when(F.col("has_point"), "point").otherwise("unresolved")
+    listed = [F.array_sort(F.collect_list(F.when(F.col("how") == h, F.col("place_id")))).alias(h) for h in ("polygon", "linked", "point", "unresolved")]
+    out = marked.withColumn("how", how).agg(*listed, F.max(F.col("how") != "unresolved").alias("applied"))
+    return out.withColumn("mode", F.when(F.size("polygon") > 0, "polygon").when(F.size("linked") > 0, "linked-polygon").when(F.size("point") > 0, "point").otherwise("none"))
+
+
+def candidates(places: DataFrame) -> DataFrame:
+    """Places with their distinct names, points and whether they have an area: what a client is shown of (place_id, title, names, geometries, links, score)."""
+    shown = F.filter("geometries", lambda g: g["repr_point"].isNotNull() | F.coalesce(g["has_geom"], F.lit(False)))
+    geometry = lambda g: F.struct(g["repr_point"].alias("repr_point"), F.coalesce(g["geom_class"] == "area", g["has_geom"], F.lit(False)).alias("is_area"))
+    none = lambda c: F.coalesce(F.col(c), F.array().cast(dict(places.dtypes)[c]))
+    return places.select("place_id", "title", F.array_distinct(F.filter(none("names"), lambda n: n != "")).alias("names"), F.transform(shown, geometry).alias("geometries"), none("links").alias("links"), "score")

@@ -1,6 +1,6 @@
 """Registered queries and their SQL twins."""
 
-from . import feeds, more
+from . import atlas, documents, eras, feeds, imports, lineage, more, names, pairs, requests
 from .queries import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "feeds", "more"]
+__all__ = ["ORACLES", "QUERIES", "atlas", "documents", "eras", "feeds", "imports", "lineage", "more", "names", "pairs", "requests"]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import vectors
+from ..operators import graph, knn
 from ..sources import readers, writers
 from ..streaming import incremental
 from .queries import query
@@ -136,12 +136,24 @@ s AS (SELECT q, ql, label, row_number() OVER (PARTITION BY q ORDER BY list_dot_p
 f AS (SELECT q.q, min(r) FILTER (WHERE label = s.ql) AS r FROM q LEFT JOIN s USING (q) GROUP BY q.q)
 SELECT count(*) AS n, count(*) FILTER (WHERE r <= 1) AS at_1, count(*) FILTER (WHERE r <= 5) AS at_5, count(*) FILTER (WHERE r <= 10) AS at_10, round(avg(coalesce(1.0 / r, 0)), 9) AS mrr FROM f""")
 def retrieval_metrics(v: Views) -> DataFrame:
-    e = v.embeddings
-    q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("q"), F.col("label").alias("ql"), F.col("embedding").alias("qe"))
-    scored = e.crossJoin(F.broadcast(q)).where("vec_id <> q").withColumn("s", vectors.dot(F.col("qe"), F.col("embedding")))
-    # The place of the first right answer is one more than the answers before it, so no list of a query is sorted.
-    best = scored.where("label = ql").groupBy("q").agg(F.max_by(F.struct("s", "vec_id"), F.struct("s", -F.col("vec_id"))).alias("b"))
-    ahead = scored.join(F.broadcast(best), "q").where("s > b.s or s = b.s and vec_id < b.vec_id").groupBy("q").agg(F.count("*").alias("ahead"))
-    found = q.select("q").join(best, "q", "left").join(ahead, "q", "left").withColumn("r", F.when(F.col("b").isNotNull(), 1 + F.coalesce("ahead", F.lit(0))))
-    at = lambda n: F.count_if(F.col("r") <= n).alias(f"at_{n}")
-    return found.agg(F.count("*").alias("n"), at(1), at(5), at(10), F.round(F.avg(F.coalesce(1 / F.col("r"), F.lit(0.0))), 9).alias("mrr"))
+    e = v.embeddings.select(F.col("vec_id").alias("id"), "label", F.col("embedding").alias("e"))
+    return knn.retrieval(knn.first_right(e.where("id % 50 = 0"), e)).select("n", "at_1", "at_5", "at_10", "mrr")
+
+
+@query("""
+WITH q AS (SELECT vec_id AS q, label AS ql, embedding AS qe FROM embeddings WHERE vec_id % 50 = 0),
+s AS (SELECT q, ql, label, row_number() OVER (PARTITION BY q ORDER BY list_dot_product(qe::DOUBLE[], embedding::DOUBLE[]) DESC, vec_id) AS r FROM q, embeddings WHERE vec_id <> q),
+f AS (SELECT q.q, min(r) FILTER (WHERE label = s.ql) AS r FROM q LEFT JOIN s USING (q) GROUP BY q.q)
+SELECT q AS query, r AS rank FROM f""")
+def first_right_ranks(v: Views) -> DataFrame:
+    e = v.embeddings.select(F.col("vec_id").alias("id"), "label", F.col("embedding").alias("e"))
+    return knn.first_right(e.where("id % 50 = 0"), e)
+
+
+@query("""
+WITH s AS (SELECT doc_id, (doc_id * 37 % 101) / 100.0 AS score, quality AS label FROM labels), t AS (SELECT unnest([0.25, 0.5, 0.75]) AS cut),
+c AS (SELECT cut, count(*) FILTER (score >= cut AND label = 1) AS tp, count(*) FILTER (score >= cut) AS found, count(*) FILTER (label = 1) AS good FROM s, t GROUP BY cut)
+SELECT cut::DOUBLE AS cut, round(tp / found, 9)::DOUBLE AS precision, round(tp / good, 9)::DOUBLE AS recall, round(2 * tp / (found + good), 9)::DOUBLE AS f1, round(26 * tp / (found + 25 * good), 9)::DOUBLE AS f5 FROM c""")
+def threshold_metrics(v: Views) -> DataFrame:
+    scores = v.labels.select((F.col("doc_id") * 37 % 101 / 100).alias("score"), F.col("quality").alias("label"))
+    return graph.at_thresholds(scores, [0.25, 0.5, 0.75])

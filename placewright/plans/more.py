@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import space, text, types, vectors
-from ..operators import graph, search, stages
+from ..operators import graph, knn, search, stages
 from .queries import query
 from .views import Views
 
@@ -262,10 +262,40 @@ WITH s AS (SELECT q.vec_id AS query, v.vec_id, round(list_dot_product(q.embeddin
   FROM embeddings q JOIN embeddings v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id)
 SELECT query, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS r FROM s) WHERE r <= 5""")
 def nearest_vectors(v: Views) -> DataFrame:
-    # A stated query set against all vectors; the queries are a fiftieth of the table and are dealt out with it.
-    q = v.embeddings.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("e"))
-    s = v.embeddings.join(q, F.col("vec_id") != F.col("query")).select("query", "vec_id", F.round(vectors.cosine(F.col("e"), F.col("embedding")), 9).alias("score"))
-    return search.top_per_group(s, ["query"], [F.col("score").desc(), F.col("vec_id")], 5).select("query", "vec_id", "score")
+    # A stated query set against all vectors, in blocks.
+    e = v.embeddings.select(F.col("vec_id").alias("id"), F.lit(0).alias("label"), F.col("embedding").alias("e"))
+    return knn.nearest(e.where("id % 50 = 0"), e, 5).select("query", F.col("id").alias("vec_id"), "score")
+
+
+@query("""
+WITH s AS (SELECT q.vec_id AS query, v.vec_id, round(list_dot_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[]) / sqrt(list_dot_product(q.embedding::DOUBLE[], q.embedding::DOUBLE[])) / sqrt(list_dot_product(v.embedding::DOUBLE[], v.embedding::DOUBLE[])), 9) AS score
+  FROM embeddings q JOIN embeddings v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id AND v.label = 3)
+SELECT query, vec_id, round((1 + score) / 2, 8) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS r FROM s WHERE score >= 0.4) WHERE r <= 200""")
+def filtered_neighbours(v: Views) -> DataFrame:
+    e = v.embeddings.select(F.col("vec_id").alias("id"), "label", F.col("embedding").alias("e"))
+    near = knn.nearest(e.where("id % 50 = 0"), e.where("label = 3"), 200, 0.4)
+    return near.select("query", F.col("id").alias("vec_id"), F.round((1 + F.col("score")) / 2, 8).alias("score"))
+
+
+@query("""
+WITH x AS (SELECT DISTINCT path, string_split(path, '.') AS s FROM x_path)
+SELECT a.path AS a, b.path AS b, round(4 / 6.0, 9)::DOUBLE AS similarity FROM x a JOIN x b ON a.s[1] = b.s[1] AND a.s[2] = b.s[2] AND a.path < b.path""")
+def similar_types(v: Views) -> DataFrame:
+    # Paths that share two of their three segments; those that share one only are not alike enough.
+    x = v.x_path.select("path").distinct().withColumn("g", F.substring_index("path", ".", 2))
+    y = x.select("g", F.col("path").alias("b"))
+    return x.join(y, "g").where("path < b").select(F.col("path").alias("a"), "b", F.round(types.wu_palmer(F.col("path"), F.col("b")), 9).alias("similarity"))
+
+
+@query("""
+WITH RECURSIVE b AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings)
+SELECT vec_id, round(list_sum(list_transform(e[1:8], lambda x: x)) / 8, 6) AS first_bin, round(list_sum(list_transform(e[57:64], lambda x: x)) / 8, 6) AS last_bin, round(e[1] * 127 / 127, 2) AS back FROM b""")
+def pooled_vectors(v: Views) -> DataFrame:
+    rows = F.transform("embedding", lambda x: F.array(x.cast("double")))
+    pooled = vectors.pooled(rows, 8, 1)
+    back = vectors.dequantise(vectors.quantise(F.col("embedding")))
+    near = F.when(F.abs(back[0] - F.col("embedding")[0]) < 0.004, F.round(F.col("embedding")[0].cast("double"), 2))
+    return v.embeddings.select("vec_id", F.round(pooled[0], 6).alias("first_bin"), F.round(pooled[7], 6).alias("last_bin"), near.alias("back"))
 
 
 # Labels, logs and windows

@@ -11,9 +11,9 @@ from ..functions import space
 STATUSES = ("draft", "pending", "published", "private_permanent", "submitted")
 
 
-def with_dataset(docs: DataFrame, statuses: tuple[str, ...] = STATUSES) -> DataFrame:
-    """dataset_status defaults to published and dataset_id to the namespace; contributed rows (`whg`) must bring both. Unknown states raise."""
-    ours = F.col("namespace") != "whg"
+def with_dataset(docs: DataFrame, statuses: tuple[str, ...] = STATUSES, contributed: str = "contributed") -> DataFrame:
+    """dataset_status defaults to published and dataset_id to the namespace; rows of the contributed namespace must bring both. Unknown states raise."""
+    ours = F.col("namespace") != contributed
     status = F.coalesce("dataset_status", F.when(ours, "published"))
     bad = status.isNull() | ~status.isin(*statuses)
     status = F.when(bad, F.raise_error(F.concat(F.lit("dataset_status of "), F.col("place_id")))).otherwise(status)

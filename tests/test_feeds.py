@@ -48,8 +48,8 @@ def test_geojson(spark, tmp_path):
 
 
 def test_unknown_status_raises(spark):
-    rows = spark.createDataFrame([("whg:1", "whg", None, None)], "place_id string, namespace string, dataset_status string, dataset_id string")
-    with pytest.raises(Exception, match="dataset_status of whg:1"):
+    rows = spark.createDataFrame([("contributed:1", "contributed", None, None)], "place_id string, namespace string, dataset_status string, dataset_id string")
+    with pytest.raises(Exception, match="dataset_status of contributed:1"):
         writers.with_dataset(rows).collect()
 
 
