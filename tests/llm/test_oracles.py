@@ -3,7 +3,7 @@ import pytest
 
 from placewright.llm.queries import ORACLES, QUERIES
 
-TABLES = ("documents", "embeddings")
+TABLES = ("documents", "embeddings", "conversations")
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
