@@ -14,11 +14,12 @@ from .licenses import scan
 from .media import describe_media, store_texts
 from .merkle import manifest, tampered_text
 from .mixing import mix
-from .oracles import OP12
+from .oracles import OP11, OP12
 from .ordinal import grade_quality
 from .packing import pack
 from .substrings import substring_digest
 from .suffixtree import score_texts
+from .turns import damaged, repaired_conversations
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,12 +73,17 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_docs(spark, sf_dir), k=4, num=85, den=100)
 
 
+def op11_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return repaired_conversations(given, damaged(given))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(_docs(spark, sf_dir), tampered_text()).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_covertree, op2_media, op3_mixing, op4_language, op5_packing, op6_licenses, op7_suffixtree, op8_substrings, op9_ordinal, op10_jaccard, op12_merkle)
+    f.__name__: f for f in (op1_covertree, op2_media, op3_mixing, op4_language, op5_packing, op6_licenses, op7_suffixtree, op8_substrings, op9_ordinal, op10_jaccard, op11_turns, op12_merkle)
 }
 
 #: Links to components, by label propagation over a table `links(a, b)` holding both directions.
@@ -133,5 +139,6 @@ links AS MATERIALIZED (
 SELECT s.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(r.component, s.doc_id)::BIGINT AS component_id
 FROM split s LEFT JOIN sizes n ON n.doc_id = s.doc_id LEFT JOIN reach r ON r.id = s.doc_id
 """,
+    "op11_turns": OP11,
     "op12_merkle": OP12,
 }
