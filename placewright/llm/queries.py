@@ -17,6 +17,7 @@ from .mixing import mix
 from .oracles import OP11, OP12
 from .ordinal import grade_quality
 from .packing import pack
+from .privacy import KINDS, personal_data
 from .substrings import substring_digest
 from .suffixtree import score_texts
 from .turns import damaged, repaired_conversations
@@ -82,8 +83,12 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(_docs(spark, sf_dir), tampered_text()).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op13_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(_docs(spark, sf_dir)).select("doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_covertree, op2_media, op3_mixing, op4_language, op5_packing, op6_licenses, op7_suffixtree, op8_substrings, op9_ordinal, op10_jaccard, op11_turns, op12_merkle)
+    f.__name__: f for f in (op1_covertree, op2_media, op3_mixing, op4_language, op5_packing, op6_licenses, op7_suffixtree, op8_substrings, op9_ordinal, op10_jaccard, op11_turns, op12_merkle, op13_privacy)
 }
 
 #: Links to components, by label propagation over a table `links(a, b)` holding both directions.
