@@ -13,8 +13,9 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from .spread import small_batches
 from .words import LOWER, buffer, slices
@@ -172,13 +173,30 @@ def _sparse(column: list[bytes]) -> Sparse:
     return Sparse(len(column), np.repeat(np.arange(len(column)), [len(x) // PAIR.itemsize for x in column]), pair["c"].astype(np.int64), pair["v"].astype(float))
 
 
-def fit(docs: DataFrame, training: Column, per_language: int = 600, languages: int = 64) -> LanguageModel | None:
+def svms(spark: SparkSession, x: Sparse, scale: np.ndarray, jobs: list[tuple[list[str], list[str]]], classes: np.ndarray) -> list[tuple[np.ndarray, float]]:
+    """One linear SVM for each job (classes for, classes against), each fitted by a task on the broadcast sample."""
+    data = spark.sparkContext.broadcast((x, scale, jobs, classes))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x, scale, jobs, classes = data.value
+        for batch in batches:
+            for k in batch["id"].to_pylist():
+                good, keep = np.isin(classes, jobs[k][0]), np.isin(classes, [*jobs[k][0], *jobs[k][1]])
+                w, b = linear_svm(x.where(keep), np.where(good[keep], 1.0, -1.0), scale)
+                yield pa.RecordBatch.from_pylist([{"id": k, "w": w.astype(np.float32).tobytes(), "b": float(b)}])
+
+    got = spark.range(0, len(jobs), 1, len(jobs)).mapInArrow(run, "id long, w binary, b double").toArrow().sort_by("id")
+    data.unpersist()
+    return [(np.frombuffer(w, np.float32), b) for w, b in zip(got["w"].to_pylist(), got["b"].to_pylist(), strict=True)]
+
+
+def fit(docs: DataFrame, training: Column, per_language: int = 600) -> LanguageModel | None:
     """Fit on about `per_language` distinct rows of each language (all, if it has fewer) where `training` holds and text and lang aren't null.
 
-    Of more than `languages` languages, those with the most rows are learned, so the sample and the model are bounded.
+    Every language is learned. The sample has at most about per_language rows of each, the model 64 KB for each family and each pair within one.
     """
     rows = docs.where(training & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(languages).collect()}
+    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
     if not counts:
         return None
     parts = 1 << 30
@@ -211,12 +229,11 @@ def fit(docs: DataFrame, training: Column, per_language: int = 600, languages: i
     for code in langs:
         members.setdefault(FAMILY_OF.get(code, code), []).append(code)
     families = sorted(members)
-    family = np.array([FAMILY_OF.get(c, c) for c in y])
     pairs = [p for f in families for p in combinations(members[f], 2)]
-    fitted = [(np.zeros(DIMS), 1.0) if len(families) == 1 else linear_svm(x, np.where(family == f, 1.0, -1.0), scale) for f in families]
-    for a, b in pairs:
-        keep = (y == a) | (y == b)
-        fitted.append(linear_svm(x.where(keep), np.where(y[keep] == a, 1.0, -1.0), scale))
+    jobs = [(members[f], [c for c in langs if c not in members[f]]) for f in families] + [([a], [b]) for a, b in pairs]
+    fitted = [(np.zeros(DIMS), 1.0)] if len(langs) == 1 else svms(docs.sparkSession, x, scale, jobs, y.astype(str))
+    if len(families) == 1:
+        fitted[0] = (np.zeros(DIMS), 1.0)
     return LanguageModel(families, members, pairs, np.stack([w for w, _ in fitted]).astype(np.float32), np.array([b for _, b in fitted]), usual)
 
 
@@ -259,5 +276,5 @@ def identify(docs: DataFrame, held_out: Column | None = None, per_language: int
             got = pa.Table.from_batches(list(predict([t.append_column("doc_id", pa.nulls(len(t), pa.int64()))])), pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("typical", pa.float64())]))
             yield from pa.table({"row": t["row"], **{n: got[n] for n in new}}).to_batches()
 
-    row = packed.schema["row"].dataType.simpleString()
-    return packed.mapInArrow(beside, f"row {row}, held_out boolean, lang_pred string, score double, typical double").select("row.*", *new)
+    kinds = StructType([StructField("row", packed.schema["row"].dataType)]).add("held_out", "boolean").add("lang_pred", "string").add("score", "double").add("typical", "double")
+    return packed.mapInArrow(beside, kinds).select("row.*", *new)

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from .spread import binaries, by_bucket, group_of, pack, sizes, small_batches, unpack
 from .words import Words, mix, rolling, slices, window_starts, words
@@ -170,12 +171,13 @@ def duplicated_words(docs: DataFrame, window: int = 13, columns: list[str] | Non
     hits = probes.groupBy("bucket").applyInArrow(meet, ANSWER)
     wide = grouped.groupBy("g").cogroup(hits.groupBy("g")).applyInArrow(candidates, SENT)
     covered = wide.groupBy("bucket").applyInArrow(least, ANSWER)
-    more = f", text string, row {texts.schema['row'].dataType.simpleString()}" if columns else ""
 
     def beside(out: pa.Table, table: pa.Table) -> pa.Table:
         return out.append_column("text", table["text"]).append_column("row", table["row"]) if columns else out
 
-    schema = "doc_id long, n_words long, spans array<struct<first:long,end:long>>, n_removed long, kept_text string, kept_sha256 string" + more
+    schema = StructType.fromDDL("doc_id long, n_words long, spans array<struct<first:long,end:long>>, n_removed long, kept_text string, kept_sha256 string")
+    if columns:
+        schema.add("text", "string").add(StructField("row", texts.schema["row"].dataType))
     known = grouped.groupBy("g").cogroup(covered.groupBy("g")).applyInArrow(remove, schema)
 
     def unchanged(batches):

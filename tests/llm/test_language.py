@@ -70,3 +70,12 @@ def test_repeated_rows_are_fitted_once(spark):
     many = [(7, "the and of " * 9, "en")] * 5000 + [(i, "der und die " * 9, "de") for i in range(50)]
     model = fit(spark.createDataFrame(many, "doc_id long, text string, lang string"), F.lit(True), per_language=10)
     assert model is not None and sorted(x for m in model.members.values() for x in m) == ["de", "en"]
+
+
+def test_every_language_is_learned(spark):
+    """Seventy languages, each of its own words."""
+    word = lambda k: "".join(chr(97 + (k * m + m) % 26) for m in (3, 5, 7, 11))
+    names = [f"l{k:02d}" for k in range(66)] + ["de", "en", "fr", "es"]
+    rows = [(k * 100 + j, f"{word(k)}{k} {word(k + 100)} " * (3 + j), n) for k, n in enumerate(names) for j in range(9)]
+    got = identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(False))
+    assert {(r.doc_id, r.lang_pred) for r in got.collect()} == {(d, n) for d, _, n in rows}

@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.llm.test_jaccard import brute as groups
 from tests.llm.test_substrings import brute as removed
@@ -61,3 +63,16 @@ def test_near_duplicates_keep_whole_rows(spark):
     got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "")
     want = [*rows[:5], (3, "x y", "a", "z", 9), rows[8]]
     assert key(tuple(r) for r in got.collect()) == key(want)
+
+
+def test_further_columns_pass(spark, sf):
+    """Names that stages use themselves, a column that can't be null, and a map."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    names = ["score", "held_out", "lang_pred", "typical", "_rid", "rid", "row", "doc", "n_words", "kept_text", "spans", "h", "size"]
+    seen = docs.select("*", *[F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")).alias(n) for n in names], F.lit(5).alias("five"), F.create_map(F.lit("k"), F.col("doc_id")).alias("map"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, seen, sf)
+        assert out.columns == seen.columns
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n} {r.doc_id}" for r in rows for n in names) and all(r.five == 5 and r.map == {"k": r.doc_id} for r in rows)
+    assert corpus_pipeline.packing(spark, seen, sf).count() > 0
