@@ -16,32 +16,39 @@ from placewright.operators.durable import shared_folder
 UNUSUAL = -8.0
 
 
+def whole(docs: DataFrame) -> DataFrame:
+    """The columns that stages read, beside the whole row as one struct, so that columns of any names and types pass untouched."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), F.struct("*").alias("doc"))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter go, and so do those whose trigrams are far from usual in the language found, as in letter junk or a language not learned."""
-    good = identify(docs, columns=True).where(F.col("lang_pred").isNotNull() & (F.col("lang_pred") != "und") & (F.col("typical") >= UNUSUAL))
-    return good.select(*docs.columns)
+    good = identify(whole(docs), columns=True).where(F.col("lang_pred").isNotNull() & (F.col("lang_pred") != "und") & (F.col("typical") >= UNUSUAL))
+    return good.select("doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by sets of five-word shingles with a similarity of 0.8 or more, the smallest doc_id stays.
 
     Documents without words stay, and so do rows without a doc_id, which are never compared. Rows that repeat both doc_id and text are one
-    document; rows of a doc_id with different texts are compared like any others. What stays is always a whole row.
+    document; rows of a doc_id with different texts are compared like any others. What stays is always a whole row, the first by its other columns as JSON.
     """
-    rid = F.xxhash64("doc_id", "text")
-    rows = docs.where("doc_id is not null").withColumn("_rid", rid)
-    found = jaccard_components(rows.select(F.col("_rid").alias("doc_id"), "text"), k=5, num=80, den=100).select(F.col("doc_id").alias("_rid"), "component_id")
-    least = found.distinct().join(rows.select("_rid", "doc_id").distinct(), "_rid").groupBy("component_id").agg(F.min(F.struct("doc_id", "_rid")).alias("least"))
-    kept = rows.join(least.select("least._rid"), "_rid", "left_semi").groupBy("_rid").agg(F.min(F.struct(*docs.columns)).alias("row"))
-    return kept.select("row.*").unionByName(docs.where("doc_id is null"))
+    rows = whole(docs).where("doc_id is not null").withColumn("rid", F.xxhash64("doc_id", "text"))
+    found = jaccard_components(rows.select(F.col("rid").alias("doc_id"), "text"), k=5, num=80, den=100).select(F.col("doc_id").alias("rid"), "component_id")
+    least = found.distinct().join(rows.select("rid", "doc_id").distinct(), "rid").groupBy("component_id").agg(F.min(F.struct("doc_id", "rid")).alias("least"))
+    others = [F.col("doc").getField(c).alias(c) for c in docs.columns if c not in ("doc_id", "text")]
+    order = F.to_json(F.struct(*others)) if others else F.lit("")
+    kept = rows.join(least.select("least.rid"), "rid", "left_semi").groupBy("rid").agg(F.min_by("doc", order).alias("doc"))
+    return kept.select("doc.*").unionByName(docs.where("doc_id is null"))
 
 
 def substring_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of 13-word windows that an earlier document holds go; a document left without words goes with them, a changed one gets its kept text."""
-    out = duplicated_words(docs.withColumn("text", F.coalesce("text", F.lit(""))), window=13, columns=[c for c in docs.columns if c not in ("doc_id", "text", "n_chars")])
-    left = out.where("n_words > n_removed")
+    given = whole(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "doc")
+    left = duplicated_words(given, window=13, columns=["doc"]).where("n_words > n_removed")
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    return left.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    new = {"text": text, "n_chars": F.length(text).cast("long")}
+    return left.select(*(new[c].alias(c) if c in new else F.col("doc").getField(c).alias(c) for c in docs.columns))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
