@@ -14,8 +14,8 @@ from __future__ import annotations
 import bisect
 import hashlib
 import itertools
-import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +37,8 @@ DISCLOSED = 0.9
 
 #: Bits of the filter through which a document's words pass before they are counted; its 4 MB are all that is broadcast, whatever the corpus.
 FILTER_BITS = 25
+#: Counts that a task holds before it hands them on.
+HELD = 200_000
 
 #: The patterns of the kinds, written so that no start within a run that failed is tried again.
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -88,7 +90,7 @@ def shape(term: str) -> str:
 
 
 def surroundings(text: str, found: list[tuple[str, int, int, str]], window: int) -> tuple[list[dict], list[dict]]:
-    """What the text shows of its entities: (e, t, ctx, first) for e alone, each term near it and its shape; and (t, a, b) of these terms wherever they stand."""
+    """What the text shows of its entities: (e, t, ctx, first) for e alone, each term near it and its shape, and each term near any (e is empty); and (t, a, b) of these terms wherever they stand."""
     taken = sorted((a, b) for _, a, b, _ in found)
     reach = list(itertools.accumulate((b for _, b in taken), max))  # the furthest end of those that begin so far
     own = []
@@ -117,6 +119,8 @@ def surroundings(text: str, found: list[tuple[str, int, int, str]], window: int)
             near.add(t)
             show(e, t, ctx)
             show(e, shape(t), ctx)
+    for t in near:
+        show("", t, 0)
     return shown, [{"t": t, "a": a, "b": b} for a, b, t in own if t in near]
 
 
@@ -177,14 +181,22 @@ def filter_of(terms: DataFrame) -> np.ndarray:
 def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(t, n): documents that hold each of the terms, and each shape of words, over the whole corpus.
 
-    A slice of texts is counted in its task; words that the filter surely excludes stay there, and what else is no term goes in the join.
+    Each task counts what it reads; words that the filter surely excludes stay there, and what else is no term goes in the join.
     """
     mask = docs.sparkSession.sparkContext.broadcast(filter_of(terms))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = mask.value
+        bits, counts = mask.value, Counter()
+
+        def told() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["t", "n"])
+            counts.clear()
+            return out
+
         for batch in batches:
             for t in slices(batch):
+                if len(counts) > HELD:
+                    yield told()
                 w = words(t["text"], ALNUM, lower=True)
                 if not len(w.starts):
                     continue
@@ -192,8 +204,8 @@ def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
                 digits = np.add.reduceat((w.buf >= 48) & (w.buf <= 57), w.starts, dtype=np.int64)
                 letters = np.add.reduceat((w.buf >= 97) & (w.buf <= 122), w.starts, dtype=np.int64)
                 kind = np.where(digits == size, 0, np.where(letters == size, 1, 2))
-                told = np.unique((size * 3 + kind) * len(w.offsets) + doc) // len(w.offsets)
-                shapes, n_shapes = np.unique(told, return_counts=True)
+                seen = np.unique((size * 3 + kind) * len(w.offsets) + doc) // len(w.offsets)
+                shapes, n_shapes = np.unique(seen, return_counts=True)
                 at = w.hashes >> np.uint64(64 - FILTER_BITS)
                 some = np.flatnonzero((bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1))
                 order = some[np.lexsort((doc[some], w.hashes[some]))]
@@ -202,7 +214,9 @@ def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
                 _, first, n = np.unique(w.hashes[order], return_index=True, return_counts=True)
                 names = [w.buf[w.starts[i] : w.ends[i]].tobytes().decode() for i in order[first].tolist()]
                 names += [f"~{'#ax'[s % 3]}{s // 3}" for s in shapes.tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(np.r_[n, n_shapes], pa.int64())], ["t", "n"])
+                for name, more in zip(names, np.r_[n, n_shapes].tolist(), strict=True):
+                    counts[name] += more
+        yield told()
 
     small_batches(docs.sparkSession)
     return docs.select("text").mapInArrow(run, "t string, n long").groupBy("t").agg(F.sum("n").alias("n"))
@@ -212,19 +226,23 @@ def rules_of(notes: DataFrame, docs: DataFrame, support: int, disclosed: float)
     """(e, t, general): each term that discloses an entity, and whether its shape is general enough to stand for it."""
     shown = notes.where("shown is not null").select(F.explode("shown").alias("s")).select("s.*")
     pairs = durable(shown.groupBy("e", "t").agg(F.sum(F.col("first").cast("long")).alias("n_et"), F.countDistinct("ctx").alias("ways")))
-    known = pairs.where((F.col("ways") >= support) & (F.col("t") != "") & ~F.col("t").startswith("~")).select("e", "t")
-    counts = document_counts(docs, known.select("t").distinct())
     total = notes.count()
     held = pairs.where("t = ''").select("e", F.col("n_et").alias("n_e"))
-    told = pairs.where("t <> ''").join(held, "e").join(counts, "t")
-    share = F.log2(F.lit(float(total)) * F.col("n_et") / (F.col("n_e") * F.col("n")))
     own = F.log2(F.lit(float(total)) / F.col("n_e"))
-    high = told.where(share >= F.lit(disclosed) * own).select("e", "t")
-    found = known.join(high.where(~F.col("t").startswith("~")), ["e", "t"])
+    share = F.log2(F.lit(float(total)) * F.col("n_et") / (F.col("n_e") * F.col("n")))
+    reached = share >= F.lit(disclosed) * own
+    told = pairs.where("t <> '' and e <> ''").join(held, "e")
+    # A term that stands near too many entities can't disclose one, however rare it is elsewhere: it needn't be counted.
+    near = pairs.where("e = ''").select("t", F.col("n_et").alias("n"))
+    known = durable(told.where((F.col("ways") >= support) & ~F.col("t").startswith("~")).join(near, "t").where(reached).select("e", "t", "n_et", "n_e"))
+    counts = durable(document_counts(docs, known.select("t").distinct()))
+    high = told.where(F.col("t").startswith("~")).join(counts, "t").where(reached).select("e", "t")
+    found = known.join(counts, "t").where(reached).select("e", "t")
     form = F.concat(F.lit("~"), F.when(F.col("t").rlike(r"\A[0-9]+\z"), "#").when(F.col("t").rlike(r"\A[a-z]+\z"), "a").otherwise("x"), F.octet_length("t").cast("string"))
-    telling = high.where(F.col("t").startswith("~")).select("e", F.col("t").alias("form"), F.lit(False).alias("general"))
+    telling = high.select("e", F.col("t").alias("form"), F.lit(False).alias("general"))
     out = durable(found.withColumn("form", form).join(telling, ["e", "form"], "left").select("e", "t", F.coalesce("general", F.lit(True)).alias("general")))
-    remove(pairs)
+    for t in (pairs, known, counts):
+        remove(t)
     return out
 
 
@@ -272,8 +290,3 @@ def cleaned(text: Column, base: Column, terms: Column) -> Column:
         return pd.Series([sanitised(*x) for x in zip(text, base, terms, strict=True)])
 
     return run(text, base, terms)
-
-
-def information(total: int, n_e: int, n_t: int, n_et: int) -> tuple[float, float]:
-    """Mutual information of an entity and a term, and the entity's own."""
-    return math.log2(total * n_et / (n_e * n_t)), math.log2(total / n_e)
