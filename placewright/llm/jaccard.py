@@ -8,9 +8,10 @@ their elements (all elements, where k is 0). Empty subsets sign only for a set t
 similar pair is lost.
 
 Equal sets are one class from the start. Classes that share enough signatures, directly or through others, form a cluster; its
-sets travel once to each of its chunk pairs, where all intersections are counted by a matrix product. Tasks return
-spanning links, never all pairs, so no link between different sets is lost. The work within a cluster grows with the
-square of its distinct sets: whether near-threshold copies are linked can't be told without comparing them.
+sets lie in parts, those of one large signature group together, and a set travels once to each pair of parts in which a
+signature has a partner for it. There all intersections are counted by a matrix product. Tasks return spanning links, never all pairs, so no
+link between different sets is lost. The work within a signature group larger than a part grows with the square of its
+distinct sets: whether near-threshold copies are linked can't be told without comparing them.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from .words import GOLD, M1, mix, shingle_sets, slices, words
 FLUSH = 500_000
 #: Bytes of an element's hash that are sent to compare two sets.
 WIDTH = 6
-#: Size of a cluster's chunk, about, each set counting its elements and SET more (so at most 2,000 sets); distinct elements in a matrix product.
+#: Size of a part of a large cluster, about, each set counting its elements and SET more (so at most 2,000 sets); distinct elements in a matrix product.
 CHUNK, SET, COLUMNS = 500_000, 250, 2048
 #: Members of a signature group whose pairs are counted.
 LIGHT = 32
@@ -236,24 +237,34 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     k_most = differ(2 * F.greatest("n_a", "n_b"))
     bound = F.floor((k_most + 2) / 2) + F.floor((k_most + 1) / 14) - F.floor(differ(F.col("n_a") + F.col("n_b")) / 2) - F.col("thin") - 1
     together = groups.where((F.col("m") > LIGHT) & (F.col("digest") != F.col("least"))).select(F.col("least").alias("a"), F.col("digest").alias("b"))
-    clusters = star_components(together.unionByName(sized.where(F.col("shared") >= bound).select("a", "b")).distinct())
-    # Chunks are of one range of sizes; only those of the same or neighbouring ranges can hold similar sets.
+    near = durable(sized.where(F.col("shared") >= bound).select("a", "b"))
+    clusters = star_components(together.unionByName(near).distinct())
+    # Only sets of the same or neighbouring ranges of sizes can be similar.
     wide = math.log(den / num) * 1.0001
     members = classes.join(clusters.withColumnRenamed("id", "digest"), "digest").withColumn("range", F.floor(F.log("n") / wide).cast("int"))
-    counts = members.groupBy("component", "range").agg(F.sum(F.col("n") + SET).alias("elements"))
-    whole = counts.groupBy("component").agg(F.sum("elements").alias("all"))
-    chunks = counts.select("component", "range", F.ceil(F.col("elements") / CHUNK).cast("int").alias("chunks"))
-    beside = lambda step, name: chunks.select("component", (F.col("range") - step).alias("range"), F.col("chunks").alias(name))
-    known = chunks.join(beside(1, "up"), ["component", "range"], "left").join(beside(-1, "down"), ["component", "range"], "left").join(whole, "component")
-    code = lambda step, part: (F.col("range") + step).cast("long") * (1 << 32) + part
-    part = F.pmod(F.xxhash64("digest", F.lit(3)), F.col("chunks"))
-    placed = durable(members.join(known, ["component", "range"]).withColumn("part", code(0, part)))
-    # Small clusters share tasks; a large one has a task for each pair of its chunks.
-    shared = max(n_buckets, (placed.agg(F.sum(F.col("n") + SET)).first()[0] or 0) // (2 * CHUNK))
+    load = F.sum(F.col("n") + SET)
+    members = durable(members.join(members.groupBy("component").agg(load.alias("all")), "component"))
+    # Small clusters share tasks. A large one is cut into parts of a range, the sets of one large signature group together where a part holds them.
+    shared = max(n_buckets, (members.agg(load).first()[0] or 0) // (2 * CHUNK))
     task = lambda x, y: F.struct(x.cast("long").alias("x"), y.cast("long").alias("y"), F.col("component").alias("c"))
-    parts = lambda step, n: F.transform(F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>")), lambda o: code(step, o))
-    pairs = F.transform(F.concat(parts(0, "chunks"), parts(1, "up"), parts(-1, "down")), lambda o: task(F.least("part", o), F.greatest("part", o)))
-    sent = placed.withColumn("tasks", F.when(F.col("all") > CHUNK, pairs).otherwise(F.array(task(F.pmod(F.xxhash64("component"), F.lit(shared)), F.lit(-1)))))
+    small = members.where(F.col("all") <= CHUNK).select("id", "digest", F.lit(0).cast("long").alias("part"), F.array(task(F.pmod(F.xxhash64("component"), F.lit(shared)), F.lit(-1))).alias("tasks"))
+    heavy = groups.where(F.col("m") > LIGHT)
+    leads = heavy.groupBy("digest").agg(F.max(F.struct("m", "gid", "least")).alias("lead")).select("digest", F.col("lead.least").alias("leader"))
+    pairs = near.groupBy(F.col("b").alias("digest")).agg(F.min("a").alias("partner"))
+    big = members.where(F.col("all") > CHUNK).join(leads, "digest", "left").join(pairs, "digest", "left").withColumn("leader", F.coalesce("leader", "partner", "digest")).drop("partner")
+    loads = big.groupBy("component", "range", "leader").agg(load.alias("load"))
+    room = loads.where(F.col("load") <= CHUNK / 4).groupBy("component", "range").agg(F.ceil(F.sum("load") * 2 / CHUNK).alias("room"))
+    own = F.when(F.col("load") > CHUNK / 4, F.xxhash64("component", "range", "leader", F.pmod(F.xxhash64("digest", F.lit(3)), F.ceil(F.col("load") / CHUNK))))
+    part = F.shiftrightunsigned(F.coalesce(own, F.xxhash64("component", "range", F.pmod(F.xxhash64("leader"), F.col("room")))), 1)
+    placed = durable(big.join(loads, ["component", "range", "leader"]).join(room, ["component", "range"], "left").select("id", "digest", "component", "range", part.alias("part")))
+    # A set goes only where a signature has a partner for it: to the parts of its large groups, and to those of the sets it is counted near to.
+    spot = lambda d, p: placed.select(F.col("digest").alias(d), F.col("part").alias(p), F.col("range").alias(f"{p}_range"))
+    met = heavy.select("gid", "digest").join(spot("digest", "p"), "digest")
+    beside = met.join(met.select("gid", F.col("p").alias("q"), F.col("p_range").alias("q_range")).distinct(), "gid").where(F.abs(F.col("p_range") - F.col("q_range")) <= 1).select("digest", "p", "q")
+    both = near.join(spot("a", "p"), "a").join(spot("b", "q"), "b")
+    asked = beside.unionByName(both.select(F.col("a").alias("digest"), "p", "q")).unionByName(both.select(F.col("b").alias("digest"), F.col("q").alias("p"), F.col("p").alias("q"))).distinct()
+    dealt = asked.join(placed.select("digest", "id", "component"), "digest").groupBy("id", "digest", F.col("p").alias("part")).agg(F.collect_list(task(F.least("p", "q"), F.greatest("p", "q"))).alias("tasks"))
+    sent = durable(small.unionByName(dealt.select(small.columns)))
     zipped = texts.mapInArrow(shrink, "doc_id long, size long, z binary")
     sets = zipped.join(sent.select(F.col("id").alias("doc_id"), F.col("digest").alias("wanted"), "part", "tasks").hint("merge"), "doc_id")  # the same plan at every size
     kinds = "doc_id long, digest long, wanted long, part long, tasks array<struct<x:long,y:long,c:long>>, elements binary"
