@@ -74,12 +74,11 @@ def valid_ids(v: Views) -> DataFrame:
 
 @query("SELECT place_id FROM p_pt WHERE lon > -20 AND lon < 30 AND lat > -10 AND lat < 40 AND lon + lat < 50")
 def in_polygon(v: Views) -> DataFrame:
-    corners = [(-20.03125, -10.03125), (30.03125, -10.03125), (30.03125, 19.96875), (9.96875, 40.03125), (-20.03125, 40.03125), (-20.03125, -10.03125)]
+    # Corners between the places' eighths of degrees, so that no place lies on a side.
+    corners = [(-19.96875, -9.96875), (29.96875, -9.96875), (29.96875, 19.96875), (9.96875, 39.96875), (-19.96875, 39.96875), (-19.96875, -9.96875)]
     ring = F.array(F.array(*(shapes.point(F.lit(x), F.lit(y)) for x, y in corners)))
-    box = F.col("lon").between(-21, 31) & F.col("lat").between(-11, 41)  # reaches the scan
-    exact = shapes.contains(ring, F.col("lon"), F.col("lat"))
-    edge = (F.col("lon") > -20) & (F.col("lon") < 30) & (F.col("lat") > -10) & (F.col("lat") < 40) & (F.col("lon") + F.col("lat") < 50)
-    return v.p_pt.where(box & filters.has_geometries(F.lit("Polygon"), F.array()) & exact & edge).select("place_id")
+    box = F.col("lon").between(-20, 30) & F.col("lat").between(-10, 40)  # reaches the scan
+    return v.p_pt.where(box & filters.has_geometries(F.lit("Polygon"), F.array()) & shapes.contains(ring, F.col("lon"), F.col("lat"))).select("place_id")
 
 
 @query("""
