@@ -248,8 +248,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     shared = max(n_buckets, (members.agg(load).first()[0] or 0) // (2 * CHUNK))
     task = lambda x, y: F.struct(x.cast("long").alias("x"), y.cast("long").alias("y"), F.col("component").alias("c"))
     small = members.where(F.col("all") <= CHUNK).select("id", "digest", F.lit(0).cast("long").alias("part"), F.array(task(F.pmod(F.xxhash64("component"), F.lit(shared)), F.lit(-1))).alias("tasks"))
-    heavy = groups.where(F.col("m") > LIGHT)
-    leads = heavy.groupBy("digest").agg(F.max(F.struct("m", "gid", "least")).alias("lead")).select("digest", F.col("lead.least").alias("leader"))
+    # Large groups with the same least set are taken as one: near copies share dozens of signatures, and few least sets.
+    heavy = groups.where(F.col("m") > LIGHT).groupBy("digest", F.col("least").alias("gid")).agg(F.max("m").alias("m"))
+    leads = heavy.groupBy("digest").agg(F.max(F.struct("m", "gid")).alias("lead")).select("digest", F.col("lead.gid").alias("leader"))
     pairs = near.groupBy(F.col("b").alias("digest")).agg(F.min("a").alias("partner"))
     big = members.where(F.col("all") > CHUNK).join(leads, "digest", "left").join(pairs, "digest", "left").withColumn("leader", F.coalesce("leader", "partner", "digest")).drop("partner")
     loads = big.groupBy("component", "range", "leader").agg(load.alias("load"))
