@@ -64,17 +64,18 @@ def composite(names: Column, spatial: Column, time: Column, kind: Column, linked
     return sum((F.coalesce(c, F.lit(0.0)) * WEIGHTS[n] for n, c in parts), F.lit(0.0)) + F.when(linked, WEIGHTS["link"]).otherwise(0.0)
 
 
-def pairs_within(points: DataFrame, km: float, distance) -> DataFrame:
-    """Pairs of points (place_id, lon, lat) within km: equi-joined on rows of latitude and, away from the poles, columns of longitude, then measured."""
+def pairs_within(points: DataFrame, km: float, distance, by: str | None = None) -> DataFrame:
+    """Pairs of points (place_id, lon, lat), of one value of `by` if it is given, within km: equi-joined on rows of latitude and, away from the poles, columns of longitude, then measured."""
     step = km / 111.0 * 1.01
     row = F.floor(F.col("lat") / step)
     spread = lambda r: F.least(F.lit(360.0), step / F.greatest(F.lit(1e-3), F.cos(F.radians(F.least(F.lit(89.9), (F.abs(r) + 2) * step)))))
     cols = lambda r: F.greatest(F.lit(1), F.floor(360 / spread(r)))
     col = lambda lon, r: F.pmod(F.floor((lon + 180) / 360 * cols(r)), cols(r))
     around = points.withColumn("r2", F.explode(F.array(row - 1, row, row + 1))).withColumn("c2", F.explode(F.array_distinct(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda i: F.pmod(col(F.col("lon"), F.col("r2")) + i, cols(F.col("r2")))))))
-    other = points.select(F.col("place_id").alias("other"), F.col("lon").alias("lon2"), F.col("lat").alias("lat2"), row.alias("r2"))
+    own = [by] if by else []
+    other = points.select(F.col("place_id").alias("other"), F.col("lon").alias("lon2"), F.col("lat").alias("lat2"), row.alias("r2"), *own)
     other = other.withColumn("c2", col(F.col("lon2"), F.col("r2")))
-    pairs = around.join(other, ["r2", "c2"]).where(F.col("place_id") < F.col("other"))
+    pairs = around.join(other, ["r2", "c2", *own]).where(F.col("place_id") < F.col("other"))
     return pairs.withColumn("km", distance(F.col("lon"), F.col("lat"), F.col("lon2"), F.col("lat2"))).where(F.col("km") <= km).select("place_id", "other", "km")
 
 

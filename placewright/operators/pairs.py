@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -168,20 +170,30 @@ def scored_pairs(pairs: DataFrame) -> DataFrame:
 def triplets(pairs: DataFrame, names: DataFrame, hard: bool, seed: int = 1) -> DataFrame:
     """(anchor, positive, negative): another name of the same script, if `hard` with the same first two letters, that shares no place with the anchor, chosen by hash; without one, any by hash.
 
-    Each anchor meets the names of one bucket of its script, and of its prefix, so no two large sets are crossed.
+    Each anchor meets the next names of its bucket, of its script and its prefix, so no two large sets are crossed. Only an anchor that shares a
+    place with every name of its script is without one, and left out.
     """
     anchors = pairs.select(F.col("toponym_id_a").alias("anchor"), F.col("toponym_id_b").alias("positive")).distinct()
-    own = names.groupBy("toponym_id").agg(F.min("name").alias("name"), F.min("script").alias("script"), F.collect_set("place_id").alias("places"))
-    bucket = F.when(F.lit(hard), F.lower(F.left("name", F.lit(2)))).otherwise(F.lit("*"))
-    size = own.groupBy("script", bucket.alias("prefix")).agg(F.count("*").alias("n"))
-    keyed = own.withColumn("prefix", bucket).join(size, ["script", "prefix"])
-    ranked = keyed.withColumn("at", F.row_number().over(W.partitionBy("script", "prefix").orderBy(F.xxhash64("toponym_id", F.lit(seed)), "toponym_id")) - 1)
-    base = anchors.join(ranked.select(F.col("toponym_id").alias("anchor"), "script", "prefix", "n", F.col("places").alias("mine"), F.col("at").alias("here")), "anchor")
-    # The next names after the anchor, in the order of hashes, are as good as random ones; eight are looked at.
-    tries = base.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(8)))).withColumn("at", (F.col("here") + F.col("step")) % F.col("n"))
-    met = tries.join(ranked.select("script", "prefix", "at", F.col("toponym_id").alias("negative"), "places"), ["script", "prefix", "at"])
-    fine = met.where((F.col("negative") != F.col("anchor")) & (F.col("negative") != F.col("positive")) & ~F.arrays_overlap("mine", "places"))
-    return fine.groupBy("anchor", "positive").agg(F.min_by("negative", "step").alias("negative"))
+    own = durable(names.groupBy("toponym_id").agg(F.min("name").alias("name"), F.min("script").alias("script"), F.collect_set("place_id").alias("places")))
+    arms = ([F.lower(F.left("name", F.lit(2)))] if hard else []) + [F.lit("*")]
+    out, left = [], durable(anchors)
+    for bucket in arms:
+        size = own.groupBy("script", bucket.alias("prefix")).agg(F.count("*").alias("n"))
+        keyed = own.withColumn("prefix", bucket).join(size, ["script", "prefix"])
+        ranked = durable(keyed.withColumn("at", F.row_number().over(W.partitionBy("script", "prefix").orderBy(F.xxhash64("toponym_id", F.lit(seed)), "toponym_id")) - 1))
+        # The next names after the anchor, in the order of hashes, are as good as random ones. Eight are looked at, then for anchors without one twice as many, and so on.
+        first, width = 1, 8
+        while not left.isEmpty():
+            base = left.join(ranked.select(F.col("toponym_id").alias("anchor"), "script", "prefix", "n", F.col("places").alias("mine"), F.col("at").alias("here")), "anchor").where(F.col("n") > first)
+            tries = base.withColumn("step", F.explode(F.sequence(F.lit(first), F.least(F.lit(first + width - 1), F.col("n") - 1)))).withColumn("at", (F.col("here") + F.col("step")) % F.col("n"))
+            met = tries.join(ranked.select("script", "prefix", "at", F.col("toponym_id").alias("negative"), "places"), ["script", "prefix", "at"])
+            fine = met.where((F.col("negative") != F.col("positive")) & ~F.arrays_overlap("mine", "places"))
+            out.append(durable(fine.groupBy("anchor", "positive").agg(F.min_by("negative", "step").alias("negative"))))
+            more = base.where(F.col("n") > first + width).select("anchor", "positive")
+            left, first, width = durable(left.join(out[-1], ["anchor", "positive"], "left_anti")), first + width, width * 2
+            if left.join(more, ["anchor", "positive"], "left_semi").isEmpty():
+                break
+    return reduce(DataFrame.unionByName, out) if out else anchors.withColumn("negative", F.lit(None).cast("string")).where("false")
 
 
 def hard_negatives(near: DataFrame, names: DataFrame, seed: int = 1) -> DataFrame:

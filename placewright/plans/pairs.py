@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import documents, filters, graph, pairs
+from ..operators import density, documents, filters, graph, pairs
 from .queries import query
 from .views import Views
 
@@ -182,3 +182,38 @@ def record_scores(v: Views) -> DataFrame:
     after = names.select((F.col("item_id") - 1).alias("item_id"), F.col("item_id").alias("b"), F.col("names").alias("others"))
     same = lambda x, y: F.when((x == "") | (y == ""), 0.0).when(x == y, 1.0).otherwise(0.0)
     return names.join(after, "item_id").select(F.col("item_id").alias("a"), "b", graph.record_score(F.col("names"), F.col("others"), same).alias("score"))
+
+
+# Density
+
+_KM = "2 * 6371 * atan2(sqrt(h), sqrt(1 - h))"
+
+
+@query(f"""
+WITH RECURSIVE spot AS (SELECT ccode, lon, lat, count(*) AS weight, min(place_id) AS id FROM p_pt WHERE ccode IS NOT NULL GROUP BY ALL),
+gap AS (SELECT a.ccode, a.id AS a, b.id AS b, a.weight AS wa, b.weight AS wb, pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2) AS h
+  FROM spot a JOIN spot b ON a.ccode = b.ccode AND a.id <> b.id AND abs(a.lat - b.lat) < 12),
+near AS MATERIALIZED (SELECT ccode, a, b, wb, {_KM} AS km FROM gap WHERE {_KM} <= 1200),
+core AS (SELECT s.ccode, s.id FROM spot s LEFT JOIN near n ON n.ccode = s.ccode AND n.a = s.id GROUP BY s.ccode, s.id, s.weight HAVING s.weight + coalesce(sum(n.wb), 0) >= 4),
+links AS MATERIALIZED (SELECT n.ccode, n.a, n.b, n.km FROM near n SEMI JOIN core c ON c.ccode = n.ccode AND c.id = n.b),
+reach(ccode, id, cluster) USING KEY (ccode, id) AS (
+  SELECT ccode, id, id FROM core
+  UNION
+  SELECT l.ccode, l.a, min(r.cluster) FROM reach r JOIN links l ON l.ccode = r.ccode AND l.b = r.id JOIN recurring.reach own ON own.ccode = l.ccode AND own.id = l.a WHERE r.cluster < own.cluster GROUP BY l.ccode, l.a),
+border AS (SELECT l.ccode, l.a AS id, arg_min(l.b, (l.km, l.b)) AS b FROM links l ANTI JOIN core c ON c.ccode = l.ccode AND c.id = l.a GROUP BY l.ccode, l.a),
+own AS (SELECT ccode, id, cluster FROM reach UNION ALL SELECT b.ccode, b.id, r.cluster FROM border b JOIN reach r ON r.ccode = b.ccode AND r.id = b.b)
+SELECT p.place_id, o.cluster FROM p_pt p JOIN spot s ON s.ccode = p.ccode AND s.lon = p.lon AND s.lat = p.lat LEFT JOIN own o ON o.ccode = s.ccode AND o.id = s.id""")
+def dense_places(v: Views) -> DataFrame:
+    return density.dense(v.p_pt.where("ccode is not null").select(F.col("ccode").alias("grp"), "place_id", "lon", "lat"), 1200.0, 4).select("place_id", "cluster")
+
+
+@query()
+def density_clusters(v: Views) -> DataFrame:
+    scored = v.e_edges.where("relation_type <> 'distinct'").select("place_a", "place_b", F.when(F.col("relation_type") == "sameAs", 0.9).otherwise(0.3).alias("score"))
+    return density.coherent_clusters(scored, v.p_pt.select("place_id", "lon", "lat"))
+
+
+@query()
+def density_spellings(v: Views) -> DataFrame:
+    """Vectors of one label as the names of one place."""
+    return density.spellings(v.embeddings.select(F.concat(F.lit("p"), F.col("label").cast("string"), F.lit("-"), (F.col("vec_id") % 20).cast("string")).alias("place_id"), F.concat(F.lit("t"), F.col("vec_id").cast("string")).alias("toponym_id"), F.col("embedding").cast("array<double>").alias("vector")))
