@@ -228,8 +228,12 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 
     # Similar sets share the signatures of all first-level partitions with at most one difference. Pairs within small groups are counted
     # against that bound; members of a large group go together uncounted.
-    light = groups.where(F.col("m") <= LIGHT)
-    twice = light.select("gid", F.col("digest").alias("a"), "thin").join(light.select("gid", F.col("digest").alias("b"), F.col("thin").alias("other")), "gid").where("a < b")
+    # Large groups with the same least set are taken as one: near copies share dozens of signatures, and few least sets. A set's leader is the least of
+    # its largest group; sets with one leader are together anyway and aren't counted.
+    heavy = groups.where(F.col("m") > LIGHT).groupBy("digest", F.col("least").alias("gid")).agg(F.max("m").alias("m"))
+    leads = durable(heavy.groupBy("digest").agg(F.max(F.struct("m", "gid")).alias("lead")).select("digest", F.col("lead.gid").alias("leader")))
+    light = groups.where(F.col("m") <= LIGHT).join(leads, "digest", "left")
+    twice = light.select("gid", F.col("digest").alias("a"), "thin", "leader").join(light.select("gid", F.col("digest").alias("b"), F.col("thin").alias("other"), F.col("leader").alias("led")), "gid").where("a < b and not coalesce(leader = led, false)")
     counted = twice.groupBy("a", "b").agg(F.count("*").alias("shared"), F.max(F.greatest("thin", "other")).alias("thin"))
     size = lambda c: classes.select(F.col("digest").alias(c), F.col("n").alias(f"n_{c}"))
     sized = counted.join(size("a"), "a").join(size("b"), "b").where(F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
@@ -248,9 +252,6 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     shared = max(n_buckets, (members.agg(load).first()[0] or 0) // (2 * CHUNK))
     task = lambda x, y: F.struct(x.cast("long").alias("x"), y.cast("long").alias("y"), F.col("component").alias("c"))
     small = members.where(F.col("all") <= CHUNK).select("id", "digest", F.lit(0).cast("long").alias("part"), F.array(task(F.pmod(F.xxhash64("component"), F.lit(shared)), F.lit(-1))).alias("tasks"))
-    # Large groups with the same least set are taken as one: near copies share dozens of signatures, and few least sets.
-    heavy = groups.where(F.col("m") > LIGHT).groupBy("digest", F.col("least").alias("gid")).agg(F.max("m").alias("m"))
-    leads = heavy.groupBy("digest").agg(F.max(F.struct("m", "gid")).alias("lead")).select("digest", F.col("lead.gid").alias("leader"))
     pairs = near.groupBy(F.col("b").alias("digest")).agg(F.min("a").alias("partner"))
     big = members.where(F.col("all") > CHUNK).join(leads, "digest", "left").join(pairs, "digest", "left").withColumn("leader", F.coalesce("leader", "partner", "digest")).drop("partner")
     loads = big.groupBy("component", "range", "leader").agg(load.alias("load"))
