@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import heapq
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -153,6 +157,84 @@ def simplify(line: Column, tolerance: float) -> Column:
     return F.when(F.size(line) <= 2, line).otherwise(F.concat(kept, F.slice(line, -1, 1)))
 
 
+def _distances(px: np.ndarray, py: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of points, how far inside the sides (a to b) they lie; negative outside."""
+    d = b - a
+    length = np.maximum((d * d).sum(1), 1e-300)
+    gx, gy = px[:, None] - a[:, 0], py[:, None] - a[:, 1]
+    t = np.clip((gx * d[:, 0] + gy * d[:, 1]) / length, 0, 1)
+    far = np.sqrt(((gx - t * d[:, 0]) ** 2 + (gy - t * d[:, 1]) ** 2).min(1))
+    up = (a[:, 1] > py[:, None]) != (b[:, 1] > py[:, None])
+    at = a[:, 0] + d[:, 0] * gy / np.where(d[:, 1] == 0, 1, d[:, 1])
+    return np.where((up & (px[:, None] < at)).sum(1) % 2 == 1, far, -far)
+
+
+def deepest(rings: list[np.ndarray], tolerance: float) -> tuple[float, float, float]:
+    """(x, y, distance) of the point of a shape that is farthest from its sides, within the tolerance: the square that may hold the best is cut in four, until none can hold a better one."""
+    a, b = np.concatenate([r[:-1] for r in rings]), np.concatenate([r[1:] for r in rings])
+    (w, s), (e, n) = a.min(0), a.max(0)
+    h = max(min(e - w, n - s), 1e-9) / 2
+    xs, ys = (g.ravel() for g in np.meshgrid(np.arange(w + h, e + h, 2 * h), np.arange(s + h, n + h, 2 * h)))
+    middle = np.array([(w + e) / 2]), np.array([(s + n) / 2])
+    best = (float(_distances(*middle, a, b)[0]), float(middle[0][0]), float(middle[1][0]))
+    heap: list[tuple[float, float, float, float]] = []
+
+    def add(xs: np.ndarray, ys: np.ndarray, h: float) -> None:
+        nonlocal best
+        for x, y, d in zip(xs.tolist(), ys.tolist(), _distances(xs, ys, a, b).tolist(), strict=True):
+            best = max(best, (d, x, y))
+            if d + h * 2**0.5 > best[0] + tolerance:
+                heapq.heappush(heap, (-(d + h * 2**0.5), x, y, h))
+
+    add(xs, ys, h)
+    while heap and -heap[0][0] > best[0] + tolerance:
+        _, x, y, h = heapq.heappop(heap)
+        add(x + np.array([-h, h, -h, h]) / 2, y + np.array([-h, -h, h, h]) / 2, h / 2)
+    return best[1], best[2], best[0]
+
+
+def anchor(rings: Column, tolerance: float = 0.01) -> Column:
+    """(x, y, distance): where a label has most room in a shape, to the tolerance in degrees. Null without rings. A shape's sides are held at once."""
+
+    @F.pandas_udf("x double, y double, distance double")
+    def run(shapes: pd.Series) -> pd.DataFrame:
+        out = [(None, None, None) if r is None or not len(r) else deepest([np.array([(p["x"], p["y"]) for p in g]) for g in r], tolerance) for r in shapes]
+        return pd.DataFrame(out, columns=["x", "y", "distance"], dtype=float)
+
+    return run(rings)
+
+
+def peucker(line: Column, tolerance: float) -> Column:
+    """Points of a line without those that lie within the tolerance of what is left, by cutting at the farthest point of each stretch; both ends stay. Closed lines keep their end and what is farthest from it."""
+
+    @F.pandas_udf("array<struct<x:double,y:double>>")
+    def run(lines: pd.Series) -> pd.Series:
+        out = []
+        for line in lines:
+            if line is None or len(line) < 3:
+                out.append(line)
+                continue
+            p = np.array([(q["x"], q["y"]) for q in line])
+            keep, stack = np.zeros(len(p), bool), [(0, len(p) - 1)]
+            keep[[0, -1]] = True
+            while stack:
+                i, j = stack.pop()
+                if j - i < 2:
+                    continue
+                d = p[j] - p[i]
+                g = p[i + 1 : j] - p[i]
+                t = np.clip(g @ d / max(d @ d, 1e-300), 0, 1)
+                off = np.sqrt(((g - t[:, None] * d) ** 2).sum(1))
+                k = int(off.argmax())
+                if off[k] > tolerance:
+                    keep[i + 1 + k] = True
+                    stack += [(i, i + 1 + k), (i + 1 + k, j)]
+            out.append([{"x": x, "y": y} for x, y in p[keep].tolist()])
+        return pd.Series(out)
+
+    return run(line)
+
+
 def hull(points: Column) -> Column:
     """The convex hull of points as a closed ring, counter-clockwise from the lowest of the leftmost."""
     ordered = F.array_sort(F.array_distinct(points))
