@@ -2,31 +2,58 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .shapes import once
 
 #: Words that stay small in a title.
-SMALL = ["and", "by", "cum", "de", "en", "in", "juxta", "la", "le", "next", "of", "on", "super", "the", "under", "upon", "with"]
-#: Abbreviations on maps without dots and spaces, and what they mark.
+SMALL = ["le", "la", "de", "upon", "on", "under", "in", "the", "and", "of", "cum", "next", "by", "with", "juxta"]
+#: Whole labels on maps, and what they mark.
 MARKS = {
-    "FP": "footpath", "FB": "footbridge", "BM": "benchmark", "SP": "signpost", "GP": "guidepost", "BS": "boundary_stone", "MS": "milestone", "MP": "milepost", "BP": "boundary_post",
-    "LB": "letter_box", "PO": "post_office", "PH": "public_house", "SB": "signal_box", "W": "well", "P": "pump", "CH": "church", "CHAP": "chapel", "SCH": "school", "SMY": "smithy",
+    "F.P.": "footpath", "F.B.": "footbridge", "F.Br.": "footbridge", "P.H.": "public-house", "B.H.": "beer-house", "Inn": "inn", "Hotel": "hotel", "Ch.": "church", "Chy.": "chimney", "Chap.": "chapel",
+    "Cathl.": "cathedral", "Sch.": "school", "Schl.": "school", "P.O.": "post-office", "Sta.": "railway-station", "S.B.": "signal-box", "S.P.": "signal-post", "S.P": "signal-post", "B.M.": "bench-mark",
+    "B.S.": "boundary-stone", "B.R.": "bridle-road", "M.S.": "milestone", "M.S": "milestone", "M.P.": "mile-post", "M.P": "mile-post", "L.B.": "letter-box", "P.B.": "pillar-box", "G.P.": "guide-post",
+    "L.P.": "lamp-post", "T.C.B.": "telephone-call-box", "W.": "well", "W": "well", "Wl.": "well", "P.": "pump", "P": "pump", "Spr.": "spring", "S.": "spring", "Sr.": "spring", "Fn.": "fountain",
+    "Cist.": "cistern", "L.K.": "limekiln", "Sl.": "sluice", "Fm.": "farm", "Ho.": "house", "Cott.": "cottage", "Bldgs.": "buildings", "Sml.": "mill", "Mill": "mill", "S.H.": "summer-house",
+    "G.Yd.": "graveyard", "Cem.": "cemetery", "B.G.": "burial-ground", "Quy.": "quarry", "Qy.": "quarry", "Br.": "bridge", "Bri.": "bridge", "Sta": "railway-station", "Wks.": "works", "Gas Wks.": "gasworks",
+    "Sdg.": "railway-siding", "Junc.": "railway-junction", "Ford": "ford", "Weir": "weir", "Boro. By.": "borough-boundary", "Co. By.": "county-boundary", "Par. By.": "parish-boundary", "Bdy.": "boundary",
+    "Bdy": "boundary", "Smy.": "smithy", "Rec.": "rectory", "Vic.": "vicarage", "V.": "vicarage", "F.Sta.": "fire-station",
 }
 #: Words of map labels and what they mark.
 KEYWORDS = {
+    "Well": "well", "Spring": "spring", "Springs": "spring", "Quarry": "quarry", "Quarries": "quarry", "Ford": "ford", "Weir": "weir", "Smithy": "smithy", "Mill": "mill", "Windmill": "windmill",
+    "Watermill": "watermill", "Wood": "wood", "Plantation": "plantation", "Copse": "wood", "Common": "common-land", "Moor": "moor", "Fell": "hill", "Hill": "hill", "Down": "hill", "Downs": "hill",
+    "Point": "headland", "Head": "headland", "Bay": "bay", "Cove": "bay", "River": "river", "Brook": "stream", "Burn": "stream", "Beck": "stream", "Stream": "stream", "Lough": "lake", "Loch": "lake",
+    "Lake": "lake", "Pond": "pond", "Reservoir": "reservoir", "Colliery": "colliery", "Works": "works", "Quarry (Old)": "quarry", "Cottage": "cottage", "Cottages": "cottage", "Bridge": "bridge",
+    "Wharf": "wharf", "Pier": "pier", "Chapel": "chapel", "Church": "church", "School": "school", "Cemetery": "cemetery", "Castle": "castle", "Tumulus": "tumulus", "Tumuli": "tumulus", "Camp": "hillfort",
+    "Fort": "fort", "Cairn": "cairn", "Cross": "cross", "Farm": "farm", "Hall": "hall", "House": "house", "Lodge": "lodge", "Cottage (The)": "cottage", "Stone": "standing-stone", "Stones": "standing-stone",
+    "Rectory": "rectory", "Vicarage": "vicarage", "Manse": "manse", "Waterfall": "waterfall", "Cascade": "waterfall", "Mound": "mound", "Mounds": "mound", "Cromlech": "chambered-tomb",
+    "Cist": "chambered-tomb", "Mine": "mine", "Shaft": "mine-shaft", "Beacon": "beacon", "Ffynnon": "spring", "Pistyll": "waterfall", "Rhaeadr": "waterfall", "Rhaiadr": "waterfall", "Sgwd": "waterfall",
+    "Scwd": "waterfall", "Carnedd": "cairn", "Tomen": "mound",
+}
+#: How a label says that it can't be read.
+ILLEGIBLE = ["XXXX", "XXX", "XX", "????", "???", "??", "----", "..."]
+
+#: Marks and words that likely_kinds() goes by.
+KIND_MARKS = {
+    "FP": "footpath", "FB": "footbridge", "BM": "benchmark", "SP": "signpost", "GP": "guidepost", "BS": "boundary_stone", "MS": "milestone", "MP": "milepost", "BP": "boundary_post",
+    "LB": "letter_box", "PO": "post_office", "PH": "public_house", "SB": "signal_box", "W": "well", "P": "pump", "CH": "church", "CHAP": "chapel", "SCH": "school", "SMY": "smithy",
+}
+KIND_WORDS = {
     "towing path": "towpath", "gravel pit": "quarry_or_mine", "public house": "public_house", "reservoir": "water_feature", "cemetery": "cemetery", "hospital": "hospital", "colliery": "colliery",
     "vicarage": "vicarage", "viaduct": "viaduct", "church": "church", "chapel": "chapel", "school": "school", "bridge": "bridge", "quarry": "quarry", "smithy": "smithy", "station": "station",
     "tunnel": "tunnel", "farm": "farm", "mill": "mill", "inn": "public_house",
 }
-#: How a label says that it can't be read.
-ILLEGIBLE = ["ILLEGIBLE", "UNREADABLE", "?", "-"]
 
 
 def title_case(name: Column) -> Column:
     """All-capital names with each word's first letter capital, small words small unless first, also between hyphens; others stay."""
-    cap = lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.substring(w, F.lit(2), F.length(w)))
+    before = lambda w: F.regexp_extract(w, r"^(\P{L}*)", 1)
+    raised = lambda w, n: F.concat(F.left(w, n), F.upper(F.substring(w, n + 1, F.lit(1))), F.substring(w, n + 2, F.length(w)))
+    cap = lambda w: raised(w, F.length(before(w)))
     segment = lambda s, j: F.when((j > 0) & s.isin(SMALL), s).otherwise(cap(s))
     word = lambda w, i: F.when((i > 0) & w.isin(SMALL), w).otherwise(F.array_join(F.transform(F.split(w, "-"), segment), "-"))
     cased = F.array_join(F.transform(F.split(F.lower(F.trim(name)), r"\s+"), word), " ")
@@ -57,16 +84,22 @@ def clean_term(term: Column, parent: Column) -> Column:
     return F.struct(F.when(~bare, F.coalesce(F.nullif(cut, F.lit("")), label)).alias("label"), (guide & ~bare).alias("guide"))
 
 
-def map_label(text: Column) -> Column:
-    """(token, rule, allcaps) of a map label, by the first rule that holds: illegible, abbreviation, keyword (longest first), number, all capitals, the rest."""
+def map_label(text: Column, marks: dict[str, str] | None = None, words: dict[str, str] | None = None, illegible: list[str] | None = None) -> Column:
+    """(token, rule, allcaps) of a map label, by the first rule that holds: illegible, a mark without regard to case, dots and spaces, keyword (longest first), number, all capitals, the rest."""
     t = F.trim(text)
     key = F.upper(F.regexp_replace(t, r"\s", ""))
-    bare = F.replace(key, F.lit("."), F.lit(""))
-    mark = F.create_map(*(F.lit(x) for pair in MARKS.items() for x in pair))[bare]
-    word = F.coalesce(*(F.when(t.rlike(rf"(?i)\b{k}\b"), F.lit(v)) for k, v in sorted(KEYWORDS.items(), key=lambda kv: -len(kv[0]))))
-    caps = t.rlike(r"\p{L}") & (F.regexp_replace(t, r"\P{L}", "") == F.upper(F.regexp_replace(t, r"\P{L}", "")))
-    unread = (t == "") | key.isin(ILLEGIBLE) | t.isNull()
-    number = t.rlike(r"^\d{1,4}(\.\d+)?$")
+    known: dict[str, str] = {}
+    for k, v in (MARKS if marks is None else marks).items():
+        plain = k.replace(" ", "").upper()
+        known.setdefault(plain, v)
+        known.setdefault(plain.replace(".", ""), v)
+    table = F.create_map(*(F.lit(x) for pair in known.items() for x in pair))
+    mark = F.coalesce(F.element_at(table, key), F.element_at(table, F.replace(key, F.lit("."), F.lit(""))))
+    spoken = KEYWORDS if words is None else words
+    word = F.coalesce(*(F.when(t.rlike(rf"(?iU)\b{re.escape(k)}\b"), F.lit(v)) for k, v in sorted(spoken.items(), key=lambda kv: -len(kv[0]))))
+    caps = t.rlike(r"\p{L}") & ~t.rlike(r"[\p{L}&&[^\p{Lu}]]")
+    unread = (t == "") | key.isin(ILLEGIBLE if illegible is None else illegible) | t.isNull()
+    number = key.rlike(r"^\d{1,4}(\.\d+)?$") & ~t.rlike(r"\s")
     rule = F.when(unread, "illegible").when(mark.isNotNull(), "abbrev").when(word.isNotNull(), "keyword").when(number, "numeric").when(caps, "allcaps-router").otherwise("residual")
     token = F.when(rule == "abbrev", mark).when(rule == "keyword", word).when(rule == "numeric", "spot-height")
     return F.struct(token.alias("token"), rule.alias("rule"), F.coalesce(caps, F.lit(False)).alias("allcaps"))
@@ -75,7 +108,7 @@ def map_label(text: Column) -> Column:
 def likely_kinds(text: Column) -> Column:
     """Up to three (kind, share) of a map label, largest first: signals add up, more than 1 is scaled to it, less leaves the rest to `unknown`."""
     low = F.lower(F.trim(text))
-    words = F.array(*(F.struct(F.lit(rf"\b{k}\b").alias("word"), F.lit(v).alias("kind"), F.lit(0.85).alias("w")) for k, v in KEYWORDS.items()), F.struct(F.lit(r"\b(road|street|lane|terrace|avenue|way|walk|row)\b").alias("word"), F.lit("road").alias("kind"), F.lit(0.9).alias("w")), F.struct(F.lit(r"\b(cairn|camp|barrow|castle|abbey|priory|fort|moat|tumulus)s?\b").alias("word"), F.lit("antiquity").alias("kind"), F.lit(0.88).alias("w")))
+    words = F.array(*(F.struct(F.lit(rf"\b{k}\b").alias("word"), F.lit(v).alias("kind"), F.lit(0.85).alias("w")) for k, v in KIND_WORDS.items()), F.struct(F.lit(r"\b(road|street|lane|terrace|avenue|way|walk|row)\b").alias("word"), F.lit("road").alias("kind"), F.lit(0.9).alias("w")), F.struct(F.lit(r"\b(cairn|camp|barrow|castle|abbey|priory|fort|moat|tumulus)s?\b").alias("word"), F.lit("antiquity").alias("kind"), F.lit(0.88).alias("w")))
     spoken = F.transform(F.filter(words, lambda x: F.rlike(low, x["word"])), lambda x: F.struct(x["kind"].alias("kind"), x["w"].alias("w")))
     sign = lambda kind, w: F.struct(kind.alias("kind"), F.lit(w).alias("w"))
 
@@ -96,7 +129,7 @@ def likely_kinds(text: Column) -> Column:
         falling = F.array_sort(F.transform(F.concat(shares, rest), lambda x: F.struct((-x["share"]).alias("share"), x["kind"].alias("kind"))))
         return F.transform(F.slice(falling, 1, 3), lambda x: F.struct(x["kind"].alias("kind"), (-x["share"]).alias("share")))
 
-    return once(map_label(text), kinds)
+    return once(map_label(text, KIND_MARKS, KIND_WORDS, ["ILLEGIBLE", "UNREADABLE", "?", "-"]), kinds)
 
 
 def encode_characters(text: Column, vocabulary: Column, space: int = 2, unknown: int = 1) -> Column:

@@ -79,3 +79,37 @@ def two_readings(hint: Column, other: Column) -> Column:
     )
     second = rule.isin("no-hint", "resolved-illegible", "correction")
     return F.struct(F.when(second, v).otherwise(h).alias("text"), F.when(second, "vlm").when(rule == "match", "agree").otherwise("hint").alias("source"), rule.alias("rule"))
+
+
+# Map labels: an edition with what each field comes from, and the dates of sheets
+
+
+def edition(labels: DataFrame, readings: DataFrame, version: str) -> DataFrame:
+    """Labels (pin_id, text, token, ...) with their second readings (pin_id, reading, kind, style, legible): text, its source and rule, token, its method, and the edits.
+
+    A label that has a token keeps it and its text. One without, but with a reading, gets the text that the two agree on, the
+    reading's kind, and an edit for each of them that is new. Others are pending. Of repeated readings of a pin the largest counts.
+    """
+    last = readings.groupBy("pin_id").agg(F.max(F.struct("reading", "kind", "style", "legible")).alias("v"))
+    both = labels.join(last, "pin_id", "left").withColumn("r", two_readings(F.col("text"), F.col("v.reading")))
+    read = F.col("token").isNull() & F.col("v").isNotNull()
+    typed = read & (F.coalesce(F.col("v.kind"), F.lit("")) != "")
+    changed = read & (F.col("r.source") == "vlm")
+    edit = lambda field, old, new, rule: F.struct(F.lit(field).alias("field"), old.alias("from"), new.alias("to"), F.lit("tier1-vlm").alias("method"), rule.alias("rule"), F.lit(version).alias("version"))
+    none = F.lit(None).cast("string")
+    edits = F.array_compact(F.array(F.when(typed, edit("type", none, F.col("v.kind"), none)), F.when(changed, edit("text", F.col("text"), F.col("r.text"), F.col("r.rule")))))
+    state = F.when(F.col("token").isNotNull(), "tier0").when(typed, "typed").when(read, "read").otherwise("pending")
+    return both.select(
+        *[c for c in labels.columns if c not in ("text", "token")], F.when(read, F.col("r.text")).otherwise(F.col("text")).alias("text"), F.when(read, F.col("r.source")).otherwise("raw").alias("source"),
+        F.when(read, F.col("r.rule")).alias("rule"), F.col("text").alias("raw"), F.when(read, F.col("v.reading")).alias("reading"), F.coalesce("token", F.when(typed, F.col("v.kind"))).alias("token"), state.alias("state"), edits.alias("edits"),
+    )
+
+
+def sheet_dated(labels: DataFrame, sheets: DataFrame, zoom: int = 6) -> DataFrame:
+    """Labels (pin_id, lon, lat, ...) with the sheet that holds them, its years and whether several do: of sheets (region, rings, published, start, end) the one published last, ties by the largest id; null outside all."""
+    from .within import containing
+
+    points = labels.where("lon is not null and lat is not null").select("pin_id", "lon", "lat")
+    held = containing(points, sheets.select("region", "rings"), zoom).select("pin_id", "region").join(sheets.drop("rings"), "region")
+    best = held.groupBy("pin_id").agg(F.max(F.struct(F.coalesce("published", F.lit(0)).alias("p"), "region", "start", "end")).alias("b"), (F.countDistinct("region") > 1).alias("ambiguous"))
+    return labels.join(best.select("pin_id", F.col("b.region").alias("sheet"), "b.start", "b.end", "ambiguous"), "pin_id", "left")

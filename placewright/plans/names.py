@@ -103,11 +103,11 @@ def cleaned_terms(v: Views) -> DataFrame:
 
 
 @query("""
-SELECT event_id, CASE event_id % 7 WHEN 0 THEN 'footpath' WHEN 1 THEN 'church' WHEN 2 THEN 'spot-height' WHEN 3 THEN NULL WHEN 4 THEN NULL WHEN 5 THEN NULL ELSE 'towpath' END AS token,
+SELECT event_id, CASE event_id % 7 WHEN 0 THEN 'footpath' WHEN 1 THEN 'church' WHEN 2 THEN 'spot-height' WHEN 3 THEN NULL WHEN 4 THEN NULL WHEN 5 THEN NULL ELSE 'quarry' END AS token,
   CASE event_id % 7 WHEN 0 THEN 'abbrev' WHEN 1 THEN 'keyword' WHEN 2 THEN 'numeric' WHEN 3 THEN 'illegible' WHEN 4 THEN 'allcaps-router' WHEN 5 THEN 'residual' ELSE 'keyword' END AS rule FROM events""")
 def typed_labels(v: Views) -> DataFrame:
     k = F.col("event_id") % 7
-    label = F.when(k == 0, "F. P.").when(k == 1, F.concat(F.col("event_type"), F.lit(" Church"))).when(k == 2, (F.col("user_id") % 1000).cast("string")).when(k == 3, "?").when(k == 4, F.upper("event_type")).when(k == 5, "Zorb").otherwise("Old Towing Path")
+    label = F.when(k == 0, "F. P.").when(k == 1, F.concat(F.col("event_type"), F.lit(" Church"))).when(k == 2, (F.col("user_id") % 1000).cast("string")).when(k == 3, "? ???").when(k == 4, F.upper("event_type")).when(k == 5, "Zorb").otherwise("Mill Stone Quarries")
     return v.events.select("event_id", labels.map_label(label).alias("l")).select("event_id", "l.token", "l.rule")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import project, shapes
-from ..operators import hierarchy, sketches
+from ..operators import hierarchy, sketches, stages
 from ..operators.durable import shared_folder
 from ..operators.within import distance_to
 from ..sources import loads
@@ -104,3 +104,37 @@ def matched_districts(v: Views) -> DataFrame:
     district = F.concat(F.lit("D"), (k % 11).cast("string"), F.when(k % 4 == 0, " Kazası").otherwise(""))
     places = own.select(k.alias("place_id"), F.when(k % 3 > 0, F.initcap("r_name")).alias("province"), district.alias("district"))
     return hierarchy.matched(places, units, lambda c: F.regexp_replace(c, r"(?i)\s+kaza(sı)?$", ""))
+
+
+# Map labels
+
+
+@query("""
+WITH l AS (SELECT c_custkey AS pin_id, c_name AS text, CASE WHEN c_custkey % 3 = 0 THEN 'farm' END AS token, CASE WHEN c_custkey % 3 = 1 THEN CASE WHEN c_custkey % 2 = 0 THEN upper(c_name) ELSE c_name[:-2] || 'x' END END AS reading,
+  CASE WHEN c_custkey % 5 > 0 THEN 'house' END AS kind FROM customer)
+SELECT pin_id, CASE WHEN reading IS NOT NULL AND pin_id % 2 = 1 THEN reading ELSE text END AS text, CASE WHEN reading IS NULL THEN 'raw' WHEN pin_id % 2 = 1 THEN 'vlm' ELSE 'agree' END AS source,
+  CASE WHEN reading IS NOT NULL THEN CASE WHEN pin_id % 2 = 1 THEN 'correction' ELSE 'match' END END AS rule, coalesce(token, CASE WHEN reading IS NOT NULL THEN kind END) AS token,
+  CASE WHEN token IS NOT NULL THEN 'tier0' WHEN reading IS NULL THEN 'pending' WHEN kind IS NOT NULL THEN 'typed' ELSE 'read' END AS state,
+  (CASE WHEN reading IS NOT NULL AND kind IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN reading IS NOT NULL AND pin_id % 2 = 1 THEN 1 ELSE 0 END)::BIGINT AS edits FROM l""")
+def labelled_edition(v: Views) -> DataFrame:
+    k, n = F.col("c_custkey"), F.col("c_name")
+    given = v.customer.select(k.alias("pin_id"), n.alias("text"), F.when(k % 3 == 0, "farm").alias("token"))
+    second = F.when(k % 2 == 0, F.upper(n)).otherwise(F.concat(F.left(n, F.length(n) - 1), F.lit("x")))
+    readings = v.customer.where(k % 3 < 2).select(k.alias("pin_id"), second.alias("reading"), F.when(k % 5 > 0, "house").alias("kind"), F.lit("roman").alias("style"), F.lit(True).alias("legible"))
+    return stages.edition(given, readings, "v1").select("pin_id", "text", "source", "rule", "token", "state", F.size("edits").cast("long").alias("edits"))
+
+
+_SHEETS = "sheet AS (SELECT n_name AS region, 1900 + n_nationkey % 4 AS published, 1850 + n_nationkey AS s, (n_nationkey * 14 % 320 - 165)::DOUBLE AS w, (n_nationkey * 22 % 130 - 75)::DOUBLE AS b FROM nation)"
+
+
+@query(f"""
+WITH {_SHEETS}, held AS (SELECT place_id, region, published, s FROM p_pt JOIN sheet ON lon + 0.03125 > w AND lon + 0.03125 < w + 40 AND lat + 0.03125 > b AND lat + 0.03125 < b + 30),
+best AS (SELECT place_id, max((published, region, s)) AS m, count(*) > 1 AS ambiguous FROM held GROUP BY place_id)
+SELECT p.place_id AS pin_id, m[2] AS sheet, m[3] AS start_year, m[1] AS end_year, ambiguous FROM p_pt p LEFT JOIN best USING (place_id)""")
+def dated_labels(v: Views) -> DataFrame:
+    """Labels by overlapping sheets: the one published last, ties by the last name."""
+    n = F.col("n_nationkey")
+    w, b = (n * 14 % 320 - 165).cast("double"), (n * 22 % 130 - 75).cast("double")
+    sheets = v.nation.select(F.col("n_name").alias("region"), shapes.rectangle(w, b, w + 40, b + 30).alias("rings"), (1900 + n % 4).alias("published"), (1850 + n).alias("start"), (1900 + n % 4).alias("end"))
+    labels = v.p_pt.select(F.col("place_id").alias("pin_id"), (F.col("lon") + 0.03125).alias("lon"), (F.col("lat") + 0.03125).alias("lat"))
+    return stages.sheet_dated(labels, sheets).select("pin_id", "sheet", F.col("start").alias("start_year"), F.col("end").alias("end_year"), "ambiguous")
