@@ -13,10 +13,11 @@ def plain(text):
     caps = bool(letters) and all(c.isupper() for c in letters)
     if not t or key in labels.ILLEGIBLE:
         return None, "illegible", caps
-    for k, v in labels.MARKS.items():
-        own = k.replace(" ", "").upper()
-        if key in (own, own.replace(".", "")) or key.replace(".", "") == own.replace(".", ""):
-            return v, "abbrev", caps
+    for asked in (key, key.replace(".", "")):
+        for k, v in labels.MARKS.items():
+            own = k.replace(" ", "").upper()
+            if asked in (own, own.replace(".", "")):
+                return v, "abbrev", caps
     for k, v in sorted(labels.KEYWORDS.items(), key=lambda kv: -len(kv[0])):
         if re.search(rf"\b{re.escape(k)}\b", t, re.I):
             return v, "keyword", caps
