@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -157,6 +155,10 @@ def simplify(line: Column, tolerance: float) -> Column:
     return F.when(F.size(line) <= 2, line).otherwise(F.concat(kept, F.slice(line, -1, 1)))
 
 
+#: Points whose distances are taken at once.
+BATCH = 4096
+
+
 def _distances(px: np.ndarray, py: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Of points, how far inside the sides (a to b) they lie; negative outside."""
     d = b - a
@@ -170,26 +172,20 @@ def _distances(px: np.ndarray, py: np.ndarray, a: np.ndarray, b: np.ndarray) ->
 
 
 def deepest(rings: list[np.ndarray], tolerance: float) -> tuple[float, float, float]:
-    """(x, y, distance) of the point of a shape that is farthest from its sides, within the tolerance: the square that may hold the best is cut in four, until none can hold a better one."""
+    """(x, y, distance) of the point of a shape that is farthest from its sides, within the tolerance: squares that may hold a better one than the best so far are cut in four, size by size."""
     a, b = np.concatenate([r[:-1] for r in rings]), np.concatenate([r[1:] for r in rings])
     (w, s), (e, n) = a.min(0), a.max(0)
     h = max(min(e - w, n - s), 1e-9) / 2
     xs, ys = (g.ravel() for g in np.meshgrid(np.arange(w + h, e + h, 2 * h), np.arange(s + h, n + h, 2 * h)))
-    middle = np.array([(w + e) / 2]), np.array([(s + n) / 2])
-    best = (float(_distances(*middle, a, b)[0]), float(middle[0][0]), float(middle[1][0]))
-    heap: list[tuple[float, float, float, float]] = []
-
-    def add(xs: np.ndarray, ys: np.ndarray, h: float) -> None:
-        nonlocal best
-        for x, y, d in zip(xs.tolist(), ys.tolist(), _distances(xs, ys, a, b).tolist(), strict=True):
-            best = max(best, (d, x, y))
-            if d + h * 2**0.5 > best[0] + tolerance:
-                heapq.heappush(heap, (-(d + h * 2**0.5), x, y, h))
-
-    add(xs, ys, h)
-    while heap and -heap[0][0] > best[0] + tolerance:
-        _, x, y, h = heapq.heappop(heap)
-        add(x + np.array([-h, h, -h, h]) / 2, y + np.array([-h, -h, h, h]) / 2, h / 2)
+    best = (-np.inf, 0.0, 0.0)
+    xs, ys = np.r_[(w + e) / 2, xs], np.r_[(s + n) / 2, ys]
+    while len(xs):
+        d = np.concatenate([_distances(xs[k : k + BATCH], ys[k : k + BATCH], a, b) for k in range(0, len(xs), BATCH)])
+        top = int(d.argmax())
+        best = max(best, (float(d[top]), float(xs[top]), float(ys[top])))
+        keep = d + h * 2**0.5 > best[0] + tolerance
+        h /= 2
+        xs, ys = ((v[keep, None] + np.array(step) * h).ravel() for v, step in ((xs, [-1, 1, -1, 1]), (ys, [-1, -1, 1, 1])))
     return best[1], best[2], best[0]
 
 

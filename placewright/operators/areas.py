@@ -19,6 +19,7 @@ from .durable import durable
 FINE = 9
 #: Zoom of the cells in which boxes meet.
 COARSE = 6
+#: What is taken for rounding: shares of a side, and degrees around a side's path.
 PAD = 1e-9
 
 
@@ -108,7 +109,7 @@ def pieces(own: DataFrame, other: DataFrame, pairs: DataFrame, a: str, b: str) -
     cut = cuts(own, other, pairs, a, b)
     all_ = own.join(pairs, a).join(cut, [a, b, "edge"], "left")
     ends = F.array_sort(F.array_union(F.array(F.lit(0.0), F.lit(1.0)), F.coalesce(F.flatten(F.transform("at", lambda s: F.array(s["from"], s["to"]))), F.array().cast("array<double>"))))
-    middles = all_.withColumn("ends", ends).withColumn("t", F.explode(F.zip_with(F.slice("ends", F.lit(1), F.size("ends") - 1), F.slice("ends", F.lit(2), F.size("ends") - 1), lambda x, y: F.when(x < y, (x + y) / 2)))).where("t is not null")
+    middles = all_.withColumn("ends", ends).withColumn("t", F.explode(F.zip_with(F.slice("ends", F.lit(1), F.size("ends") - 1), F.slice("ends", F.lit(2), F.size("ends") - 1), lambda x, y: F.when(y - x > PAD, (x + y) / 2)))).where("t is not null")
     along = F.coalesce(F.exists("at", lambda s: (s["from"] < F.col("t")) & (F.col("t") < s["to"])), F.lit(False))
     points = middles.select(a, b, "edge", "t", along.alias("along"), (F.col("ax") + F.col("t") * (F.col("bx") - F.col("ax"))).alias("x"), (F.col("ay") + F.col("t") * (F.col("by") - F.col("ay"))).alias("y"))
     off = points.where("not along").drop("along")
@@ -246,3 +247,76 @@ def hulled(points: DataFrame, key: str, parts: int = 64) -> DataFrame:
 def repaired(given: DataFrame, id: str) -> DataFrame:
     """(id, area, rings) of shapes (id, rings) whose rings may cross themselves or each other: what an odd number of them surrounds, in rings that don't. A bow-tie becomes two."""
     return dissolved(given, id)
+
+
+#: Zooms of covers, the finest first; cells that a cover may have; how far around a line its cover reaches, in degrees.
+COVER_ZOOMS, COVER_MOST, LINE_REACH = (11, 9, 7), 10_000, 0.005
+
+
+def covers(given: DataFrame, id: str, zooms: tuple[int, ...] = COVER_ZOOMS, most: int = COVER_MOST) -> DataFrame:
+    """(id, cell) of every cell that a shape (id, kind, rings, x, y, and perhaps hull) meets, at the finest zoom at which its box has at most `most` cells, else at the coarsest.
+
+    All parts and holes count. Where an area has a hull, that is covered in its stead. A line is covered with LINE_REACH around it. A shape smaller
+    than a cell of the finest zoom, a point, and one without rings have the cell of (x, y), if these are known. Sides are dealt to the cells on
+    their path; a row of cells is filled between every second and next crossing of its middle.
+    """
+    own = F.when((F.col("kind") == "area") & (F.coalesce(F.size("hull"), F.lit(0)) > 0), F.col("hull")).otherwise(F.col("rings")) if "hull" in given.columns else F.col("rings")
+    base = given.select(id, "kind", own.alias("rings"), "x", "y")
+    w, s, e, n = shapes.box(F.col("rings"))
+    boxed = base.withColumns({"w": w, "s": s, "e": e, "n": n}).withColumn("small", F.coalesce(F.greatest(F.col("e") - F.col("w"), F.col("n") - F.col("s")) < 360.0 / (1 << zooms[0]), F.lit(True)) | (F.col("kind") == "point"))
+    cells = lambda z: (F.floor((F.col("e") - F.col("w")) * ((1 << z) / 360.0)) + 1) * (F.floor((F.col("n") - F.col("s")) * ((1 << z) / 360.0)) + 1)
+    zoom = F.coalesce(*(F.when(cells(z) <= most, F.lit(z)) for z in zooms), F.lit(zooms[-1]))
+    big = durable(boxed.where("not small").withColumn("zoom", zoom).select(id, "kind", "rings", "zoom"))
+    out = boxed.where("small and x is not null and y is not null").select(id, space.cell(F.col("x"), F.col("y"), zooms[0]).alias("cell"))
+    for z in zooms:
+        here = big.where(F.col("zoom") == z)
+        sides = edges(here.where("kind = 'area'"), id)
+        lines = edges(here.where("kind = 'line'"), id)
+        wide = F.explode(F.array(*(F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy")) for a, b in ((0.0, 0.0), (LINE_REACH, 0.0), (-LINE_REACH, 0.0), (0.0, LINE_REACH), (0.0, -LINE_REACH)))))
+        beside = lines.withColumn("d", wide).select(id, "edge", *((F.col(f"{p}{c}") + F.col(f"d.d{c}")).alias(f"{p}{c}") for p in "ab" for c in "xy"))
+        paths = sides.unionByName(beside).select(id, F.explode(path_cells(z)).alias("c"))
+        # Where sides cross the middle of each row of cells.
+        size = 360.0 / (1 << z)
+        middle = lambda r: (r + 0.5) * size - 90  # noqa: B023, E731
+        low, high = F.ceil((F.least("ay", "by") + 90) / size - 0.5), F.ceil((F.greatest("ay", "by") + 90) / size - 0.5) - 1
+        crossed = sides.where(low <= high).withColumn("row", F.explode(F.sequence(low, high)))
+        at = F.col("ax") + (F.col("bx") - F.col("ax")) * (middle(F.col("row")) - F.col("ay")) / (F.col("by") - F.col("ay"))
+        runs = crossed.select(id, "row", at.alias("at")).groupBy(id, "row").agg(F.array_sort(F.collect_list("at")).alias("xs"))
+        pairs = F.transform(F.sequence(F.lit(1), F.size("xs") - 1, F.lit(2)), lambda i: F.struct(F.ceil((F.get("xs", i - 1) + 180) / size - 0.5).alias("a"), (F.ceil((F.get("xs", i) + 180) / size - 0.5) - 1).alias("b")))  # noqa: B023
+        fill = runs.where("size(xs) > 1").select(id, "row", F.explode(pairs).alias("p")).where("p.a <= p.b").select(id, F.explode(F.transform(F.sequence("p.a", "p.b"), lambda c: c * F.lit(1 << 29) + F.col("row"))).alias("c"))
+        out = out.unionByName(paths.unionByName(fill).distinct().select(id, (F.lit(z << 58) + F.col("c")).alias("cell")))
+    return out
+
+
+def overlaps(candidates: DataFrame, regions: DataFrame) -> DataFrame:
+    """(place_id, region, area) of areas (place_id, rings) and regions (region, rings) that share some: in square degrees, by the shapes themselves.
+
+    What two shapes share is bounded by the sides of each that lie in the other, and by those that both have in one direction. Outer rings
+    must run counter-clockwise and holes clockwise, as those of dissolved() and repaired() do.
+    """
+    own, there = candidates.select("place_id", "rings"), regions.select("region", "rings")
+    near = own.select("place_id", F.explode(box_cells(F.col("rings"), COARSE)).alias("cell")).join(there.select("region", F.explode(box_cells(F.col("rings"), COARSE)).alias("cell")), "cell")
+    pairs = durable(near.select("place_id", "region").distinct())
+    a, b = edges(own, "place_id"), edges(there, "region")
+    parts = [_bounding(a, b, pairs, "place_id", "region", True), _bounding(b, a, pairs, "region", "place_id", False)]
+    found = parts[0].unionByName(parts[1]).groupBy("place_id", "region").agg(F.sum("part").alias("area"))
+    return found.where(F.col("area") > 1e-12)
+
+
+def _bounding(own: DataFrame, other: DataFrame, pairs: DataFrame, a: str, b: str, shared: bool) -> DataFrame:
+    """(a, b, part) of a's pieces that lie in b, and, if asked, of those that run along b with b's inside on the same hand: each its part of a sum over the boundary."""
+    cut = cuts(own, other, pairs, a, b)
+    all_ = own.join(pairs, a).join(cut, [a, b, "edge"], "left")
+    ends = F.array_sort(F.array_union(F.array(F.lit(0.0), F.lit(1.0)), F.coalesce(F.flatten(F.transform("at", lambda s: F.array(s["from"], s["to"]))), F.array().cast("array<double>"))))
+    piece = F.zip_with(F.slice("ends", F.lit(1), F.size("ends") - 1), F.slice("ends", F.lit(2), F.size("ends") - 1), lambda x, y: F.when(y - x > PAD, F.struct(x.alias("f"), y.alias("t"))))
+    each = all_.withColumn("ends", ends).withColumn("s", F.explode(piece)).where("s is not null")
+    mid = (F.col("s.f") + F.col("s.t")) / 2
+    along = F.coalesce(F.exists("at", lambda s: (s["from"] < mid) & (mid < s["to"])), F.lit(False))
+    dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
+    # A piece along b's side is looked at a little to its left, where its own inside is.
+    step = F.when(along, F.lit(1e-7) / F.sqrt(dx * dx + dy * dy)).otherwise(0.0)
+    x, y = (lambda t: F.col("ax") + t * dx), (lambda t: F.col("ay") + t * dy)
+    part = (x(F.col("s.f")) * y(F.col("s.t")) - x(F.col("s.t")) * y(F.col("s.f"))) / 2
+    points = each.select(a, b, "edge", F.col("s.f").alias("f"), along.alias("along"), part.alias("part"), (x(mid) - dy * step).alias("x"), (y(mid) + dx * step).alias("y"))
+    kept = points if shared else points.where("not along")
+    return inside(kept, other, b).select(a, b, "part")

@@ -91,3 +91,35 @@ def test_union_against_samples(spark):
     for _ in range(3000):
         p = (r.uniform(-5, 17), r.uniform(-5, 17))
         assert odd(out, p) == any(odd(g, p) for _, g in given)
+
+
+def test_covers(spark):
+    square = lambda x, y, d: [(x, y), (x + d, y), (x + d, y + d), (x, y + d), (x, y)]
+    given = [("far", "area", [square(0.1, 0.1, 1.0), square(90.1, 0.1, 1.0)], 0.5, 0.5, None), ("hulled", "area", [square(0.1, 0.1, 30.0)], 1.0, 1.0, [square(0.1, 0.1, 0.9)]), ("tiny", "area", [square(5, 5, 0.01)], 5.0, 5.0, None), ("dot", "point", [[(5, 5)]], 5.0, 5.0, None), ("line", "line", [[(10.1, 0.1), (13.3, 2.9)]], None, None, None), ("none", None, None, None, None, None)]
+    frame = spark.createDataFrame([(i, k, g and rows(g), x, y, h and rows(h)) for i, k, g, x, y, h in given], f"id string, kind string, rings {RINGS}, x double, y double, hull {RINGS}")
+    got = {}
+    for r in areas.covers(frame, "id", (11, 9, 7), 200).collect():
+        got.setdefault(r.id, set()).add((r.cell >> 58, r.cell >> 29 & (1 << 29) - 1, r.cell & (1 << 29) - 1))
+    assert "none" not in got and got["tiny"] == got["dot"] and len(got["dot"]) == 1
+    assert {z for z, _, _ in got["far"]} == {7} and {x for _, x, _ in got["far"]} == {64, 96}
+    assert {z for z, _, _ in got["hulled"]} == {11} and len(got["hulled"]) == 36
+    size = 360 / (1 << 9)
+    on = {(9, int((x + 180) // size), int((y + 90) // size)) for t in range(2001) for dx, dy in ((0, 0), (0.005, 0), (-0.005, 0), (0, 0.005), (0, -0.005)) for x, y in [(10.1 + 3.2 * t / 2000 + dx, 0.1 + 2.8 * t / 2000 + dy)]}
+    assert got["line"] == on
+
+
+def test_shared_areas_of_random_shapes(spark):
+    r = random.Random(9)
+    turned = lambda g: g if sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(g, g[1:])) > 0 else g[::-1]
+    star = lambda x, y, s: turned((p := [(x + s * q * math.cos(t), y + s * q * math.sin(t)) for t, q in sorted((r.uniform(0, 6.283), r.uniform(0.4, 1)) for _ in range(12))]) + p[:1])
+    own, there = [star(r.uniform(0, 9), r.uniform(0, 9), 3) for _ in range(8)], [star(r.uniform(0, 9), r.uniform(0, 9), 4) for _ in range(4)]
+    a = spark.createDataFrame([(f"p{i}", rows([g])) for i, g in enumerate(own)], f"place_id string, rings {RINGS}")
+    b = spark.createDataFrame([(f"r{i}", rows([g])) for i, g in enumerate(there)], f"region string, rings {RINGS}")
+    got = {(x.place_id, x.region): x.area for x in areas.overlaps(a, b).collect()}
+    step = 0.04
+    grid = [(-5 + step * i, -5 + step * j) for i in range(500) for j in range(500)]
+    inside = {n: {p for p in grid if odd([g], p)} for n, g in [*((f"p{i}", g) for i, g in enumerate(own)), *((f"r{i}", g) for i, g in enumerate(there))]}
+    for p in range(len(own)):
+        for q in range(len(there)):
+            near = len(inside[f"p{p}"] & inside[f"r{q}"]) * step * step
+            assert abs(got.get((f"p{p}", f"r{q}"), 0.0) - near) < 0.25, (p, q)
