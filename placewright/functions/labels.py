@@ -144,3 +144,36 @@ def noisy(text: Column, key: Column, seed: int = 0) -> Column:
     head, c, rest = F.substring(text, F.lit(1), at - 1), F.substring(text, at, F.lit(1)), F.substring(text, at + 1, F.length(text))
     out = F.when(kind == 0, F.concat(head, rest)).when(kind == 1, F.concat(head, c, c, rest)).when(kind == 2, F.concat(head, F.lit("e"), rest))
     return F.when(F.length(text) < 3, text).otherwise(F.coalesce(out, F.concat(head, F.left(rest, F.lit(1)), c, F.substring(rest, F.lit(2), F.length(rest)))))
+
+
+#: Keys beside each other, and characters that scanners take for each other.
+KEYBOARD = {
+    "a": "qwsz", "b": "vghn", "c": "xdfv", "d": "erfcxs", "e": "rdsw", "f": "rtgvcd", "g": "tyhbvf", "h": "yujnbg", "i": "uojk", "j": "uiknmh", "k": "ioljm", "l": "opk", "m": "njk",
+    "n": "bhjm", "o": "iplk", "p": "ol", "q": "wa", "r": "etdf", "s": "weadzx", "t": "ryfg", "u": "yihj", "v": "cfgb", "w": "qeas", "x": "zsdc", "y": "tugh", "z": "asx",
+}
+SCANNED = {"o": "0", "0": "o", "l": "1", "1": "l", "i": "1", "e": "c", "c": "e", "n": "m", "m": "n"}
+
+
+def noised(text: Column, key: Column, share: float = 0.3, most: int = 2, keyboard: bool = True, seed: int = 0) -> Column:
+    """The text with typing noise in `share` of the rows: one edit, or up to `most` (a third of its length) in texts of six characters or more.
+
+    An edit takes a character out (of three or more), doubles one, replaces it by a key beside it, or by what a scanner takes it for, or swaps it with
+    the next. All is chosen by hashes of the key, so reruns agree. Texts under two characters stay.
+    """
+    draw = lambda what, *more: F.pmod(F.xxhash64(key, F.lit(f"{seed} {what}"), *more), F.lit(1 << 30))
+    table = lambda d: F.create_map(*(F.lit(x) for pair in d.items() for x in pair))
+    number = F.when(F.length(text) < 6, F.lit(1)).otherwise(1 + draw("number") % F.greatest(F.lit(1), F.least(F.lit(most), F.floor(F.length(text) / 3)))).cast("int")
+
+    def edit(t: Column, i: Column) -> Column:
+        at, kind = (draw("at", i) % F.length(t)).cast("int") + 1, draw("kind", i) % 4
+        head, c, rest = F.left(t, at - 1), F.substring(t, at, F.lit(1)), F.substring(t, at + 1, F.length(t))
+        low = F.lower(c)
+        keys = F.element_at(table(KEYBOARD), low) if keyboard else F.lit(None).cast("string")
+        other = F.coalesce(F.substring(keys, (draw("key", i) % F.length(keys)).cast("int") + 1, F.lit(1)), F.element_at(table(SCANNED), low))
+        cased = F.coalesce(F.when(c != low, F.upper(other)).otherwise(other), c)
+        swapped = F.concat(head, F.left(rest, F.lit(1)), c, F.substring(rest, F.lit(2), F.length(rest)))
+        out = F.when(kind == 0, F.when(F.length(t) > 2, F.concat(head, rest)).otherwise(t)).when(kind == 1, F.concat(head, c, c, rest)).when(kind == 2, F.concat(head, cased, rest)).otherwise(swapped)
+        return F.when(F.length(t) < 2, t).otherwise(out)
+
+    hit = (draw("row") < int(share * (1 << 30))) & (F.length(text) >= 2)
+    return F.when(hit, F.aggregate(F.sequence(F.lit(1), number), text, edit)).otherwise(text)

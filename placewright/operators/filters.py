@@ -107,3 +107,10 @@ def download(redistributable: Column, records: Column, most: int = 250_000) -> C
     """Whether a source may be downloaded, and why not: its licence forbids it (unknown: it doesn't), or it has more records than allowed."""
     allowed, many = F.coalesce(redistributable, F.lit(True)), F.coalesce(records > most, F.lit(False))
     return F.struct((allowed & ~many).alias("downloadable"), F.when(~allowed, "licence-restricted").when(many, "volume-exceeds-cap").alias("reason"))
+
+
+def request_kind(query: Column, scope: Column, filters: Column) -> Column:
+    """How a request is answered: `nothing` without a name, a scope and filters, `spatial` by its scope alone, `filtered` by its filters, else `named`."""
+    named = F.coalesce(F.trim(query), F.lit("")) != ""
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    return F.when(named, "named").when(yes(filters), "filtered").when(yes(scope), "spatial").otherwise("nothing")

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import space, temporal, text, types, vectors
-from . import graph
+from . import graph, vector_index
 from .durable import durable, star_components
 
 #: Sources whose places links may name; the mix of negatives that are alike in name or near; the least similarity of names in two scripts, and in one.
@@ -204,6 +204,16 @@ def hard_negatives(near: DataFrame, names: DataFrame, seed: int = 1) -> DataFram
     return fine.groupBy("toponym_id").agg(F.min_by("other", F.struct(F.xxhash64("toponym_id", "other", F.lit(seed)), "other")).alias("negative"))
 
 
+def vector_negatives(vectors: DataFrame, names: DataFrame, path: str, k: int = 20, probes: int = 8, seed: int = 1) -> DataFrame:
+    """(toponym_id, negative) by hard_negatives() of the k nearest of names' vectors (toponym_id, vector), through an index that is written at path. A name none of whose neighbours fits is left out."""
+    keyed = vectors.select("toponym_id", F.xxhash64("toponym_id").alias("id"), F.lit(0).alias("label"), F.col("vector").alias("e"))
+    vector_index.build(keyed.select("id", "label", "e"), path)
+    found = vector_index.search(vectors.sparkSession, path, keyed.select("id", "label", "e"), k, probes, least=-1.0)
+    name = lambda c: keyed.select(F.col("id").alias(c), F.col("toponym_id").alias(f"of_{c}"))
+    near = found.select("query", "id").join(name("query"), "query").join(name("id"), "id")
+    return hard_negatives(near.select(F.col("of_query").alias("toponym_id"), F.col("of_id").alias("other")), names, seed)
+
+
 def balanced(rows: DataFrame, bin_: str, key: str, target: int, least: int, most: int = 3) -> DataFrame:
     """Rows of bins of at least `least`, with a number for each copy: the first `target` of larger ones by hash, and of smaller ones the first again until there are `target`, or `most` times as many."""
     counts = rows.groupBy(F.col(bin_).alias("_bin")).agg(F.count("*").alias("_n")).where(F.col("_n") >= least)

@@ -136,6 +136,13 @@ def noisy_names(v: Views) -> DataFrame:
     return v.part.select("p_partkey", "p_name", labels.noisy(F.col("p_name"), F.col("p_partkey")).alias("noisy"))
 
 
+@query("SELECT p_partkey, p_name, true AS near FROM part")
+def typing_noise(v: Views) -> DataFrame:
+    """Every name noised: two edits change it by four letters at most."""
+    noisy = labels.noised(F.col("p_name"), F.col("p_partkey"), 1.0)
+    return v.part.select("p_partkey", "p_name", (F.levenshtein("p_name", noisy) <= 4).alias("near"))
+
+
 @query("""
 WITH n AS (SELECT *, CASE place_id[1:2] WHEN 'su' THEN 'en' WHEN 'cu' THEN 'de' END AS local FROM t_att)
 SELECT place_id, coalesce(max(name) FILTER (WHERE lang = local), max(name) FILTER (WHERE lang = 'und')) AS local_name, max(name) FILTER (WHERE lang = 'en') AS name_en FROM n GROUP BY place_id""")

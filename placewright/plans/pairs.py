@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import density, documents, filters, graph, pairs
+from ..operators.durable import shared_folder
 from .queries import query
 from .views import Views
 
@@ -217,3 +218,13 @@ def density_clusters(v: Views) -> DataFrame:
 def density_spellings(v: Views) -> DataFrame:
     """Vectors of one label as the names of one place."""
     return density.spellings(v.embeddings.select(F.concat(F.lit("p"), F.col("label").cast("string"), F.lit("-"), (F.col("vec_id") % 20).cast("string")).alias("place_id"), F.concat(F.lit("t"), F.col("vec_id").cast("string")).alias("toponym_id"), F.col("embedding").cast("array<double>").alias("vector")))
+
+
+@query()
+def vector_negatives(v: Views) -> DataFrame:
+    """Each name's vector is one of the table's, by hash."""
+    n = scripted(v)
+    total = v.embeddings.agg(F.max("vec_id")).first()[0] or 0
+    own = n.select("toponym_id").distinct().withColumn("vec_id", F.pmod(F.xxhash64("toponym_id"), F.lit(total + 1)))
+    vec = own.join(v.embeddings.select("vec_id", F.col("embedding").alias("vector")), "vec_id").select("toponym_id", "vector")
+    return pairs.vector_negatives(vec, n, shared_folder(v.spark, "negatives"))

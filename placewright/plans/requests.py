@@ -115,6 +115,15 @@ def empty_requests(v: Views) -> DataFrame:
     return filters.empty_like(v.p_base) if asked else v.p_base
 
 
+@query("""
+SELECT event_id, CASE WHEN user_id % 4 = 1 THEN 'named' WHEN user_id % 3 = 0 THEN 'filtered' WHEN event_id % 2 = 0 THEN 'spatial' ELSE 'nothing' END AS kind FROM events""")
+def request_kinds(v: Views) -> DataFrame:
+    """Requests whose name is text, blank or missing."""
+    u = F.col("user_id") % 4
+    name = F.when(u == 1, F.col("event_type")).when(u == 2, " ")
+    return v.events.select("event_id", filters.request_kind(name, F.when(F.col("event_id") % 2 == 0, True), F.col("user_id") % 3 == 0).alias("kind"))
+
+
 # Pools, spellings, scopes
 
 

@@ -56,3 +56,19 @@ def test_vectors_by_brute_force(spark, tmp_path):
 def test_recall_of_the_given_table(spark, sf):
     r = QUERIES["indexed_recall"](spark, sf).first()
     assert r.wanted > 0 and r.recall >= 0.9 and r.scanned < 0.6
+
+
+def test_negatives_are_near(spark, tmp_path):
+    from placewright.operators import pairs
+
+    r = np.random.default_rng(3)
+    x = r.normal(size=(60, 8))
+    vec = spark.createDataFrame([(f"t{i}", [float(v) for v in row]) for i, row in enumerate(x)], "toponym_id string, vector array<double>")
+    names = spark.createDataFrame([(f"p{i // 3}", f"t{i}", "LATIN" if i % 4 else "GREEK") for i in range(60)], "place_id string, toponym_id string, script string")
+    got = {q.toponym_id: q.negative for q in pairs.vector_negatives(vec, names, str(tmp_path / "v"), 10, 60).collect()}
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    fits = lambda i, j: i != j and i // 3 != j // 3 and (i % 4 > 0) == (j % 4 > 0)
+    for i in range(60):
+        near = [j for j in np.argsort(-(unit @ unit[i])) if j != i][:10]
+        good = {f"t{j}" for j in near if fits(i, j)}
+        assert got.get(f"t{i}") in good if good else f"t{i}" not in got

@@ -38,3 +38,18 @@ def test_titles(spark):
     given = {"CHESTER LE STREET": "Chester le Street", "STOKE-UPON-TRENT": "Stoke-upon-Trent", "KING'S NORTON": "King's Norton", "(ST MARY)": "(St Mary)", "'S LAND": "'S Land", "Mixed name": "Mixed name", "THE END": "The End", "12TH MILE": "12Th Mile", "": ""}
     rows = spark.createDataFrame([(t,) for t in given], "t string").select("t", labels.title_case(F.col("t")).alias("l")).collect()
     assert {r.t: r.l for r in rows} == given
+
+
+def test_noise(spark):
+    given = ["Kirkby", "Llanfairpwll", "ab", "x", "", None, "Ωmega", "London Road"]
+    rows = spark.createDataFrame([(i, given[i % len(given)]) for i in range(1600)], "k int, t string")
+    out = rows.select("k", "t", labels.noised(F.col("t"), F.col("k"), 1.0).alias("n"), labels.noised(F.col("t"), F.col("k"), 0.25).alias("some"), labels.noised(F.col("t"), F.col("k"), 1.0, keyboard=False).alias("scan")).collect()
+    assert all(r.n == r.t for r in out if r.t is None or len(r.t) < 2)
+    assert all(abs(len(r.n) - len(r.t)) <= (1 if len(r.t) < 6 else 2) for r in out if r.t)
+    lengths = {len(r.n) - len(r.t) for r in out if r.t == "Llanfairpwll"}
+    assert {-2, -1, 0, 1, 2} <= lengths
+    long = [r for r in out if r.t and len(r.t) > 5]
+    assert 0.15 < sum(r.some != r.t for r in long) / len(long) < 0.3 and sum(r.n != r.t for r in long) / len(long) > 0.85
+    swapped = {r.n for r in out if r.t == "ab"}
+    assert swapped <= {"ab", "ba", "aab", "abb", *(k + "b" for k in labels.KEYBOARD["a"]), *("a" + k for k in labels.KEYBOARD["b"])} and len(swapped) > 8
+    assert {r.scan for r in out if r.t == "ab"} <= {"ab", "ba", "aab", "abb"}
