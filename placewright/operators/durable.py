@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,11 +11,13 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession, name: str = "table") -> str:
-    """A new folder under spark.checkpoint.dir; only where the session and its context name none (as in tests), a temporary one."""
+    """A new folder under spark.checkpoint.dir; only where the session and its context name none and all runs in one process (as in tests), a temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         if held.isEmpty():
+            if not re.match(r"local(\[|$)", spark.sparkContext.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp())
             held = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = held.get()

@@ -9,7 +9,7 @@ from ..functions import project, shapes
 from ..operators import hierarchy, sketches, stages
 from ..operators.durable import shared_folder
 from ..operators.within import distance_to
-from ..sources import loads
+from ..sources import loads, readers, writers
 from .queries import query
 from .views import Views
 
@@ -138,3 +138,31 @@ def dated_labels(v: Views) -> DataFrame:
     sheets = v.nation.select(F.col("n_name").alias("region"), shapes.rectangle(w, b, w + 40, b + 30).alias("rings"), (1900 + n % 4).alias("published"), (1850 + n).alias("start"), (1900 + n % 4).alias("end"))
     labels = v.p_pt.select(F.col("place_id").alias("pin_id"), (F.col("lon") + 0.03125).alias("lon"), (F.col("lat") + 0.03125).alias("lat"))
     return stages.sheet_dated(labels, sheets).select("pin_id", "sheet", F.col("start").alias("start_year"), F.col("end").alias("end_year"), "ambiguous")
+
+
+# Staged files written and read back
+
+
+@query("""
+SELECT 'cu:' || c_custkey AS place_id, upper(c_name) AS title, 'final' AS stage FROM customer UNION ALL SELECT 'su:' || s_suppkey, s_name, 'extract' FROM supplier""")
+def staged_sources(v: Views) -> DataFrame:
+    """Extracts of two sources as JSON lines, of one also its last stage as Parquet: the latest stage of each is read."""
+    at = shared_folder(v.spark, "staged")
+    kinds = "place_id string, title string, stage string"
+    row = lambda df, space, key, title, stage: df.select(F.concat(F.lit(f"{space}:"), F.col(key).cast("string")).alias("place_id"), title.alias("title"), F.lit(stage).alias("stage"))
+    row(v.customer, "cu", "c_custkey", F.col("c_name"), "extract").write.json(f"{at}/cu_extract.jsonl")
+    row(v.supplier, "su", "s_suppkey", F.col("s_name"), "extract").write.json(f"{at}/su_extract.jsonl")
+    row(v.customer, "cu", "c_custkey", F.upper("c_name"), "final").write.parquet(f"{at}/cu_final.parquet")
+    return readers.staged(v.spark, at, "cu", kinds).select("place_id", "title", "stage").unionByName(readers.staged(v.spark, at, "su", kinds).select("place_id", "title", "stage"))
+
+
+@query("""
+SELECT CASE WHEN c_custkey % 10 < 8 THEN 'train' WHEN c_custkey % 10 < 9 THEN 'val' ELSE 'test' END AS split, count(*) AS n, count(*) FILTER (c_custkey % 3 > 0) AS listed, sum(c_custkey)::BIGINT AS keys FROM customer GROUP BY 1""")
+def written_splits(v: Views) -> DataFrame:
+    """Rows appended in two goes to a table cut by their split, then read back: empty lists have become null."""
+    at, k = shared_folder(v.spark, "splits"), F.col("c_custkey")
+    names = F.when(k % 3 > 0, F.array("c_name")).otherwise(F.array().cast("array<string>"))
+    rows = v.customer.select(k.alias("id"), names.alias("names"), (k % 2).cast("int").alias("part"), F.when(k % 10 < 8, "train").when(k % 10 < 9, "val").otherwise("test").alias("split"))
+    for part in (0, 1):
+        writers.write_staged(rows.where(F.col("part") == part).withColumn("part", F.lit(part)), at, 1, "split")
+    return v.spark.read.parquet(at).groupBy("split").agg(F.count("*").alias("n"), F.count("names").alias("listed"), F.sum("id").alias("keys"))

@@ -122,14 +122,21 @@ def geonames_names(lines: DataFrame, namespace: str = "gn") -> DataFrame:
 
 
 def ntriples(lines: DataFrame) -> DataFrame:
-    """subject, predicate, object, lang, is_uri of N-Triples lines; others are dropped. Escapes are decoded, but those of eight digits stay."""
+    """subject, predicate, object, lang, is_uri of N-Triples lines; others are dropped. Escapes of four and eight digits are decoded."""
     pattern = r'^\s*<([^>]*)>\s+<([^>]*)>\s+(?:<([^>]*)>|"((?:[^"\\]|\\.)*)"(?:@([A-Za-z0-9-]+)|\^\^<[^>]*>)?)\s*\.\s*$'
     g = lambda i: F.regexp_extract("value", pattern, i)
-    decoded = F.get(F.from_json(F.concat(F.lit('["'), g(4), F.lit('"]')), "array<string>"), F.lit(0))
+    decoded = F.get(F.from_json(F.concat(F.lit('["'), _wide(g(4)), F.lit('"]')), "array<string>"), F.lit(0))
     uri = g(3) != ""
     return lines.where(F.col("value").rlike(pattern)).select(g(1).alias("subject"), g(2).alias("predicate"), F.when(uri, g(3)).otherwise(F.coalesce(decoded, g(4))).alias("object"), F.nullif(g(5), F.lit("")).alias("lang"), uri.alias("is_uri"))
 
 
+def _wide(text: Column) -> Column:
+    """Escapes of eight hexadecimal digits as their characters; those of four stay. What stands right behind an escaped backslash stays too."""
+    parts = F.split(text, r"(?<!\\)\\U(?=[0-9A-Fa-f]{8})")
+    more = F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda p: F.concat(F.decode(F.unhex(F.left(p, F.lit(8))), "UTF-32"), F.substring(p, F.lit(9), F.length(p))))
+    return F.when(F.contains(text, F.lit("\\U")), F.concat(F.get(parts, F.lit(0)), F.array_join(more, ""))).otherwise(text)
+
+
 def two_hop_labels(triples: DataFrame, term: str, literal: str) -> DataFrame:
     """(subject, label, lang): subject -term-> node -literal-> label."""
     terms = triples.where((F.col("predicate") == term) & F.col("is_uri")).select("subject", F.col("object").alias("node"))

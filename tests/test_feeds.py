@@ -76,3 +76,9 @@ def test_log_resumes_and_last_operation_wins(spark, tmp_path):
     assert [(r.place_a, r.place_b, r.n) for r in live.collect()] == [("p", "r", 6)]
     batch = live.select("place_a", "place_b", F.lit(0).cast("long").alias("n"))
     assert [r.n for r in incremental.batch_first(batch, live, ["place_a", "place_b"]).collect()] == [0]
+
+
+def test_wide_escapes(spark):
+    text = r"\U0001F3F0 Köln \U00000041\\x"
+    (row,) = readers.ntriples(spark.createDataFrame([(f'<a> <b> "{text}"@en .',)], "value string")).collect()
+    assert row.object == "\U0001f3f0 Köln A\\x" and row.lang == "en"
