@@ -261,7 +261,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     placed = durable(big.join(loads, ["component", "range", "leader"]).join(room, ["component", "range"], "left").select("id", "digest", "component", "range", part.alias("part")))
     # A set goes only where a signature has a partner for it: to the parts of its large groups, and to those of the sets it is counted near to.
     spot = lambda d, p: placed.select(F.col("digest").alias(d), F.col("part").alias(p), F.col("range").alias(f"{p}_range"))
-    met = heavy.select("gid", "digest").join(spot("digest", "p"), "digest")
+    # Groups whose least sets have one leader are taken as one here: what shares a group shares that leader too.
+    tops = leads.select(F.col("digest").alias("gid"), F.col("leader").alias("top"))
+    led_by = heavy.select("gid", "digest").join(tops, "gid").select("digest", F.col("top").alias("gid")).distinct()
+    met = led_by.join(spot("digest", "p"), "digest")
     beside = met.join(met.select("gid", F.col("p").alias("q"), F.col("p_range").alias("q_range")).distinct(), "gid").where(F.abs(F.col("p_range") - F.col("q_range")) <= 1).select("digest", "p", "q")
     both = near.join(spot("a", "p"), "a").join(spot("b", "q"), "b")
     asked = beside.unionByName(both.select(F.col("a").alias("digest"), "p", "q")).unionByName(both.select(F.col("b").alias("digest"), F.col("q").alias("p"), F.col("p").alias("q"))).distinct()
