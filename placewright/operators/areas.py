@@ -284,7 +284,9 @@ def covers(given: DataFrame, id: str, zooms: tuple[int, ...] = COVER_ZOOMS, most
         runs = crossed.select(id, "row", at.alias("at")).groupBy(id, "row").agg(F.array_sort(F.collect_list("at")).alias("xs"))
         pairs = F.transform(F.sequence(F.lit(1), F.size("xs") - 1, F.lit(2)), lambda i: F.struct(F.ceil((F.get("xs", i - 1) + 180) / size - 0.5).alias("a"), (F.ceil((F.get("xs", i) + 180) / size - 0.5) - 1).alias("b")))  # noqa: B023
         fill = runs.where("size(xs) > 1").select(id, "row", F.explode(pairs).alias("p")).where("p.a <= p.b").select(id, F.explode(F.transform(F.sequence("p.a", "p.b"), lambda c: c * F.lit(1 << 29) + F.col("row"))).alias("c"))
-        out = out.unionByName(paths.unionByName(fill).distinct().select(id, (F.lit(z << 58) + F.col("c")).alias("cell")))
+        # Columns beyond the antimeridian go on at the other side.
+        own = F.pmod(F.shiftright("c", 29), F.lit(1 << z)) * F.lit(1 << 29) + F.col("c").bitwiseAND(F.lit((1 << 29) - 1))
+        out = out.unionByName(paths.unionByName(fill).select(id, (F.lit(z << 58) + own).alias("cell")).distinct())
     return out
 
 

@@ -12,8 +12,8 @@ from .views import Views
 
 #: Squares on a corner around each place: all points within r of (x, y) by the sum of the differences, less those within h; some have a second part.
 _SHAPES = """
-own AS (SELECT place_id, lon AS x, lat AS y, 0.5 + (k % 8) * 0.25 AS r, CASE WHEN k % 3 = 0 THEN (0.5 + (k % 8) * 0.25) * (1 + k % 2) * 0.25 ELSE 0 END AS h, k % 4 = 0 AS two FROM p_pt WHERE namespace = 'cu' AND abs(lon) < 160 AND abs(lat) < 70),
-there AS (SELECT place_id AS region, lon + 0.5 AS x, lat - 0.25 AS y, 2.0 + (k % 9) * 0.5 AS r, CASE WHEN k % 2 = 0 THEN (2.0 + (k % 9) * 0.5) * (1 + k % 3) * 0.25 ELSE 0 END AS h, k % 5 = 0 AS two FROM p_pt WHERE namespace = 'su' AND abs(lon) < 160 AND abs(lat) < 70),
+own AS (SELECT place_id, lon AS x, lat AS y, 0.5 + (k % 8) * 0.25 AS r, CASE WHEN k % 3 = 0 THEN (0.5 + (k % 8) * 0.25) * (1 + k % 2) * 0.25 ELSE 0 END AS h, k % 4 = 0 AS two FROM p_pt WHERE namespace = 'cu'),
+there AS (SELECT place_id AS region, lon + 0.5 AS x, lat - 0.25 AS y, 2.0 + (k % 9) * 0.5 AS r, CASE WHEN k % 2 = 0 THEN (2.0 + (k % 9) * 0.5) * (1 + k % 3) * 0.25 ELSE 0 END AS h, k % 5 = 0 AS two FROM p_pt WHERE namespace = 'su'),
 part AS (SELECT place_id, x, y, r, h FROM own UNION ALL SELECT place_id, x + 2.5 * r, y, r / 2, 0 FROM own WHERE two),
 zone AS (SELECT region, x, y, r, h FROM there UNION ALL SELECT region, x + 2.5 * r, y, r / 2, 0 FROM there WHERE two),
 d AS (SELECT p.place_id, z.region, p.x AS px, p.r AS pr, p.h AS ph, z.r AS zr, z.h AS zh, abs(p.x - z.x) + abs(p.y - z.y) AS d FROM part p JOIN zone z ON abs(p.x - z.x) + abs(p.y - z.y) <= p.r + z.r)"""
@@ -31,14 +31,14 @@ def _diamonds(x: Column, y: Column, r: Column, h: Column, two: Column) -> Column
 
 def candidates(v: Views) -> DataFrame:
     k = F.col("k")
-    own = v.p_pt.where("namespace = 'cu' and abs(lon) < 160 and abs(lat) < 70").withColumn("r", 0.5 + (k % 8) * 0.25).withColumn("h", F.when(k % 3 == 0, F.col("r") * (1 + k % 2) * 0.25).otherwise(0.0))
+    own = v.p_pt.where("namespace = 'cu'").withColumn("r", 0.5 + (k % 8) * 0.25).withColumn("h", F.when(k % 3 == 0, F.col("r") * (1 + k % 2) * 0.25).otherwise(0.0))
     # A point between the hole and the outer ring.
     return own.select("place_id", F.lit("area").alias("kind"), _diamonds(F.col("lon"), F.col("lat"), F.col("r"), F.col("h"), k % 4 == 0).alias("rings"), (F.col("lon") + (F.col("r") + F.col("h")) / 2).alias("x"), F.col("lat").alias("y"))
 
 
 def zones(v: Views) -> DataFrame:
     k = F.col("k")
-    there = v.p_pt.where("namespace = 'su' and abs(lon) < 160 and abs(lat) < 70").withColumn("x", F.col("lon") + 0.5).withColumn("y", F.col("lat") - 0.25)
+    there = v.p_pt.where("namespace = 'su'").withColumn("x", F.col("lon") + 0.5).withColumn("y", F.col("lat") - 0.25)
     return there.select(F.col("place_id").alias("region"), _diamonds(F.col("x"), F.col("y"), 2.0 + (k % 9) * 0.5, F.when(k % 2 == 0, (2.0 + (k % 9) * 0.5) * (1 + k % 3) * 0.25).otherwise(0.0), k % 5 == 0).alias("rings"))
 
 
@@ -97,15 +97,15 @@ def nation_hulls(v: Views) -> DataFrame:
 
 
 # A ring that goes up both sides of a strip crosses itself in the middle, or nowhere.
-@query("SELECT DISTINCT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_quantity::INT) AS id, CASE WHEN l_linenumber % 2 = 0 THEN 2 ELSE 1 END::BIGINT AS rings, CASE WHEN l_linenumber % 2 = 0 THEN l_quantity / 4 ELSE l_quantity / 2 END AS area FROM lineitem WHERE l_orderkey % 7 = 0")
+@query("SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN 2 ELSE 1 END::BIGINT AS rings, (CASE WHEN c_custkey % 2 = 0 THEN 0.25 ELSE 0.5 END * (1 + c_custkey % 50))::DOUBLE AS area FROM customer")
 def repaired_strips(v: Views) -> DataFrame:
-    """Strips of a line's quantity in halves of a degree wide, each second one with two corners swapped: a bow-tie has half the area."""
-    w, bow = F.col("l_quantity") / 2, F.col("l_linenumber") % 2 == 0
+    """Strips of different widths, each second one with two corners swapped: a bow-tie has half the area."""
+    k = F.col("c_custkey")
+    w, bow = (1 + k % 50) / 2, k % 2 == 0
     at = lambda x, y: shapes.point(x, F.lit(y))
     top = F.when(bow, F.array(at(F.lit(0.0), 1.0), at(w, 1.0))).otherwise(F.array(at(w, 1.0), at(F.lit(0.0), 1.0)))
     ring = F.concat(F.array(at(F.lit(0.0), 0.0), at(w, 0.0)), top, F.array(at(F.lit(0.0), 0.0)))
-    lines = v.lineitem.where("l_orderkey % 7 = 0").select(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("int")).alias("id"), F.array(ring).alias("rings"))
-    return areas.repaired(lines, "id").select("id", F.size("rings").cast("long").alias("rings"), F.round("area", 6).alias("area"))
+    return areas.repaired(v.customer.select(k.alias("id"), F.array(ring).alias("rings")), "id").select("id", F.size("rings").cast("long").alias("rings"), F.round("area", 6).alias("area"))
 
 
 _SIDE = 360 / (1 << 9)
@@ -114,7 +114,7 @@ _SIDE = 360 / (1 << 9)
 # Cells that a square on a corner meets, but for those that lie whole in its hole. No corner of a cell lies on a side.
 @query(f"""
 WITH {_SHAPES}, one AS (SELECT place_id, x + 0.0078125 AS x, y, r, h, 9 AS z FROM part),
-cell AS (SELECT DISTINCT place_id, c, w FROM one, unnest(range(floor((x - r + 180) / {_SIDE})::BIGINT, floor((x + r + 180) / {_SIDE})::BIGINT + 1)) t(c), unnest(range(floor((y - r + 90) / {_SIDE})::BIGINT, floor((y + r + 90) / {_SIDE})::BIGINT + 1)) u(w)
+cell AS (SELECT DISTINCT place_id, ((c % 512) + 512) % 512 AS c, w FROM one, unnest(range(floor((x - r + 180) / {_SIDE})::BIGINT, floor((x + r + 180) / {_SIDE})::BIGINT + 1)) t(c), unnest(range(floor((y - r + 90) / {_SIDE})::BIGINT, floor((y + r + 90) / {_SIDE})::BIGINT + 1)) u(w)
   WHERE greatest(c * {_SIDE} - 180 - x, x - (c + 1) * {_SIDE} + 180, 0) + greatest(w * {_SIDE} - 90 - y, y - (w + 1) * {_SIDE} + 90, 0) <= r
     AND greatest(abs(c * {_SIDE} - 180 - x), abs((c + 1) * {_SIDE} - 180 - x)) + greatest(abs(w * {_SIDE} - 90 - y), abs((w + 1) * {_SIDE} - 90 - y)) >= h)
 SELECT place_id, count(*) AS cells, sum(c)::BIGINT AS columns, sum(w)::BIGINT AS rows FROM cell GROUP BY place_id""")
@@ -122,7 +122,7 @@ def covered_areas(v: Views) -> DataFrame:
     """Covers of areas with holes and second parts, all at one zoom."""
     moved = candidates(v).withColumn("rings", F.transform("rings", lambda g: F.transform(g, lambda p: shapes.point(p["x"] + 0.0078125, p["y"]))))
     out = areas.covers(moved, "place_id", (9,))
-    return out.groupBy("place_id").agg(F.count("*").alias("cells"), F.sum(space.x_of(F.col("cell")).bitwiseAND((1 << 29) - 1)).alias("columns"), F.sum(space.y_of(F.col("cell"))).alias("rows"))
+    return out.groupBy("place_id").agg(F.count("*").alias("cells"), F.sum(space.x_of(F.col("cell"))).alias("columns"), F.sum(space.y_of(F.col("cell"))).alias("rows"))
 
 
 # Boxes of halves of degrees against boxes of four: what each pair shares, and its part of the place.
