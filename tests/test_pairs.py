@@ -81,3 +81,10 @@ def test_overlap_of_ranges(spark):
     for (a, b), (c, d), want in cases:
         t = spark.createDataFrame([(a, b, c, d)], "a long, b long, c long, d long").select(temporal.overlap(F.col("a"), F.col("b"), F.col("c"), F.col("d")).alias("o")).first().o
         assert abs(t - want) < 1e-9
+
+
+def test_winkler_halves_are_whole_and_low_values_are_not_raised(spark):
+    # Three matches out of order are one exchange; a shared beginning counts above 0.7 only.
+    pairs_ = {("abcxyz", "bcaxyz"): (1 + 1 + 5 / 6) / 3, ("abqrst", "abuvwx"): (2 / 6 + 2 / 6 + 1) / 3}
+    got = spark.createDataFrame(list(pairs_), "a string, b string").select("a", "b", script.jaro_winkler(F.col("a"), F.col("b")).alias("j")).collect()
+    assert len(got) == 2 and all(abs(r.j - pairs_[r.a, r.b]) < 1e-12 for r in got)
