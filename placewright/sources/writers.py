@@ -36,7 +36,7 @@ def repair_points(docs: DataFrame) -> tuple[DataFrame, Column]:
     """Longitudes folded into [-180, 180) and points beyond the poles dropped; with them, the condition that a row changed."""
     out = docs.withColumns({"_lon": F.col("lon"), "_lat": F.col("lat")})
     off = F.abs("_lat") > 90
-    out = out.withColumns({"lon": F.when(~F.coalesce(off, F.lit(False)), space.wrap_longitude(F.col("_lon"))), "lat": F.when(~F.coalesce(off, F.lit(False)), F.col("_lat"))})
+    out = out.withColumns({"lon": F.when(~F.coalesce(off, F.lit(False)), F.when(F.col("_lon") == 180, -180.0).otherwise(space.wrap_longitude(F.col("_lon")))), "lat": F.when(~F.coalesce(off, F.lit(False)), F.col("_lat"))})
     changed = ~(F.col("lon").eqNullSafe(F.col("_lon")) & F.col("lat").eqNullSafe(F.col("_lat")))
     return out, changed
 

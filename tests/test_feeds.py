@@ -82,3 +82,9 @@ def test_wide_escapes(spark):
     text = r"\U0001F3F0 Köln \U00000041\\x"
     (row,) = readers.ntriples(spark.createDataFrame([(f'<a> <b> "{text}"@en .',)], "value string")).collect()
     assert row.object == "\U0001f3f0 Köln A\\x" and row.lang == "en"
+
+
+def test_the_antimeridian_is_repaired_to_its_western_side(spark):
+    given = spark.createDataFrame([("a", 180.0, 10.0), ("b", -180.0, 10.0), ("c", 181.0, 95.0), ("d", None, None)], "place_id string, lon double, lat double")
+    out, changed = writers.repair_points(given)
+    assert {r.place_id: (r.lon, r.lat) for r in out.where(changed).collect()} == {"a": (-180.0, 10.0), "c": (None, None)}
