@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import shapes, space
+from .distinct import classed, computed_once, expanded
 from .durable import durable
 
 #: Zoom of the cells in which edges meet, and in whose rows rays run: some 0.7 degrees.
@@ -122,8 +123,14 @@ def matches(candidates: DataFrame, regions: DataFrame, relation: str = "intersec
     """(place_id, region) of candidates (place_id, kind, rings, x, y) that intersect a region (region, rings), or lie within it.
 
     x and y are a point of the candidate. A candidate without rings is that point; without both it matches nothing. Touching is
-    intersecting; what lies within has no part outside and some part in the region's interior.
+    intersecting; what lies within has no part outside and some part in the region's interior. Equal shapes are tested once.
     """
+    ones, own = classed(candidates, "place_id", "kind", "rings", "x", "y")
+    zones, there = classed(regions, "region", "rings")
+    return expanded(durable(_matches(ones, zones, relation)), own, there)
+
+
+def _matches(candidates: DataFrame, regions: DataFrame, relation: str) -> DataFrame:
     alone = F.array(F.array(shapes.point(F.col("x"), F.col("y"))))
     bare = F.coalesce(F.size("rings"), F.lit(0)) <= 0
     given = candidates.where(~bare | F.col("x").isNotNull() & F.col("y").isNotNull()).select(
@@ -245,8 +252,15 @@ def hulled(points: DataFrame, key: str, parts: int = 64) -> DataFrame:
 
 
 def repaired(given: DataFrame, id: str) -> DataFrame:
-    """(id, area, rings) of shapes (id, rings) whose rings may cross themselves or each other: what an odd number of them surrounds, in rings that don't. A bow-tie becomes two."""
-    return dissolved(given, id)
+    """(id, area, rings) of shapes (id, rings) whose rings may cross themselves or each other: what an odd number of them surrounds, in rings that don't. A bow-tie becomes two. Equal shapes are repaired once."""
+    shape = given.groupBy(id).agg(F.array_sort(F.collect_set("rings")).alias("all"))
+    ones, own = classed(shape, id, "all")
+    return expanded(durable(dissolved(ones.select(id, F.explode("all").alias("rings")), id)), own)
+
+
+def anchored(given: DataFrame, id: str, tolerance: float = 0.01) -> DataFrame:
+    """given (id, rings, more) with `at`, shapes.anchor() of its rings: equal shapes have it found once, and tasks share the distinct ones."""
+    return computed_once(given, F.col("rings"), lambda r: shapes.anchor(r, tolerance), "at")
 
 
 #: Zooms of covers, the finest first; cells that a cover may have; how far around a line its cover reaches, in degrees.
@@ -258,8 +272,13 @@ def covers(given: DataFrame, id: str, zooms: tuple[int, ...] = COVER_ZOOMS, most
 
     All parts and holes count. Where an area has a hull, that is covered in its stead. A line is covered with LINE_REACH around it. A shape smaller
     than a cell of the finest zoom, a point, and one without rings have the cell of (x, y), if these are known. Sides are dealt to the cells on
-    their path; a row of cells is filled between every second and next crossing of its middle.
+    their path; a row of cells is filled between every second and next crossing of its middle. Equal shapes are covered once.
     """
+    ones, own = classed(given, id, "kind", "rings", "x", "y", *(["hull"] if "hull" in given.columns else []))
+    return expanded(durable(_covers(ones, id, zooms, most)), own)
+
+
+def _covers(given: DataFrame, id: str, zooms: tuple[int, ...], most: int) -> DataFrame:
     own = F.when((F.col("kind") == "area") & (F.coalesce(F.size("hull"), F.lit(0)) > 0), F.col("hull")).otherwise(F.col("rings")) if "hull" in given.columns else F.col("rings")
     base = given.select(id, "kind", own.alias("rings"), "x", "y")
     w, s, e, n = shapes.box(F.col("rings"))
@@ -294,8 +313,14 @@ def overlaps(candidates: DataFrame, regions: DataFrame) -> DataFrame:
     """(place_id, region, area) of areas (place_id, rings) and regions (region, rings) that share some: in square degrees, by the shapes themselves.
 
     What two shapes share is bounded by the sides of each that lie in the other, and by those that both have in one direction. Outer rings
-    must run counter-clockwise and holes clockwise, as those of dissolved() and repaired() do.
+    must run counter-clockwise and holes clockwise, as those of dissolved() and repaired() do. Equal shapes are measured once.
     """
+    ones, members = classed(candidates, "place_id", "rings")
+    zones, holders = classed(regions, "region", "rings")
+    return expanded(durable(_overlaps(ones, zones)), members, holders)
+
+
+def _overlaps(candidates: DataFrame, regions: DataFrame) -> DataFrame:
     own, there = candidates.select("place_id", "rings"), regions.select("region", "rings")
     near = own.select("place_id", F.explode(box_cells(F.col("rings"), COARSE)).alias("cell")).join(there.select("region", F.explode(box_cells(F.col("rings"), COARSE)).alias("cell")), "cell")
     pairs = durable(near.select("place_id", "region").distinct())
