@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import project, shapes
-from ..operators import hierarchy, sketches, stages
+from ..operators import areas, hierarchy, sketches, stages
 from ..operators.durable import shared_folder
 from ..operators.within import distance_to
 from ..sources import loads, readers, writers
@@ -62,7 +62,7 @@ def label_anchors(v: Views) -> DataFrame:
     cut = F.least(w, h) * 0.1
     five = F.array(shapes.point(x, y), shapes.point(x + w, y), shapes.point(x + w, y + h - cut), shapes.point(x + w - cut, y + h), shapes.point(x, y + h), shapes.point(x, y))
     rings = F.when(k % 3 == 0, F.array(five)).otherwise(shapes.rectangle(x, y, x + w, y + h))
-    at = v.customer.select(k.alias("id"), rings.alias("rings")).withColumn("at", shapes.anchor(F.col("rings"), 0.004))
+    at = areas.anchored(v.customer.select(k.alias("id"), rings.alias("rings")), "id", 0.004)
     return at.select("id", F.round("at.distance", 2).alias("room"), shapes.contains(F.col("rings"), F.col("at.x"), F.col("at.y")).alias("inside"))
 
 
