@@ -88,3 +88,20 @@ def test_winkler_halves_are_whole_and_low_values_are_not_raised(spark):
     pairs_ = {("abcxyz", "bcaxyz"): (1 + 1 + 5 / 6) / 3, ("abqrst", "abuvwx"): (2 / 6 + 2 / 6 + 1) / 3}
     got = spark.createDataFrame(list(pairs_), "a string, b string").select("a", "b", script.jaro_winkler(F.col("a"), F.col("b")).alias("j")).collect()
     assert len(got) == 2 and all(abs(r.j - pairs_[r.a, r.b]) < 1e-12 for r in got)
+
+
+def test_negatives_of_a_bucket_aren_t_crossed(spark, monkeypatch):
+    # 400 names of one beginning, two of which share a place: each gets a stranger, and no more than eight a name are looked at.
+    rows = [(f"p{i // 2}", f"name{i:03}@en", f"name{i:03}", "LATIN", "en") for i in range(400)] + [("q", "other@en", "other", "LATIN", "en")]
+    names = spark.createDataFrame(rows, "place_id string, toponym_id string, name string, script string, lang string")
+    place = {r[1]: r[0] for r in rows}
+    seen = []
+    monkeypatch.setattr(pairs, "durable", lambda df, *a: seen.append(df) or df)
+    got = pairs.bucket_negatives(names, 4).collect()
+    assert {r.toponym_id for r in got} == set(place) - {"other@en"} and all(place[r.toponym_id] != place[r.negative] for r in got)
+    tried = [df.count() for df in seen if df.columns == ["anchor", "step", "negative"]]
+    assert tried and max(tried) <= 8 * 400
+    # An anchor's only stranger being the positive, it has no negative; with two, the other.
+    few = spark.createDataFrame([("p", "a@en", "a", "LATIN", "en"), ("q", "b@en", "b", "LATIN", "en"), ("r", "c@en", "c", "LATIN", "en")], names.schema)
+    p = spark.createDataFrame([("a@en", "b@en"), ("a@en", "c@en")], "toponym_id_a string, toponym_id_b string")
+    assert {tuple(r) for r in pairs.triplets(p, few, hard=False).collect()} == {("a@en", "b@en", "c@en"), ("a@en", "c@en", "b@en")}
