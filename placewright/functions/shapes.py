@@ -269,12 +269,8 @@ def geojson(rings: Column) -> Column:
 
 def ewkb_point(text: Column) -> Column:
     """(lon, lat), to six places, of a point's extended well-known binary in hexadecimal digits; null for anything else."""
-    raw = F.upper(text)
-    little = F.startswith(raw, F.lit("01"))
-    turned = lambda h: F.array_join(F.reverse(F.filter(F.split(h, "(?<=\\G..)"), lambda b: b != "")), "")
-    order = lambda h: F.when(little, turned(h)).otherwise(h)
-    kind = F.conv(order(F.substring(raw, 3, 8)), 16, 10).cast("long")
-    at = F.when(F.floor(kind / (1 << 29)) % 2 == 1, 19).otherwise(11)
+    turned = lambda h, n: F.regexp_replace(h, "(..)" * (n // 2), "".join(f"${k}" for k in range(n // 2, 0, -1)))
+    order = lambda raw, h, n: F.when(F.startswith(raw, F.lit("01")), turned(h, n)).otherwise(h)
 
     def number(h: Column) -> Column:
         """A double of sixteen digits, highest first: sign, exponent, fraction."""
@@ -288,9 +284,18 @@ def ewkb_point(text: Column) -> Column:
 
         return once(F.struct(half(1).alias("top"), half(9).alias("low")), read)
 
-    value = lambda i: F.round(once(order(F.substring(raw, at + 16 * i, F.lit(16))), number), 6)
-    fine = raw.rlike("^0[01][0-9A-F]{40,}$") & (kind % 256 == 1) & (F.length(raw) >= at + 31)
-    return F.when(fine, F.struct(value(0).alias("lon"), value(1).alias("lat")))
+    def parts(raw: Column) -> Column:
+        """The text, its kind and where its first number begins."""
+        kind = F.conv(order(raw, F.substring(raw, 3, 8), 8), 16, 10).cast("long")
+        return F.struct(raw.alias("raw"), kind.alias("kind"), F.when(F.floor(kind / (1 << 29)) % 2 == 1, 19).otherwise(11).alias("at"))
+
+    def read_all(x: Column) -> Column:
+        value = lambda i: F.round(once(order(x["raw"], F.substring(x["raw"], x["at"] + 16 * i, F.lit(16)), 16), number), 6)
+        fine = x["raw"].rlike("^0[01][0-9A-F]{40,}$") & (x["kind"] % 256 == 1) & (F.length(x["raw"]) >= x["at"] + 31)
+        return F.when(fine, F.struct(value(0).alias("lon"), value(1).alias("lat")))
+
+    # Each step is computed once a row, however often the next one names it.
+    return once(once(F.upper(text), parts), read_all)
 
 
 def label_centre(lon: Column, lat: Column, text: Column, width: float, height: float) -> Column:
