@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import shapes, space
 from ..operators import stages, within
+from ..operators.distinct import computed_once
 from .queries import query
 from .views import Views
 
@@ -69,8 +70,9 @@ def region_measures(v: Views) -> DataFrame:
 def hulls(v: Views) -> DataFrame:
     e = F.when(F.col("user_id") % 2 == 0, 2.0).otherwise(3.0)
     pts = [(F.lit(0.0), F.lit(0.0)), (e, F.lit(4.0)), (F.lit(1.0), F.lit(1.0)), (F.lit(0.0), F.lit(4.0)), (e, F.lit(0.0)), (e / 2, F.lit(2.0)), (F.lit(0.0), F.lit(2.0))]
-    ring = shapes.hull(F.array(*(shapes.point(x, y) for x, y in pts)))
-    return v.events.select("event_id", (F.size(ring) - 1).cast("long").alias("corners"), shapes.signed_area(ring).alias("area"), shapes.contains(F.array(ring), F.lit(2.5), F.lit(1.0)).alias("inside"))
+    of = lambda ring: F.struct((F.size(ring) - 1).cast("long").alias("corners"), shapes.signed_area(ring).alias("area"), shapes.contains(F.array(ring), F.lit(2.5), F.lit(1.0)).alias("inside"))
+    given = v.events.select("event_id", F.array(*(shapes.point(x, y) for x, y in pts)).alias("points"))
+    return computed_once(given, F.col("points"), lambda p: shapes.once(shapes.hull(p), of), "h").select("event_id", "h.*")
 
 
 @query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 2 ELSE 1 END AS parts, event_id % 3 = 0 AS crosses, 20.0::DOUBLE AS area FROM events")
