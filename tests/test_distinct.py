@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from placewright.functions import shapes
-from placewright.operators import areas, distinct
+from placewright.functions import shapes, space
+from placewright.operators import areas, distinct, graph, pairs, within
 
 
 def squares(spark, n, id, size):
@@ -55,3 +55,62 @@ def test_values_are_computed_once(spark):
     rows = spark.range(100).select("id", F.when(F.col("id") % 4 > 0, F.col("id") % 4).alias("k"))
     got = distinct.computed_once(rows, F.col("k"), twice, "two").collect()
     assert len(got) == 100 and all(r.two == (2 * r.k if r.k is not None else None) for r in got) and calls.value == 4
+
+
+def test_pairs_of_a_key_are_shared_by_tasks(spark):
+    # One record of 60 places in three sources: no task makes more than half of the pairs.
+    rows = spark.createDataFrame([(1, f"{'abc'[i % 3]}:{i}", i != 7) for i in range(60)], "record int, place_id string, exact boolean")
+    made = pairs.record_links(rows).withColumn("task", F.spark_partition_id()).collect()
+    own = [(r.place_id, r.exact) for r in rows.collect()]
+    want = {(a, b, "sameAs" if x and y else "closeMatch") for a, x in own for b, y in own if a < b and a[0] != b[0]}
+    assert {(r.place_a, r.place_b, r.relation_type) for r in made} == want and len(made) == len(want)
+    tasks = [r.task for r in made]
+    assert max(tasks.count(t) for t in set(tasks)) <= len(made) / 2
+
+
+def test_points_of_one_position_are_measured_once(spark, monkeypatch):
+    seen = []
+
+    def counted(points, *more, of=graph._spots_within):
+        seen.append(points.count())
+        return of(points, *more)
+
+    monkeypatch.setattr(graph, "_spots_within", counted)
+    at = spark.range(12).select(F.concat(F.lit("p"), F.col("id").cast("string")).alias("place_id"), (F.col("id") % 3 * 0.2).alias("lon"), F.lit(1.0).alias("lat"))
+    got = {(r.place_id, r.other): r.km for r in graph.pairs_within(at, 30, space.haversine_km).collect()}
+    lon = {f"p{i}": i % 3 for i in range(12)}
+    assert set(got) == {(a, b) for a in lon for b in lon if a < b and abs(lon[a] - lon[b]) < 2} and seen == [3]
+    assert all((km == 0) == (lon[a] == lon[b]) for (a, b), km in got.items())
+
+
+def test_nearest_looks_at_each_point_once(spark, monkeypatch):
+    seen = []
+
+    def counted(queries, sites, *more, of=within._nearest):
+        seen.append((queries.count(), sites.count()))
+        return of(queries, sites, *more)
+
+    monkeypatch.setattr(within, "_nearest", counted)
+    queries = spark.range(6).select(F.concat(F.lit("q"), F.col("id").cast("string")).alias("query"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+    sites = spark.range(50).select(F.format_string("s%02d", "id").alias("site"), F.when(F.col("id") < 48, 1.0).otherwise(0.5).alias("lon"), F.lit(0.0).alias("lat"))
+    got = within.nearest(queries, sites, 3).orderBy("query", "rank").collect()
+    assert [r.site for r in got] == ["s48", "s49", "s00"] * 6 and seen == [(1, 5)]
+
+
+def test_codes_are_gathered_once_a_cell(spark):
+    places = spark.createDataFrame([("a", [1, 2]), ("b", [1, 2]), ("c", [3]), ("d", None), ("e", [2])], "place_id string, cells array<long>")
+    coverage = spark.createDataFrame([(1, "x"), (1, "y"), (2, "x"), (2, "w"), (4, "v")], "cell long, code string")
+    out = within.coded(places, "cells", coverage)
+    assert {r.place_id: r.codes for r in out.collect()} == {"a": ["w", "x", "y"], "b": ["w", "x", "y"], "e": ["w", "x"]}
+    assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()  # no place is grouped
+
+
+def test_kinds_of_points_of_both_orders(spark):
+    import struct
+
+    def one(order, kind, more, x, y):
+        return (struct.pack(order + "bI", order == "<", kind) + more + struct.pack(order + "dd", x, y)).hex() if order == ">" else (b"\x01" + struct.pack("<I", kind) + more + struct.pack("<dd", x, y)).hex()
+
+    given = [one("<", 1, b"", 1.5, -2.25), one("<", 1 | 1 << 29, struct.pack("<I", 4326), -180.0, 0.0), "00" + struct.pack(">I", 1).hex() + struct.pack(">dd", 3.5, 89.125).hex(), one("<", 2, b"", 1.0, 1.0), "zz", None]
+    got = spark.createDataFrame([(i, g) for i, g in enumerate(given)], "i int, g string").select("i", shapes.ewkb_point(F.col("g")).alias("p")).orderBy("i").collect()
+    assert [r.p and tuple(r.p) for r in got] == [(1.5, -2.25), (-180.0, 0.0), (3.5, 89.125), None, None, None]
