@@ -25,7 +25,7 @@ def dense(points: DataFrame, km: float, core: int = 2) -> DataFrame:
     own = points.where("lon is not null and lat is not null").withColumn("grp", F.coalesce(F.col("grp").cast("string"), F.lit("")))
     spots = durable(own.groupBy("grp", "lon", "lat").agg(F.count("*").alias("weight"), F.min("place_id").alias("spot")))
     key = F.struct("grp", "spot")
-    near = durable(graph.pairs_within(spots.select(key.alias("place_id"), "lon", "lat", "grp"), km, space.haversine_km, by="grp"))
+    near = durable(graph._spots_within(spots.select(key.alias("place_id"), "lon", "lat", "grp"), km, space.haversine_km, by="grp"))
     both = near.select(F.col("place_id").alias("a"), F.col("other").alias("b"), "km").unionByName(near.select(F.col("other").alias("a"), F.col("place_id").alias("b"), "km"))
     weights = spots.select(key.alias("id"), "weight")
     reached = both.join(weights.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.sum("weight").alias("more"))

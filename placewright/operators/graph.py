@@ -78,7 +78,8 @@ def pairs_within(points: DataFrame, km: float, distance, by: str | None = None)
     return here.where(F.col("km") <= km).select("place_id", "other", "km").unionByName(there)
 
 
-def _spots_within(points: DataFrame, km: float, distance, by: str | None) -> DataFrame:
+def _spots_within(points: DataFrame, km: float, distance, by: str | None = None) -> DataFrame:
+    """pairs_within() of points no two of which have one position. A point is sent to the cells around it; these copies are dealt to tasks whose number doesn't shrink with their compressed bytes, and never broadcast."""
     step = km / 111.0 * 1.01
     row = F.floor(F.col("lat") / step)
     spread = lambda r: F.least(F.lit(360.0), step / F.greatest(F.lit(1e-3), F.cos(F.radians(F.least(F.lit(89.9), (F.abs(r) + 2) * step)))))
@@ -88,7 +89,9 @@ def _spots_within(points: DataFrame, km: float, distance, by: str | None) -> Dat
     own = [by] if by else []
     other = points.select(F.col("place_id").alias("other"), F.col("lon").alias("lon2"), F.col("lat").alias("lat2"), row.alias("r2"), *own)
     other = other.withColumn("c2", col(F.col("lon2"), F.col("r2")))
-    pairs = around.join(other, ["r2", "c2", *own]).where(F.col("place_id") < F.col("other"))
+    tasks = max(64, 16 * points.sparkSession.sparkContext.defaultParallelism)
+    cell = ["r2", "c2", *own]
+    pairs = around.repartition(tasks, *cell).hint("merge").join(other.repartition(tasks, *cell), cell).where(F.col("place_id") < F.col("other"))
     return pairs.withColumn("km", distance(F.col("lon"), F.col("lat"), F.col("lon2"), F.col("lat2"))).where(F.col("km") <= km).select("place_id", "other", "km")
 
 
