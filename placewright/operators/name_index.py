@@ -23,17 +23,21 @@ def bucket_of(key: Column, buckets: int = BUCKETS) -> Column:
 
 def append(names: DataFrame, path: str, buckets: int = BUCKETS) -> None:
     """Writes names (toponym_id, name) behind those of an index, or begins one. Names without an id or a text are left out."""
-    given = names.where("toponym_id is not null and name is not null").select("toponym_id", "name").distinct().withColumn("folded", script.fold(F.col("name")))
-    words = text.tokens(F.col("folded"))
+    # Cutting names takes time, not bytes: a fixed number of tasks share it, however few the bytes.
+    tasks = 4 * names.sparkSession.sparkContext.defaultParallelism
+    given = names.where("toponym_id is not null and name is not null").select("toponym_id", "name").distinct().repartition(tasks, "toponym_id")
+    words, folded = F.col("words"), F.col("folded")
     edge = lambda t: script.edge_ngrams(t, 1, EDGE)
     post = lambda kind, gram, word: F.struct(F.lit(kind).alias("kind"), gram.alias("gram"), word.alias("word"))
     none = F.lit(None).cast("string")
-    each = F.array_distinct(F.concat(
-        F.transform(F.flatten(F.transform(F.array_append(words, F.col("folded")), edge)), lambda g: post("edge", g, none)),
-        F.transform(F.concat(text.ngrams(F.col("folded"), 2), text.ngrams(F.col("folded"), 3)), lambda g: post("gram", g, none)),
+    cut = given.withColumn("folded", script.fold(F.col("name"))).withColumn("words", F.array_distinct(text.tokens(F.col("folded"))))
+    # Texts are made distinct kind by kind, by hash; rows of several columns would be compared pair by pair.
+    each = F.concat(
+        F.transform(F.array_distinct(F.flatten(F.transform(F.array_append(words, folded), edge))), lambda g: post("edge", g, none)),
+        F.transform(F.array_distinct(F.concat(text.ngrams(folded, 2), text.ngrams(folded, 3))), lambda g: post("gram", g, none)),
         F.transform(words, lambda w: post("word", F.left(w, F.lit(2)), w)),
-    ))
-    rows = given.select("toponym_id", F.explode(each).alias("p")).select("p.*", "toponym_id")
+    )
+    rows = cut.select("toponym_id", F.explode(each).alias("p")).select("p.*", "toponym_id")
     rows = rows.withColumn("bucket", bucket_of(F.col("gram"), buckets)).withColumn("size", F.length("word"))
     # Large buckets are split over tasks, small ones share them.
     rows.hint("rebalance", "kind", "bucket").sortWithinPartitions("kind", "bucket", "gram").write.mode("append").partitionBy("kind", "bucket").parquet(f"{path}/postings")
@@ -47,9 +51,9 @@ def postings(spark: SparkSession, path: str, kind: str, grams: list[str], bucket
 
 
 def named(spark: SparkSession, path: str, found: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """found (toponym_id, ...) with names, from the buckets that its ids fall in."""
+    """found (toponym_id, ...), a row for each id, with names, from the buckets that its ids fall in; a name appended again is one, once it is found."""
     keyed = found.withColumn("bucket", bucket_of(F.col("toponym_id"), buckets))
-    return spark.read.parquet(f"{path}/names").distinct().join(keyed, ["bucket", "toponym_id"]).drop("bucket")
+    return spark.read.parquet(f"{path}/names").join(keyed, ["bucket", "toponym_id"]).distinct().drop("bucket")
 
 
 def folded(spark: SparkSession, query: str) -> str:
