@@ -44,7 +44,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def substring_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of 13-word windows that an earlier document holds go; a document left without words goes with them, a changed one gets its kept text."""
-    given = whole(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "doc")
+    others = [F.col("doc").getField(c).alias(c) for c in docs.columns if c != "text"]  # a text travels once
+    given = whole(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.struct(*others).alias("doc"))
     left = duplicated_words(given, window=13, columns=["doc"]).where("n_words > n_removed")
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     new = {"text": text, "n_chars": F.length(text).cast("long")}

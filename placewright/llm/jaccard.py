@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.durable import durable, star_components
-from .spread import Unions, binaries, by_bucket, narrow, pack, sizes, small_batches, unpack
+from ..operators.durable import durable, remove, star_components
+from .spread import Unions, binaries, by_bucket, filter_of, narrow, pack, passing, place_in_filter, sizes, small_batches, unpack
 from .words import GOLD, M1, mix, shingle_sets, slices, words
 
 FLUSH = 500_000
@@ -201,6 +201,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 
     def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(passing(wanted.value, batch["at"].to_numpy())))
             raw = batch["text"].cast(pa.large_binary()).to_pylist()
             z = [None if x is None else pa.compress(x, codec="zstd", asbytes=True) for x in raw]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([len(x or b"") for x in raw], pa.int64()), pa.array(z, pa.binary())], ["doc_id", "size", "z"])
@@ -270,7 +271,12 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     asked = beside.unionByName(both.select(F.col("a").alias("digest"), "p", "q")).unionByName(both.select(F.col("b").alias("digest"), F.col("q").alias("p"), F.col("p").alias("q"))).distinct()
     dealt = asked.join(placed.select("digest", "id", "component"), "digest").groupBy("id", "digest", F.col("p").alias("part")).agg(F.collect_list(task(F.least("p", "q"), F.greatest("p", "q"))).alias("tasks"))
     sent = durable(small.unionByName(dealt.select(small.columns)))
-    zipped = texts.mapInArrow(shrink, "doc_id long, size long, z binary")
+    for t in (groups, leads, near, members, placed):
+        remove(t)
+    # Texts of sets that go nowhere stay where they are, but for those that the filter passes by chance; the join is exact.
+    words_, bits = filter_of(sent, "id")
+    wanted = docs.sparkSession.sparkContext.broadcast(words_)
+    zipped = texts.where("doc_id is not null").withColumn("at", place_in_filter("doc_id", bits)).mapInArrow(shrink, "doc_id long, size long, z binary")
     sets = zipped.join(sent.select(F.col("id").alias("doc_id"), F.col("digest").alias("wanted"), "part", "tasks").hint("merge"), "doc_id")  # the same plan at every size
     kinds = "doc_id long, digest long, wanted long, part long, tasks array<struct<x:long,y:long,c:long>>, elements binary"
     dealt = sets.mapInArrow(to_sets, kinds).where("digest = wanted").select("doc_id", "part", "elements", F.explode("tasks").alias("task"))

@@ -15,6 +15,8 @@ from ..operators.durable import durable
 from .words import slices
 
 GROUP_BYTES = 4 << 20
+#: Bits of a filter of ids, at most: 4 MB.
+FILTER_BITS = 1 << 25
 BUCKET_BYTES = 8 << 20
 
 
@@ -50,6 +52,24 @@ def group_of(n: int, *columns: str) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
 
 
+def place_in_filter(column: str, bits: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(bits))
+
+
+def filter_of(ids: DataFrame, column: str) -> tuple[np.ndarray, int]:
+    """Words of a filter that every value of the column passes, and its bits: some eight for each row, FILTER_BITS at most. About an eighth of other values pass too, more if there are many rows."""
+    bits = min(FILTER_BITS, max(1 << 16, 1 << (8 * ids.count()).bit_length()))
+    at = ids.select(place_in_filter(column, bits).alias("h"))
+    got = at.groupBy(F.shiftright("h", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("v")).toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[got["w"].to_numpy()] = got["v"].to_numpy()
+    return out.view(np.uint64), bits
+
+
+def passing(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (words[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+
+
 def text_groups(rows: DataFrame) -> DataFrame:
     """(g, n_bytes, data): consecutive rows with about GROUP_BYTES of `text` each, as a compressed Arrow stream, written so that a group stays as it is.
 
@@ -132,11 +152,13 @@ def binaries(column: pa.ChunkedArray) -> list[bytes]:
 
 def by_bucket(bucket: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """(bucket, rows in order) of every bucket with rows."""
-    if len(bucket) and int(bucket.max()) < 65536:
+    if not len(bucket):
+        return []
+    if int(bucket.max()) < 65536:
         bucket = bucket.astype(np.uint16)  # sorted by digits
     order = np.argsort(bucket, kind="stable")
     own = bucket[order]
-    heads = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else np.zeros(0, np.int64)
+    heads = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
     return [(int(own[a]), order[a:b]) for a, b in zip(heads, [*heads[1:], len(own)], strict=True)]
 
 
