@@ -7,6 +7,10 @@ difference, and two of its three parts are equal: these subsets of two are enume
 their elements (all elements, where k is 0). Empty subsets sign only for a set too thin to be found without them. So no
 similar pair is lost.
 
+Two sets differ no more if elements are left out of both. So elements of many sets, as of a common line, don't sign where a set
+has enough others that k differences can't hide it; else it signs by the others and by all, and two such sets meet by the latter.
+Which elements are left out changes what is compared, never what is linked.
+
 Equal sets are one class from the start. Classes that share enough signatures, directly or through others, form a cluster; its
 sets lie in parts, those of one large signature group together, and a set travels once to each pair of parts in which a
 signature has a partner for it. There all intersections are counted by a matrix product. Tasks return spanning links, never all pairs, so no
@@ -35,6 +39,8 @@ WIDTH = 6
 CHUNK, SET, COLUMNS = 500_000, 250, 2048
 #: Members of a signature group whose pairs are counted.
 LIGHT = 32
+#: Sets of which an element is left out of signatures, the most such elements, elements counted together in a task, and sets there that make one count.
+OFTEN, MOST_OFTEN, COUNTED, TIMES = 4 * LIGHT, 1 << 16, 1 << 20, 4
 #: Second-level partitions of a first-level one.
 PARTS = 3
 
@@ -50,12 +56,14 @@ def bands(most: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return ends, k, np.where(k > 0, (k + 2) // 2 + (k + 1) // 14, 1)
 
 
-def signatures(values: np.ndarray, offsets: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Signatures of consecutive sets, the set of each, in order, and how many first-level partitions of each set may lack one."""
+def signatures(values: np.ndarray, offsets: np.ndarray, num: int, den: int, often: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of consecutive sets, the set of each, in order, and how many first-level partitions of each set may lack one. often: elements left out where a set can be found without them, ascending."""
     n = np.diff(offsets)
     ends, k, firsts = bands(int(n.max(initial=1)), num, den)
     band = np.searchsorted(ends, n)
     own = np.repeat(np.arange(len(n)), n)
+    rare = np.ones(len(values), bool) if often is None or not len(often) else often[np.minimum(np.searchsorted(often, values), len(often) - 1)] != values
+    some = np.bincount(own, weights=~rare, minlength=len(n)) > 0
     v = mix(values ^ GOLD)
     low, high = (v & np.uint64(0xFFFFFFFF)).astype(float), (v >> np.uint64(32)).astype(float)
     out, who, thin = [], [], np.zeros(len(n), np.int64)
@@ -63,22 +71,31 @@ def signatures(values: np.ndarray, offsets: np.ndarray, num: int, den: int) -> t
         width = np.where(n > 0, firsts[b] * PARTS, 0)
         base = np.r_[0, np.cumsum(width)]
         at = base[own] + (values % width[own].astype(np.uint64)).astype(np.int64)
-        filled = np.bincount(at, minlength=base[-1]).reshape(-1, PARTS)
-        sums = np.bincount(at, weights=low, minlength=base[-1]).astype(np.uint64) + (np.bincount(at, weights=high, minlength=base[-1]).astype(np.uint64) << np.uint64(32))
-        sums = mix(sums + (np.arange(base[-1]) % PARTS).astype(np.uint64) * M1).reshape(-1, PARTS)
         doc = np.repeat(np.arange(len(n)), width // PARTS)
         place = (np.arange(len(doc)) - base[doc] // PARTS).astype(np.uint64)
         seed = mix((place + np.uint64(1)) * GOLD + b[doc].astype(np.uint64))
-        thick = np.bincount(doc, weights=(filled > 0).sum(1) > 1, minlength=len(n))
-        thin = np.maximum(thin, width // PARTS - thick.astype(np.int64))
-        few = (2 * thick <= k[b])[doc]
         every = k[b][doc] == 0
-        total, whole = sums.sum(1, dtype=np.uint64), filled.sum(1)
-        for left_out in range(PARTS):
-            sign = mix(np.where(every, total, total - sums[:, left_out]) + seed + np.where(every, np.uint64(0), np.uint64(left_out + 1)))
-            keep = (few | (whole > filled[:, left_out])) & (~every | (left_out == 0))
-            out.append(sign[keep])
-            who.append(doc[keep])
+
+        def signed(of: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray]:
+            """By these elements: signatures without each part, whether any are left there, partitions that may lack one, and sets that k differences may hide: two in a partition, or one where only one part is filled."""
+            filled = np.bincount(at[of], minlength=base[-1]).reshape(-1, PARTS)
+            sums = np.bincount(at[of], weights=low[of], minlength=base[-1]).astype(np.uint64) + (np.bincount(at[of], weights=high[of], minlength=base[-1]).astype(np.uint64) << np.uint64(32))
+            sums = mix(sums + (np.arange(base[-1]) % PARTS).astype(np.uint64) * M1).reshape(-1, PARTS)
+            parts = (filled > 0).sum(1)
+            thick, single = (np.bincount(doc, weights=x, minlength=len(n)).astype(np.int64) for x in (parts > 1, parts == 1))
+            total, whole = sums.sum(1, dtype=np.uint64), filled.sum(1)
+            signs = [mix(np.where(every, total, total - sums[:, j]) + seed + np.where(every, np.uint64(0), np.uint64(j + 1))) for j in range(PARTS)]
+            return signs, [whole > filled[:, j] for j in range(PARTS)], width // PARTS - thick, 2 * thick + single <= k[b]
+
+        signs, left, lack, few = signed(rare)
+        few = few | (k[b] == 0)
+        signs_all, left_all, lack_all, few_all = signed(few[own])
+        thin = np.maximum(thin, np.where(few, lack_all, lack))
+        for j in range(PARTS):
+            keep = left[j] & (some | ~few)[doc] & ~every
+            keep_all = few[doc] & np.where(every, j == 0, few_all[doc] | left_all[j])
+            out += [signs[j][keep], signs_all[j][keep_all]]
+            who += [doc[keep], doc[keep_all]]
     order = np.argsort(np.concatenate(who), kind="stable")
     return np.concatenate(out)[order], np.concatenate(who)[order], thin
 
@@ -137,11 +154,28 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
         return values, offsets, digests(values, offsets)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Documents (sets is null), and elements (digest) by the number of different sets that hold them, of those that several sets read together hold."""
+        seen: set[int] = set()
+        held: list[np.ndarray] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if held:
+                value, n = np.unique(np.concatenate(held), return_counts=True)
+                value, n = value[n >= TIMES], n[n >= TIMES]
+                nulls = pa.nulls(len(n), pa.int64())
+                yield pa.RecordBatch.from_arrays([nulls, nulls, pa.array(value.view(np.int64)), pa.array(n)], ["doc_id", "n_shingles", "digest", "sets"])
+            held.clear()
+            seen.clear()
+
         for batch in batches:
             for t in slices(batch):
-                _, offsets, digest = read(t)
+                values, offsets, digest = read(t)
                 n = np.diff(offsets)
-                yield pa.RecordBatch.from_arrays([t["doc_id"].combine_chunks(), pa.array(n), pa.array(digest, mask=n == 0)], ["doc_id", "n_shingles", "digest"])
+                yield pa.RecordBatch.from_arrays([t["doc_id"].combine_chunks(), pa.array(n), pa.array(digest, mask=n == 0), pa.nulls(len(n), pa.int64())], ["doc_id", "n_shingles", "digest", "sets"])
+                held.append(values[np.repeat(np.array([d not in seen and not seen.add(d) for d in digest.tolist()], bool), n)])
+                if sum(len(x) for x in held) >= COUNTED:
+                    yield from flush()
+        yield from flush()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -169,7 +203,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
                 n = np.diff(offsets)[new]
                 if len(n):
                     at = sum(len(x) for x, _ in ids)
-                    s, who, thin = signatures(values[keep], np.r_[0, np.cumsum(n)], num, den)
+                    s, who, thin = signatures(values[keep], np.r_[0, np.cumsum(n)], num, den, often.value)
                     held.append((s, who + at))
                     ids.append((digest[new], thin))
                 if sum(len(x) for x, _ in held) >= FLUSH:
@@ -222,7 +256,11 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
                 sets = [low[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
                 yield from pa.table({"doc_id": t["doc_id"], "digest": digest, "wanted": t["wanted"], "part": t["part"], "tasks": t["tasks"], "elements": pa.array(sets, pa.binary())}).to_batches()
 
-    described = durable(texts.mapInArrow(describe, "doc_id long, n_shingles long, digest long"))
+    read_once = durable(texts.mapInArrow(describe, "doc_id long, n_shingles long, digest long, sets long"))
+    described = read_once.where("sets is null").drop("sets")
+    counts = read_once.where("sets is not null").groupBy("digest").agg(F.sum("sets").alias("sets")).where(F.col("sets") > OFTEN)
+    top = counts.orderBy(F.desc("sets"), "digest").limit(MOST_OFTEN).toArrow()["digest"].to_numpy()
+    often = docs.sparkSession.sparkContext.broadcast(np.sort(top.astype(np.int64).view(np.uint64)))
     classes = durable(described.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.min("n_shingles").alias("n")))
     signed = texts.mapInArrow(sign, "bucket int, hashes binary, who binary, digests binary, thin binary")
     groups = durable(signed.groupBy("bucket").applyInArrow(meet, "gid long, digest long, least long, thin int, m int"))

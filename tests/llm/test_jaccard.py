@@ -108,3 +108,43 @@ def test_large_clusters_by_chunks(spark, monkeypatch):
                 up[b] = a
     assert got == {i: root(i) for i in range(len(rows))}
     assert len(set(got.values())) > 3
+
+
+def sendings(spark, monkeypatch, rows, **sizes):
+    """Components by 80 of 100 over five-word shingles, and how often sets were sent to be compared."""
+    import placewright.llm.jaccard as module
+
+    for name, value in sizes.items():
+        monkeypatch.setattr(module, name, value, raising=False)
+    sent, durable = [], module.durable
+
+    def counted(df, *args):
+        out = durable(df, *args)
+        if "tasks" in out.columns:
+            sent.append(out.selectExpr("sum(size(tasks))").first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(module, "durable", counted)
+    got = sorted(map(tuple, module.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80, 100).collect()), key=str)
+    return got, sum(sent)
+
+
+def test_a_common_line_brings_no_sets_together(spark, monkeypatch):
+    """Documents alike in one line only are compared with nothing, copies that hold it still are, and so are texts of little else."""
+    r = random.Random(5)
+    line = " ".join(f"line{i}" for i in range(12))
+    rows = []
+    for i in range(400):
+        w = [f"w{r.randrange(99999)}" for _ in range(60)]
+        w[r.randrange(60)] += f" {line}"
+        rows.append((i, " ".join(w)))
+    for i in range(40):
+        w = rows[7 * i][1].split()
+        for _ in range(r.randrange(3)):
+            w[r.randrange(len(w))] = f"x{i}"
+        rows.append((400 + i, " ".join(w)))
+    for i in range(60):  # the line and a few words
+        rows.append((500 + i, " ".join([f"y{r.randrange(9)}" for _ in range(r.randrange(4))] + [line] + [f"z{r.randrange(9)}" for _ in range(r.randrange(3))])))
+    got, sent = sendings(spark, monkeypatch, rows, CHUNK=9000, LIGHT=6, OFTEN=24)
+    assert got == brute(rows, 5, 80, 100)
+    assert 40 <= sent < 400
