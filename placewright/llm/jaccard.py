@@ -305,11 +305,11 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     led_by = heavy.select("gid", "digest").join(tops, "gid").select("digest", F.col("top").alias("gid")).distinct()
     met = led_by.join(spot("digest", "p"), "digest")
     beside = met.join(met.select("gid", F.col("p").alias("q"), F.col("p_range").alias("q_range")).distinct(), "gid").where(F.abs(F.col("p_range") - F.col("q_range")) <= 1).select("digest", "p", "q")
-    both = near.join(spot("a", "p"), "a").join(spot("b", "q"), "b")
+    both = durable(near.join(spot("a", "p"), "a").join(spot("b", "q"), "b"))  # read twice
     asked = beside.unionByName(both.select(F.col("a").alias("digest"), "p", "q")).unionByName(both.select(F.col("b").alias("digest"), F.col("q").alias("p"), F.col("p").alias("q"))).distinct()
     dealt = asked.join(placed.select("digest", "id", "component"), "digest").groupBy("id", "digest", F.col("p").alias("part")).agg(F.collect_list(task(F.least("p", "q"), F.greatest("p", "q"))).alias("tasks"))
     sent = durable(small.unionByName(dealt.select(small.columns)))
-    for t in (groups, leads, near, members, placed):
+    for t in (groups, leads, near, members, placed, both):
         remove(t)
     # Texts of sets that go nowhere stay where they are, but for those that the filter passes by chance; the join is exact.
     words_, bits = filter_of(sent, "id")
