@@ -48,12 +48,12 @@ def snapped_regions(v: Views) -> DataFrame:
 
 
 @query("""
-WITH q AS (SELECT place_id AS query, lon AS x, lat AS y FROM p_pt WHERE namespace = 'pa' AND k % 50 = 0), t AS (SELECT place_id AS site, ccode, lon, lat FROM p_pt WHERE ccode IS NOT NULL),
+WITH q AS (SELECT place_id AS query, lon AS x, lat AS y FROM p_pt WHERE namespace = 'pa'), t AS (SELECT place_id AS site, ccode, lon, lat FROM p_pt WHERE ccode IS NOT NULL),
 d AS (SELECT query, ccode, row_number() OVER (PARTITION BY query ORDER BY pow(x - lon, 2) + pow(y - lat, 2), site) AS r FROM q, t),
 c AS (SELECT query, ccode, count(*) AS n FROM d WHERE r <= 3 GROUP BY ALL), b AS (SELECT query, max(n) AS n, arg_max(ccode, n * 1000 + 0) AS ccode, sum(n) AS total FROM c GROUP BY query)
 SELECT query, CASE WHEN n * 2 > total THEN ccode END AS ccode, CASE WHEN n = total THEN 'all' WHEN n * 2 > total THEN 'majority' ELSE 'none' END AS how FROM b""")
 def voted_countries(v: Views) -> DataFrame:
-    q = v.p_pt.where("namespace = 'pa' and k % 50 = 0").select(F.col("place_id").alias("query"), F.col("lon").alias("x"), F.col("lat").alias("y"))
+    q = v.p_pt.where("namespace = 'pa'").select(F.col("place_id").alias("query"), F.col("lon").alias("x"), F.col("lat").alias("y"))
     sites = v.p_pt.where("ccode is not null").select(F.col("place_id").alias("site"), "ccode", "lon", "lat")
     return within.voted(within.nearest(q, sites, 3), "ccode", 3)
 

@@ -48,6 +48,11 @@ def test_all_rows(spark, sf):
     assert QUERIES["place_lookup_of_all"](spark, sf).count() == tables["orders"]
 
 
+def test_every_part_is_voted(spark, sf):
+    got = [r.query for r in QUERIES["voted_countries"](spark, sf).select("query").collect()]
+    assert sorted(got) == sorted(f"pa:{r.p_partkey}" for r in spark.read.parquet(f"{sf}/part.parquet").select("p_partkey").collect())
+
+
 def test_reconciled_turns_with_accents(spark, tmp_path):
     texts = {0: "Été à Köln", 1: "Straße und Tür", 2: "mañané", 3: "où", 5: "  ÀÉ "}
     spark.createDataFrame([(1, k, "user", t) for k, t in texts.items()], "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
