@@ -114,3 +114,36 @@ def test_kinds_of_points_of_both_orders(spark):
     given = [one("<", 1, b"", 1.5, -2.25), one("<", 1 | 1 << 29, struct.pack("<I", 4326), -180.0, 0.0), "00" + struct.pack(">I", 1).hex() + struct.pack(">dd", 3.5, 89.125).hex(), one("<", 2, b"", 1.0, 1.0), "zz", None]
     got = spark.createDataFrame([(i, g) for i, g in enumerate(given)], "i int, g string").select("i", shapes.ewkb_point(F.col("g")).alias("p")).orderBy("i").collect()
     assert [r.p and tuple(r.p) for r in got] == [(1.5, -2.25), (-180.0, 0.0), (3.5, 89.125), None, None, None]
+
+
+def counted_lists(monkeypatch):
+    """Rows of each join of lists from now on."""
+    seen = []
+
+    def counted(*given, of=distinct.lists_that_meet):
+        out = of(*given)
+        seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(distinct, "lists_that_meet", counted)
+    return seen
+
+
+def test_values_are_listed_in_order(spark):
+    rows = spark.createDataFrame([(i % 3 or None, f"v{i:03d}") for i in range(100)] + [(1, None), (1, "v001")], "k int, v string")
+    got = distinct.listed(rows, "v", 8).collect()
+    assert sorted(v for r in got for v in r.v) == sorted(r.v for r in rows.collect() if r.v is not None)
+    assert all(len(r.v) <= 8 and r.v == sorted(r.v) and all(int(v[1:]) % 3 == (r.k or 0) for v in r.v) for r in got) and {r._share for r in got} > {0, 1}
+    for k in (None, 1, 2):  # runs of one key follow each other
+        own = sorted(r.v for r in got if r.k == k)
+        assert all(x[-1] <= y[0] for x, y in zip(own, own[1:]))
+
+
+def test_lists_are_joined_not_records(spark, monkeypatch):
+    seen = counted_lists(monkeypatch)
+    rows = spark.range(1200).select((F.col("id") % 2).alias("record"), F.concat(F.when(F.col("id") % 3 == 0, "b-").when(F.col("id") % 3 == 1, "b:").otherwise("a:"), F.col("id").cast("string")).alias("place_id"), F.when(F.col("id") > 9, F.col("id") % 7 > 0).alias("exact"))
+    rows = rows.withColumn("place_id", F.regexp_replace("place_id", "-", "-c:"))  # "b-c" comes before "b:", "b" before "b-c"
+    own = [(r.record, r.place_id, r.exact) for r in rows.collect()]
+    want = sorted((k, p, q, "sameAs" if x and y else "closeMatch") for k, p, x in own for j, q, y in own if k == j and p < q and p.split(":")[0] != q.split(":")[0])
+    assert sorted(tuple(r) for r in pairs.record_links(rows).collect()) == want
+    assert len(want) == 2 * 3 * 200 * 200 and sum(seen) < len(want) / 100
