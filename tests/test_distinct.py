@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from placewright.functions import shapes, space
 from placewright.operators import areas, distinct, graph, pairs, within
+from placewright.plans import QUERIES
 
 
 def squares(spark, n, id, size):
@@ -147,3 +148,10 @@ def test_lists_are_joined_not_records(spark, monkeypatch):
     want = sorted((k, p, q, "sameAs" if x and y else "closeMatch") for k, p, x in own for j, q, y in own if k == j and p < q and p.split(":")[0] != q.split(":")[0])
     assert sorted(tuple(r) for r in pairs.record_links(rows).collect()) == want
     assert len(want) == 2 * 3 * 200 * 200 and sum(seen) < len(want) / 100
+
+
+def test_lists_are_joined_not_names(spark, sf, monkeypatch):
+    seen = counted_lists(monkeypatch)
+    made = QUERIES["same_name_pairs"](spark, sf).count()
+    rows = spark.read.parquet(f"{sf}/part.parquet").groupBy("p_name").count().collect()
+    assert made == sum(r["count"] * (r["count"] - 1) // 2 for r in rows) and 0 < sum(seen) < made / 2
