@@ -155,3 +155,23 @@ def test_lists_are_joined_not_names(spark, sf, monkeypatch):
     made = QUERIES["same_name_pairs"](spark, sf).count()
     rows = spark.read.parquet(f"{sf}/part.parquet").groupBy("p_name").count().collect()
     assert made == sum(r["count"] * (r["count"] - 1) // 2 for r in rows) and 0 < sum(seen) < made / 2
+
+
+def test_distances_are_measured_and_rounded_once(spark, monkeypatch):
+    seen = counted_lists(monkeypatch)
+    # Four positions some 11 km apart, ids dealt over them: three steps are within 30 km, and the first and last aren't.
+    at = spark.range(800).select(F.format_string("p%03d", "id").alias("place_id"), (F.col("id") % 4 * 0.1).alias("lon"), F.lit(1.0).alias("lat"))
+    out = graph.pairs_within(at, 30, space.haversine_km, digits=3)
+    got = {(r.place_id, r.other): r.km for r in out.collect()}
+    assert set(got) == {(f"p{i:03d}", f"p{j:03d}") for i in range(800) for j in range(i + 1, 800) if {i % 4, j % 4} != {0, 3}}
+    assert {(i % 4, j % 4): got[f"p{i:03d}", f"p{j:03d}"] for i, j in ((0, 4), (0, 1), (1, 2), (1, 3))} == {(0, 0): 0.0, (0, 1): 11.118, (1, 2): 11.118, (1, 3): 22.236}
+    assert sum(seen) < len(got) / 100
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("round(")  # below the lists, not above the pairs
+
+
+def test_the_limit_holds_before_rounding(spark):
+    at = spark.createDataFrame([("a", 0.0, 0.0), ("b", 0.1, 0.0)], "place_id string, lon double, lat double")
+    km = 11.1194  # they are 11.119492... km apart
+    assert graph.pairs_within(at, km, space.haversine_km, digits=3).collect() == []
+    assert [tuple(r) for r in graph.pairs_within(at, km + 0.0001, space.haversine_km, digits=3).collect()] == [("a", "b", 11.119)]
